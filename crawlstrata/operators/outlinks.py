@@ -36,7 +36,8 @@ def hosts_matching(hosts: DataFrame, names: DataFrame, name: str) -> DataFrame:
     Parts of the host are joined by equality, so neither side is compared row by row.
     """
     distinct = hosts.select("host").filter(F.length("host") > 0).distinct()
-    parts = distinct.select("host", F.explode(_spans(F.col("host"), lengths_of(names, name))).alias(name))
+    sized = distinct.withColumn("_lengths", lengths_of(names, name))
+    parts = sized.select("host", F.explode(_spans(F.col("host"), F.col("_lengths"))).alias(name))
     return parts.join(names, name)
 
 

@@ -36,15 +36,17 @@ def site_of_key(keys: DataFrame, site_ids: DataFrame) -> DataFrame:
     The parts of those 40 characters that have the length of an id, 820 at most, are joined to the
     ids by equality.
     """
-    lengths = lengths_of(site_ids, "site_id")
-    head = F.substring("url_key", 1, ID_SPAN)
+    sized = distinct_urls(keys).select(
+        "url_key", F.substring("url_key", 1, ID_SPAN).alias("_head"), lengths_of(site_ids, "site_id").alias("_lengths")
+    )
+    head, lengths = F.col("_head"), F.col("_lengths")
     parts = F.flatten(
         F.transform(
             F.filter(lengths, lambda n: n <= F.length(head)),
             lambda n: F.transform(F.sequence(F.lit(1), F.length(head) - n + 1), lambda i: F.substring(head, i, n)),
         )
     )
-    found = distinct_urls(keys).select("url_key", F.explode(F.array_distinct(parts)).alias("site_id")).join(
+    found = sized.select("url_key", F.explode(F.array_distinct(parts)).alias("site_id")).join(
         site_ids.filter(F.col("site_id") != "").distinct(), "site_id"
     )
     sites = found.groupBy("url_key").agg(F.count(F.lit(1)).alias("_n"), F.min("site_id").alias("site_id"))

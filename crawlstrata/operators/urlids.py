@@ -53,8 +53,8 @@ def prefix_id_ranges(prefixes: DataFrame, url_ids: DataFrame) -> DataFrame:
     Each URL is cut to the lengths prefixes have, which turns the prefix match into an equality, and
     ids are reduced to two per prefix before they are shuffled for it.
     """
-    lengths = lengths_of(prefixes, "prefix")
-    cut = url_ids.select(F.explode(leading_parts(F.col("url"), lengths)).alias("prefix"), "id")
+    sized = url_ids.select("url", "id", lengths_of(prefixes, "prefix").alias("_lengths"))
+    cut = sized.select(F.explode(leading_parts(F.col("url"), F.col("_lengths"))).alias("prefix"), "id")
     wanted = prefixes.select("prefix").distinct()
     ranges = cut.join(wanted, "prefix").groupBy("prefix").agg(F.min("id").alias("start_id"), F.max("id").alias("end_id"))
     return prefixes.join(ranges, "prefix", "left").select("id", "prefix", "start_id", "end_id")

@@ -521,3 +521,340 @@ def _site_ids(spark, d) -> DataFrame:
 @query(f"WITH {SITE_OF_KEY_SQL} SELECT site_id, {BASE_SQL.format('url_key')} AS base, count(*) AS n FROM sites GROUP BY 1, 2")
 def site_base_paths(spark, d):
     return text.site_base_paths(page_captures(spark, d), _site_ids(spark, d))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) || chr(9) || '[' || string_agg(event_id::VARCHAR, ', ' ORDER BY event_id) || ']' AS value FROM events GROUP BY user_id")
+def adjacency_lines(spark, d):
+    lists = table(spark, d, "events").groupBy(F.col("user_id").alias("src")).agg(
+        F.array_sort(F.collect_list("event_id")).alias("dst")
+    )
+    return sinks.adjacency_lines(lists)
+
+
+# Versions of a URL
+
+
+@query(over_captures(f"""SELECT url_key, {STAMP_SQL.format('capture_ts')} AS seen FROM caps
+  WHERE url_key = (SELECT {key_sql('min(url)')} FROM pages) GROUP BY ALL"""))
+def capture_history(spark, d):
+    url = table(spark, d, "pages").agg(F.min("url")).scalar()
+    return versions.capture_history(capture_index(spark, d), url).select("url_key", stamp("capture_ts").alias("seen"))
+
+
+@query(over_captures(f"""SELECT url_key, {STAMP_SQL.format('capture_ts')} AS seen,
+  {STAMP_SQL.format('coalesce(lag(capture_ts) OVER w, capture_ts)')} AS previous,
+  {STAMP_SQL.format('coalesce(lead(capture_ts) OVER w, capture_ts)')} AS following
+FROM (SELECT DISTINCT url_key, capture_ts FROM caps) WINDOW w AS (PARTITION BY url_key ORDER BY capture_ts)"""))
+def capture_nav(spark, d):
+    return versions.capture_nav(capture_index(spark, d)).select(
+        "url_key", stamp("capture_ts").alias("seen"), stamp("prev_ts").alias("previous"), stamp("next_ts").alias("following")
+    )
+
+
+@query(over_captures(f"""SELECT url_key, count(*) AS captures, {STAMP_SQL.format('min(capture_ts)')} AS first_ts,
+  {STAMP_SQL.format('max(capture_ts)')} AS last_ts FROM caps GROUP BY url_key"""))
+def capture_span(spark, d):
+    return versions.capture_span(capture_index(spark, d)).select(
+        "url_key", "captures", stamp("first_ts").alias("first_ts"), stamp("last_ts").alias("last_ts")
+    )
+
+
+@query(over_captures("""SELECT source_file, source_offset, url_key, content_type, strftime(date_trunc('day', capture_ts), '%Y%m%d%H%M%S') AS capture_date
+  FROM caps QUALIFY row_number() OVER (PARTITION BY url_key, content_type, date_trunc('day', capture_ts)
+  ORDER BY source_file DESC, source_offset DESC) = 1"""))
+def latest_write(spark, d):
+    return versions.latest_write(_daily(capture_index(spark, d))).select(
+        "source_file", "source_offset", "url_key", "content_type", stamp("capture_ts").alias("capture_date")
+    )
+
+
+@query(over_captures("""SELECT source_file, source_offset, url_key, content_type, capture_date FROM caps
+  QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY capture_ts DESC, source_file DESC, source_offset DESC) = 1"""))
+def latest_capture(spark, d):
+    return versions.latest_capture(capture_index(spark, d)).select(
+        "source_file", "source_offset", "url_key", "content_type", "capture_date"
+    )
+
+
+REQUESTS_SQL = """requests AS (SELECT source_offset AS request, url_key,
+  CASE WHEN content_type IS NULL THEN capture_ts ELSE capture_ts + to_days(CAST(source_offset % 9 - 4 AS INTEGER)) + to_seconds(source_offset % 5) END AS request_ts
+  FROM caps)"""
+
+
+@query(over_captures(f"""SELECT r.request, r.url_key, {STAMP_SQL.format('r.request_ts')} AS asked,
+  {STAMP_SQL.format('coalesce(min(c.capture_ts) FILTER (c.capture_ts >= r.request_ts), max(c.capture_ts))')} AS served
+  FROM requests r JOIN caps c USING (url_key) GROUP BY ALL""", REQUESTS_SQL))
+def as_of_lookup(spark, d):
+    index = capture_index(spark, d)
+    days = (F.col("source_offset") % 9 - 4).cast("int")
+    moved = F.col("capture_ts") + F.make_dt_interval(days=days, secs=F.col("source_offset") % 5)
+    requests = index.select(
+        F.col("source_offset").alias("request"),
+        "url_key",
+        F.when(F.col("content_type").isNull(), F.col("capture_ts")).otherwise(moved).alias("request_ts"),
+    )
+    return versions.as_of(requests, index).select(
+        "request", "url_key", stamp("request_ts").alias("asked"), stamp("served_ts").alias("served")
+    )
+
+
+# Link graph
+
+LINKS_SQL = """links AS (SELECT page_id, url, regexp_extract(url, '^https?://[^/?#]*') || l.href AS target, l.anchor FROM
+  (SELECT page_id, url, unnest(list_zip(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1),
+     regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2))) AS pair FROM pages) p,
+  LATERAL (SELECT replace(p.pair[1], '&amp;', '&') AS href, trim(replace(p.pair[2], '&amp;', '&')) AS anchor) l)"""
+URLS_SQL = "urls AS (SELECT url FROM pages UNION ALL SELECT target FROM links)"
+IDS_SQL = "ids AS (SELECT DISTINCT url, rank() OVER (ORDER BY url) AS id FROM urls)"
+GRAPH_SQL = f"{LINKS_SQL}, {URLS_SQL}, {IDS_SQL}"
+
+
+def _links(spark, d, parser="html") -> DataFrame:
+    return graph.extract_links(page_captures(spark, d), "UTF-8", parser)
+
+
+def _urls(spark, d) -> DataFrame:
+    """Every page URL and every link target, once per mention."""
+    return table(spark, d, "pages").select("url").unionByName(_links(spark, d).select(F.col("target").alias("url")))
+
+
+def _url_ids(spark, d) -> DataFrame:
+    return urlids.build_url_ids(_urls(spark, d))
+
+
+@query(f"WITH {LINKS_SQL} SELECT page_id, url, target, anchor FROM links")
+def extract_links(spark, d):
+    return _links(spark, d).select(F.col("source_offset").alias("page_id"), "url", "target", "anchor")
+
+
+@query(f"WITH {LINKS_SQL} SELECT page_id, url, target FROM links")
+def extract_links_plain(spark, d):
+    return _links(spark, d, "plain").select(F.col("source_offset").alias("page_id"), "url", "target")
+
+
+@query(f"WITH {GRAPH_SQL} SELECT url, id FROM ids")
+def build_url_ids(spark, d):
+    return _url_ids(spark, d)
+
+
+@query("SELECT url, row_number() OVER (ORDER BY url) AS id FROM (SELECT DISTINCT url FROM pages)")
+def build_url_ids_dense(spark, d):
+    return urlids.build_url_ids(table(spark, d, "pages").select("url"), dense=True)
+
+
+@query("""WITH ids AS (SELECT url, rank() OVER (ORDER BY url) AS id FROM pages)
+SELECT e.event_id, coalesce(ids.id, -1) AS id FROM events e LEFT JOIN pages p ON p.page_id = e.event_id LEFT JOIN ids ON ids.url = coalesce(p.url, e.event_type)""")
+def lookup_ids(spark, d):
+    pages = table(spark, d, "pages")
+    asked = table(spark, d, "events").join(pages, F.col("event_id") == F.col("page_id"), "left")
+    urls = asked.select("event_id", F.coalesce("url", "event_type").alias("url"))
+    return urlids.lookup_ids(urls, urlids.build_url_ids(pages.select("url"))).select("event_id", "id")
+
+
+@query("""WITH ids AS (SELECT url, rank() OVER (ORDER BY url) AS id FROM pages)
+SELECT e.event_id, ids.url FROM events e JOIN ids ON ids.id = e.user_id""")
+def lookup_urls(spark, d):
+    ids = table(spark, d, "events").select("event_id", F.col("user_id").alias("id"))
+    return urlids.lookup_urls(ids, urlids.build_url_ids(table(spark, d, "pages").select("url"))).select("event_id", "url")
+
+
+@query(f"WITH {GRAPH_SQL} SELECT url FROM ids WHERE starts_with(url, 'https://blog.t')")
+def prefix_search(spark, d):
+    return urlids.prefix_search(_url_ids(spark, d), "https://blog.t").select("url")
+
+
+PREFIXES_SQL = """prefixes AS (SELECT row_number() OVER (ORDER BY prefix) AS id, prefix FROM (
+  SELECT regexp_extract(url, '^https?://[^/?#]*') || '/' AS prefix FROM pages UNION
+  SELECT regexp_extract(url, '^https?://[^/?#]*/[a-z]+') AS prefix FROM pages UNION
+  SELECT 'none:' || lang FROM documents))"""
+RANGES_SQL = f"""{PREFIXES_SQL}, ranges AS (SELECT p.id, p.prefix, min(i.id) AS start_id, max(i.id) AS end_id
+  FROM prefixes p LEFT JOIN ids i ON starts_with(i.url, p.prefix) GROUP BY p.id, p.prefix)"""
+
+
+def _prefixes(spark, d) -> DataFrame:
+    """Each site, each language folder inside it, and a few prefixes that no URL has."""
+    pages = table(spark, d, "pages")
+    site = F.concat(F.regexp_extract("url", "^https?://[^/?#]*", 0), F.lit("/"))
+    folder = F.regexp_extract("url", "^https?://[^/?#]*/[a-z]+", 0)
+    absent = table(spark, d, "documents").select(F.concat(F.lit("none:"), "lang").alias("url"))
+    every = pages.select(site.alias("url")).union(pages.select(folder.alias("url"))).union(absent)
+    return urlids.build_url_ids(every, dense=True).select("id", F.col("url").alias("prefix"))
+
+
+@query(f"WITH {GRAPH_SQL}, {RANGES_SQL} SELECT id, prefix, start_id, end_id FROM ranges")
+def prefix_id_ranges(spark, d):
+    return urlids.prefix_id_ranges(_prefixes(spark, d), _url_ids(spark, d))
+
+
+def _page_graph(spark, d) -> DataFrame:
+    pages = graph.page_links(captures(spark, d), "UTF-8")
+    return graph.page_graph(pages, _url_ids(spark, d))
+
+
+PAGE_GRAPH_SQL = f"""{CAPTURES_SQL}, {GRAPH_SQL}, linked AS (SELECT DISTINCT l.page_id, i.id AS dst FROM links l JOIN ids i ON i.url = l.target),
+page_dst AS (SELECT page_id, list(dst ORDER BY dst) AS dst FROM linked GROUP BY page_id),
+graph AS (SELECT c.source_offset, i.id AS src, coalesce(t.dst, []) AS dst FROM caps c JOIN ids i ON i.url = c.url
+  LEFT JOIN page_dst t ON t.page_id = c.page_id WHERE c.content_type = 'text/html')"""
+
+
+@query(f"WITH {PAGE_GRAPH_SQL} SELECT source_offset, src, array_to_string(dst, ',') AS dst FROM graph")
+def page_graph(spark, d):
+    return _page_graph(spark, d).select("source_offset", "src", F.array_join("dst", ",").alias("dst"))
+
+
+@query(f"""WITH {PAGE_GRAPH_SQL} SELECT (SELECT count(*) FROM caps) AS records,
+  (SELECT CAST(sum(greatest(len(dst), 1)) AS BIGINT) FROM graph) AS links""")
+def link_stats(spark, d):
+    return graph.link_stats(capture_index(spark, d), _page_graph(spark, d))
+
+
+@query(f"""WITH {LINKS_SQL} SELECT page_id, count(DISTINCT target) AS targets FROM links GROUP BY page_id""")
+def distinct_targets(spark, d):
+    pages = graph.page_links(page_captures(spark, d), "UTF-8")
+    targets = F.array_distinct(F.transform("links", lambda l: l["target"]))
+    return pages.select(F.col("source_offset").alias("page_id"), F.size(targets).cast("long").alias("targets")).filter("targets > 0")
+
+
+@query(f"WITH {GRAPH_SQL}, {CAPTURES_SQL} SELECT c.source_offset, i.id AS src FROM caps c JOIN ids i ON i.url = c.url")
+def page_ids(spark, d):
+    urls = capture_index(spark, d).select("source_offset", "url")
+    return urls.join(_url_ids(spark, d), "url").select("source_offset", F.col("id").alias("src"))
+
+
+@query(f"WITH {GRAPH_SQL} SELECT l.page_id, l.target, i.id AS dst FROM links l JOIN ids i ON i.url = l.target")
+def target_ids(spark, d):
+    targets = _links(spark, d).select(F.col("source_offset").alias("page_id"), "target")
+    return targets.join(_url_ids(spark, d).withColumnRenamed("url", "target"), "target").select(
+        "page_id", "target", F.col("id").alias("dst")
+    )
+
+
+@query(f"WITH {GRAPH_SQL}, {RANGES_SQL} SELECT i.id AS page, r.id AS site FROM ids i JOIN ranges r ON i.id BETWEEN r.start_id AND r.end_id")
+def ids_in_ranges(spark, d):
+    ids = _url_ids(spark, d)
+    ranges = urlids.prefix_id_ranges(_prefixes(spark, d), ids)
+    return graph.sites_of_ids(ids.select(F.col("id").alias("page")), "page", ranges, "site").select("page", "site")
+
+
+WALKS_SQL = """walks AS (SELECT p.url AS src_url, q.url AS dst_url FROM events e
+  JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
+  JOIN pages q ON q.page_id = (e.event_id * 7 + e.user_id) % (SELECT count(*) FROM pages)),
+edges AS (SELECT DISTINCT s.id AS src, t.id AS dst FROM walks w JOIN ids s ON s.url = w.src_url JOIN ids t ON t.url = w.dst_url)"""
+
+
+def _walks(spark, d, ids) -> DataFrame:
+    """An adjacency between pages of different sites: each event leads from its page to another."""
+    pages = table(spark, d, "pages")
+    total = pages.agg(F.count(F.lit(1))).scalar()
+    steps = table(spark, d, "events").select(
+        (F.col("event_id") % total).alias("a"), ((F.col("event_id") * 7 + F.col("user_id")) % total).alias("b")
+    )
+    numbered = pages.join(ids, "url").select("page_id", "id")
+    source = numbered.select(F.col("page_id").alias("a"), F.col("id").alias("src"))
+    target = numbered.select(F.col("page_id").alias("b"), F.col("id").alias("dst"))
+    edges = steps.join(source, "a").join(target, "b").select("src", "dst").distinct()
+    return edges.groupBy("src").agg(F.collect_list("dst").alias("dst"))
+
+
+@query(f"""WITH {GRAPH_SQL}, {RANGES_SQL}, {WALKS_SQL},
+nearest AS (SELECT e.src, e.dst, arg_max(r.id, length(r.prefix) * 1000000 - r.id) AS target FROM edges e
+  JOIN ranges r ON e.dst BETWEEN r.start_id AND r.end_id GROUP BY e.src, e.dst)
+SELECT s.id AS source, n.target, count(*) AS weight FROM nearest n JOIN ranges s ON n.src BETWEEN s.start_id AND s.end_id GROUP BY ALL""")
+def site_graph(spark, d):
+    ids = _url_ids(spark, d)
+    ranges = urlids.prefix_id_ranges(_prefixes(spark, d), ids)
+    return graph.site_graph(_walks(spark, d, ids), ranges)
+
+
+# Seeds, sites and outlinks
+
+HOSTS_SQL = f"hosts AS (SELECT DISTINCT regexp_replace({HOST_SQL.format('url')}, '^www[.]', '') AS host FROM pages)"
+MATCH_SQL = "(h.host = {0} OR contains(h.host, '.' || {0}))"
+SEEDED_SQL = f"""{HOSTS_SQL}, {SEEDS_SQL}, {META_SQL},
+seeded AS (SELECT DISTINCT h.host FROM hosts h JOIN seeds s ON {MATCH_SQL.format('s.host')}),
+codes AS (SELECT regexp_replace({HOST_SQL.format('url')}, '^www[.]', '') AS site, arg_max(code, line_no) AS code FROM meta GROUP BY 1),
+host_codes AS (SELECT h.host, arg_max(c.code, lpad(length(c.site)::VARCHAR, 4, '0') || c.site) AS code FROM hosts h
+  JOIN codes c ON {MATCH_SQL.format('c.site')} GROUP BY h.host)"""
+
+
+def _hosts(spark, d) -> DataFrame:
+    return table(spark, d, "pages").select(K.host_name("url").alias("host"))
+
+
+@query(f"WITH {SEEDED_SQL} SELECT host FROM seeded")
+def seed_membership(spark, d):
+    return outlinks.seed_hosts(_hosts(spark, d), _seeds(spark, d))
+
+
+@query(f"WITH {SEEDED_SQL} SELECT host, code FROM host_codes")
+def site_code_by_host(spark, d):
+    return outlinks.host_codes(_hosts(spark, d), _meta(spark, d))
+
+
+@query(f"WITH {SITE_OF_KEY_SQL} SELECT url_key, site_id FROM sites")
+def site_of_key(spark, d):
+    return text.site_of_key(page_captures(spark, d), _site_ids(spark, d))
+
+
+@query(f"""WITH {META_SQL}, {SITE_IDS_SQL}, codes AS (SELECT string_split(lower({HOST_SQL.format('url')}), '.')[-2] AS label,
+  arg_max(code, line_no) AS code FROM meta GROUP BY 1), asked AS (SELECT site_id AS label FROM ids UNION ALL SELECT DISTINCT label FROM codes)
+SELECT label, code FROM asked LEFT JOIN codes USING (label)""")
+def code_by_label(spark, d):
+    known = table(spark, d, "pages").select(K.site_label("url").alias("label")).distinct()
+    labels = _site_ids(spark, d).select(F.col("site_id").alias("label")).unionByName(known)
+    return outlinks.code_by_label(labels, _meta(spark, d))
+
+
+def _outlink_captures(spark, d) -> DataFrame:
+    named = F.create_map(F.lit("content-type"), F.lit("text/html; charset=utf-8"))
+    return captures(spark, d).withColumn("http_headers", named)
+
+
+OUT_SQL = f"""{CAPTURES_SQL}, {LINKS_SQL}, {SEEDED_SQL},
+page_days AS (SELECT url_key || '|' || substr(capture_date, 1, 8) AS row_key, url_key, substr(capture_date, 1, 8) AS day, page_id, url,
+  source_file, source_offset, content FROM caps WHERE content_type LIKE '%html%'),
+marks AS (SELECT host, code, true AS in_seeds FROM seeded LEFT JOIN host_codes USING (host))"""
+
+
+@query(f"""WITH {OUT_SQL}, numbered AS (SELECT *, row_number() OVER (PARTITION BY page_id) AS pos FROM links),
+last AS (SELECT d.row_key, d.url_key, d.day, l.target AS href, arg_max(l.anchor, d.source_file || lpad(d.source_offset::VARCHAR, 12, '0') || lpad(l.pos::VARCHAR, 6, '0')) AS anchor
+  FROM page_days d JOIN numbered l USING (page_id) WHERE l.anchor <> '' GROUP BY ALL)
+SELECT row_key, url_key, day, href, regexp_replace(anchor, '[^ A-Za-z,'']+', '', 'g') AS anchor, code, coalesce(in_seeds, false) AS in_seeds
+FROM last LEFT JOIN marks ON marks.host = regexp_replace({HOST_SQL.format('last.href')}, '^www[.]', '')""")
+def extract_outlinks(spark, d):
+    return outlinks.extract_outlinks(_outlink_captures(spark, d), _seeds(spark, d), _meta(spark, d), absolute_only=False)
+
+
+@query(f"""WITH {OUT_SQL}, last AS (SELECT * FROM page_days QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY source_file DESC, source_offset DESC) = 1)
+SELECT row_key, url_key, day, code, coalesce(in_seeds, false) AS in_seeds, md5(content) AS hash
+FROM last LEFT JOIN marks ON marks.host = regexp_replace({HOST_SQL.format('last.url')}, '^www[.]', '')""")
+def outlink_pages(spark, d):
+    return outlinks.outlink_pages(_outlink_captures(spark, d), _seeds(spark, d), _meta(spark, d))
+
+
+# Text and replay
+
+TEXT_SQL = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
+  regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->|<!DOCTYPE[^>]*>|(?s:<script>.*?</script>)|(?s:<style>.*?</style>)', '', 'g'),
+    '</?(html|head|body|meta|title|nav|ul|li|div|article|h[1-6]|p|br|footer)(\s[^>]*)?>', ' ', 'g'), '<[^>]*>', '', 'g'),
+  '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&'), '[ \t\n\r\f\v]+', ' ', 'g'))"""
+
+
+@query(f"""WITH {SITE_OF_KEY_SQL}, {CAPTURES_SQL} SELECT s.site_id, c.url_key, c.capture_date,
+  c.capture_date || sha1(c.url_key) || '.txt' AS file_name, {TEXT_SQL.replace('html, ', 'content, ', 1)} AS text
+FROM caps c JOIN sites s USING (url_key) WHERE c.content_type LIKE '%html%'""")
+def extract_text(spark, d):
+    return text.extract_text(captures(spark, d), _site_ids(spark, d))
+
+
+@query("SELECT page_id, regexp_replace(html, '<.*?>', '', 'g') AS text FROM pages")
+def strip_tags(spark, d):
+    return text.strip_tags(page_captures(spark, d)).select(F.col("source_offset").alias("page_id"), "text")
+
+
+@query(over_captures(r"""SELECT url_key, url, strftime(capture_ts, '%Y%m%d%H%M%S') AS seen,
+  md5(regexp_replace(content, '<a href="(/[^"]*)"', '<a href="http://localhost:9191/crawl/' || epoch_ms(capture_ts) || '/' ||
+    regexp_extract(url, '^https?://[^/?#]*') || '\1"', 'g')) AS hash FROM caps WHERE content_type = 'text/html'"""))
+def rewrite_links(spark, d):
+    copies = text.rewrite_links(captures(spark, d), "http://localhost:9191/", "crawl")
+    return copies.select("url_key", "url", stamp("capture_ts").alias("seen"), F.md5(F.col("html").cast("binary")).alias("hash"))
