@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 # Protocols a URL may have to be keyed.
 SCHEMES = ["http", "https", "ftp", "file", "mailto"]
 
+# Scheme, host, port, path and query of a URL; user and fragment are not kept.
+URL_SHAPE = (
+    r"(?s)^(?:[uU][rR][lL]:)?([A-Za-z][A-Za-z0-9+.-]*):"
+    r"(?://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:@]*)(?::([0-9]{0,9}))?(?=[/?#]|$)|(?!//))"
+    r"([^?#]*)(\?[^#]*)?(?:#.*)?$"
+)
+
 # The longest file type, the shape of a valid domain name (no IPv4, labels of 1-63).
 MAX_FILE_TYPE = 8
 LABEL = "[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
@@ -44,33 +51,17 @@ def collapse_dot_segments(path: Column) -> Column:
 
 
 def _url_parts(url) -> tuple[Column, Column, Column, Column, Column]:
-    """(valid, host, port, path, query-with-mark) of a URL."""
-    whole = strip_blanks(url)
-    whole = F.when(F.lower(F.substring(whole, 1, 4)) == "url:", F.substr(whole, F.lit(5))).otherwise(whole)
-    bare = F.substring_index(whole, "#", 1)
-    colon = F.instr(bare, ":")
-    scheme = F.lower(F.substring_index(bare, ":", 1))
-    after = F.substr(bare, colon + 1)
-    has_authority = after.startswith("//")
-    authority = F.when(has_authority, F.regexp_extract(after, r"^//([^/?]*)", 1)).otherwise("")
-    rest = F.when(has_authority, F.substr(after, F.length(authority) + 3)).otherwise(after)
-    address = F.substring_index(authority, "@", -1)
-    host = F.when(address.startswith("["), F.regexp_extract(address, r"^(\[[^\]]*\])", 1)).otherwise(
-        F.substring_index(address, ":", 1)
-    )
-    tail = F.substr(address, F.length(host) + 1)
+    """(valid, host, port, path, query with its mark) of a URL, from one pass of one pattern."""
+    parts = F.split(F.regexp_replace(strip_blanks(url), URL_SHAPE, "$1\0$2\0$3\0$4\0$5"), "\0")
+    scheme, host, port, path, query = (F.get(parts, F.lit(i)) for i in range(5))
     valid = (
-        (colon > 0)
-        & scheme.isin(SCHEMES)
-        & tail.rlike(r"^(:[0-9]{0,9})?$")
+        (F.size(parts) == 5)
+        & F.lower(scheme).isin(SCHEMES)
         & ((host == "") | (F.rtrim(host, F.lit(".")) != ""))
     )
-    port = F.when(F.length(tail) > 1, F.substr(tail, F.lit(2)).try_cast("int").cast("string"))
-    path = F.substring_index(rest, "?", 1)
-    path = F.when(path.contains("/.") | path.startswith("./"), collapse_dot_segments(path)).otherwise(path)
-    mark = F.instr(rest, "?")
-    query = F.when(mark > 0, F.substr(rest, mark)).otherwise("")
-    return valid, host, port, path, query
+    port = F.when(port != "", port.try_cast("int").cast("string"))
+    dotted = path.contains("/.") | path.startswith("./")
+    return valid, host, port, F.when(dotted, collapse_dot_segments(path)).otherwise(path), query
 
 
 def _reverse_labels(host: Column) -> Column:

@@ -1,115 +1,120 @@
-"""Links, text and replay copies of HTML, read in Python over Arrow batches."""
+"""Links, text and replay copies of single HTML pages; Spark hands them over in Arrow batches."""
 
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin, urlsplit
 
-# What ends a block of text, what holds none, and what never has an end tag.
+# What ends a block of text.
 BLOCKS = frozenset(
     "html head body title meta link script style noscript section nav article main aside header footer h1 h2 h3 h4 h5 h6 "
     "p ul ol li dl dt dd pre div blockquote hr address figure figcaption form fieldset table caption thead tbody "
-    "tfoot colgroup col tr th td video audio canvas details summary menu frameset frame noframes".split()
+    "tfoot colgroup col tr th td video audio canvas details summary menu frameset frame noframes br".split()
 )
-NO_TEXT = frozenset(("script", "style"))
-VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
+# Elements whose content is no markup, and those of them whose content is not shown.
+RAW = frozenset(("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes"))
+UNSEEN = frozenset(("script", "style", "iframe", "noembed", "noframes"))
 
 # Protocols a link may have once it is absolute.
 LINK_SCHEMES = frozenset(("http", "https", "ftp", "file", "mailto"))
 
-BLANKS = re.compile(r"[ \t\n\r\f\x0b\xa0]+")
-SPACES = re.compile(r"[ \t\n\r\f]+")
+# Blanks that are not already one space.
+BLANKS = re.compile(r"[ \t\n\r\f\x0b\xa0]{2,}|[\t\n\r\f\x0b\xa0]")
+# A tag ends at the first > that is in no quoted value; quotes count only after an equals sign.
+ATTRIBUTES = r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)|[\"'])*+"
+TOKEN = re.compile(rf"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES})>|<[!?/][^>]*>", re.DOTALL)
+ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(\s*=\s*)(\"[^\"]*\"|'[^']*'|[^\s>]*)|[^\s=>\"'/]+")
+ORIGIN = re.compile(r"https?://[^/?#]+")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
+
+
+def tokens(html: str):
+    """(kind, name, text) in page order: `text`, `open` (text is the attributes), `close`."""
+    at = 0
+    while found := TOKEN.search(html, at):
+        if found.start() > at:
+            yield "text", None, html[at : found.start()]
+        at = found.end()
+        slash, name, attributes = found.groups()
+        if name is None:
+            continue
+        name = name.lower()
+        if slash:
+            yield "close", name, None
+            continue
+        yield "open", name, attributes
+        if name in RAW:
+            end = RAW_END[name].search(html, at)
+            stop = end.start() if end else len(html)
+            if stop > at and name not in UNSEEN:
+                yield "text", None, html[at:stop]
+            at = stop
+    if at < len(html):
+        yield "text", None, html[at:]
+
+
+def attribute(attributes: str, wanted: str) -> str | None:
+    """Value of the first attribute of that name, '' if it has none, None if it is not there."""
+    for found in ATTRIBUTE.finditer(attributes):
+        name, _, value = found.groups()
+        if (name or found.group()).lower() == wanted:
+            if not value:
+                return ""
+            return unescape(value[1:-1] if value[0] in "\"'" else value)
+    return None
 
 
 def absolute(base: str, link: str) -> str:
     """`link` resolved against `base`, '' if that gives no usable URL."""
+    link = link.strip()
+    if "/." not in link:
+        if link[:1] == "/" and link[1:2] != "/" and (origin := ORIGIN.match(base)):
+            return origin.group() + link
+        if link.startswith(("http://", "https://")) and len(link) > 8:
+            return link
     try:
-        url = urljoin(base, link.strip())
-        return url if urlsplit(url).scheme.lower() in LINK_SCHEMES else ""
+        url = urljoin(base, link)
+        scheme = urlsplit(url).scheme
+        return scheme + url[len(scheme) :] if scheme in LINK_SCHEMES else ""
     except ValueError:
         return ""
 
 
-class Links(HTMLParser):
-    """Collects (href, text) of every anchor, and the first base."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.found, self.base, self.open, self.mute = [], None, None, 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "a":
-            href = next((v for k, v in attrs if k == "href"), None)
-            self.open = None
-            if any(k == "href" for k, _ in attrs):
-                self.open = [href or "", []]
-                self.found.append(self.open)
-        elif tag == "base" and self.base is None:
-            self.base = next((v for k, v in attrs if k == "href" and v), None)
-        elif tag in NO_TEXT:
-            self.mute += 1
-        elif self.open and (tag in BLOCKS or tag == "br"):
-            self.open[1].append(" ")
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag in NO_TEXT:
-            self.mute -= 1
-
-    def handle_endtag(self, tag):
-        if tag == "a":
-            self.open = None
-        elif tag in NO_TEXT and self.mute:
-            self.mute -= 1
-
-    def handle_data(self, data):
-        if self.open and not self.mute:
-            self.open[1].append(data)
-
-
-def links_of(html: str, page_url: str):
-    """(target, anchor) of each anchor; target is '' where it is not usable."""
-    parser = Links()
-    parser.feed(html)
-    parser.close()
-    base = absolute(page_url, parser.base) or page_url if parser.base else page_url
-    return [(absolute(base, href), BLANKS.sub(" ", "".join(text)).strip()) for href, text in parser.found]
-
-
-class Text(HTMLParser):
-    """Collects visible text, with a blank where a block begins or ends."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.parts, self.mute = [], 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in NO_TEXT:
-            self.mute += 1
-        if tag in BLOCKS or tag == "br":
-            self.parts.append(" ")
-
-    def handle_startendtag(self, tag, attrs):
-        if tag in BLOCKS or tag == "br":
-            self.parts.append(" ")
-
-    def handle_endtag(self, tag):
-        if tag in NO_TEXT and self.mute:
-            self.mute -= 1
-        if tag in BLOCKS:
-            self.parts.append(" ")
-
-    def handle_data(self, data):
-        if not self.mute:
-            self.parts.append(data)
+def _clean(parts: list[str]) -> str:
+    return BLANKS.sub(" ", "".join(parts)).strip(" ")
+
+
+def links_of(html: str, page_url: str) -> list[tuple[str, str]]:
+    """(target, anchor) of each anchor; target is '' where it is not usable. The first base counts."""
+    found, base, text = [], None, None
+    for kind, name, value in tokens(html):
+        if kind == "text":
+            if text is not None:
+                text.append(unescape(value))
+        elif name == "a":
+            text = None
+            if kind == "open" and (href := attribute(value, "href")) is not None:
+                text = []
+                found.append((href, text))
+        elif name == "base":
+            if kind == "open" and base is None:
+                base = attribute(value, "href") or None
+        elif text is not None and name in BLOCKS:
+            text.append(" ")
+    against = (absolute(page_url, base) if base else "") or page_url
+    return [(absolute(against, href), _clean(parts)) for href, parts in found]
 
 
 def text_of(html: str) -> str:
-    parser = Text()
-    parser.feed(html)
-    parser.close()
-    return BLANKS.sub(" ", "".join(parser.parts)).strip()
+    """Text as a reader sees it; blocks and line breaks are set apart by a blank."""
+    parts = []
+    for kind, name, value in tokens(html):
+        if kind == "text":
+            parts.append(unescape(value))
+        elif name in BLOCKS:
+            parts.append(" ")
+    return _clean(parts)
 
 
 # Attributes that hold a URL, by tag; any tag may have a background.
@@ -130,40 +135,41 @@ REPLAY_ATTRIBUTES = {
 ANY_TAG_ATTRIBUTE = "background"
 UNTOUCHED = ("mailto:", "javascript:")
 
-TAG = re.compile(r"<([a-zA-Z][a-zA-Z0-9]*)(\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)(\s*=\s*)(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+TAG = re.compile(rf"(<([a-zA-Z][a-zA-Z0-9]*+)(?=\s))({ATTRIBUTES})(?=>)")
 CSS_URL = re.compile(r"(url\(\s*)([\"']?)([^\"'()\s]+)(\2\s*\))", re.IGNORECASE)
 CSS_IMPORT = re.compile(r"(@import\s+)([\"'])([^\"']+)(\2)", re.IGNORECASE)
 BASE = re.compile(r"<base\s[^>]*?\bhref\s*=\s*[\"']?([^\s\"'>]+)", re.IGNORECASE)
 
 
 def replay_copy(html: str, page_url: str, prefix: str) -> str:
-    """The page with its links led through `prefix` (server, archive and date); text is kept byte for byte."""
+    """The page with its links led through `prefix` (server, archive and time); all else is kept."""
     declared = BASE.search(html)
-    base = absolute(page_url, declared.group(1)) or page_url if declared else page_url
+    base = (absolute(page_url, declared.group(1)) if declared else "") or page_url
     css_base = base.replace("&amp;", "&")
 
     def replayed(link: str, against: str) -> str:
         if link.strip().lower().startswith(UNTOUCHED) or link.startswith(prefix):
             return link
         try:
-            url = urljoin(against, link.strip())
+            return prefix + (absolute(against, link) or urljoin(against, link.strip()))
         except ValueError:
             return link
-        return prefix + url if not url.lower().startswith(UNTOUCHED) else link
 
-    def tag(match):
-        wanted = REPLAY_ATTRIBUTES.get(match.group(1).lower(), ())
+    def tag(found):
+        start, name, attributes = found.groups()
+        wanted = REPLAY_ATTRIBUTES.get(name.lower(), ())
+        if not wanted and ANY_TAG_ATTRIBUTE not in attributes.lower():
+            return found.group()
 
-        def attribute(found):
-            name, equals, value = found.groups()
-            if name.lower() not in wanted and name.lower() != ANY_TAG_ATTRIBUTE:
-                return found.group(0)
+        def rewritten(pair):
+            key, equals, value = pair.groups()
+            if not value or (key.lower() not in wanted and key.lower() != ANY_TAG_ATTRIBUTE):
+                return pair.group()
             quote = value[0] if value[0] in "\"'" else ""
             link = value[1:-1] if quote else value
-            return f"{name}{equals}{quote}{replayed(link, base)}{quote}"
+            return f"{key}{equals}{quote}{replayed(link, base)}{quote}" if link else pair.group()
 
-        return f"<{match.group(1)}{ATTRIBUTE.sub(attribute, match.group(2))}>"
+        return start + ATTRIBUTE.sub(rewritten, attributes)
 
     def style(found):
         before, quote, link, after = found.groups()

@@ -11,6 +11,7 @@ from crawlstrata.functions.keys import host_name, site_label
 from crawlstrata.operators.graph import parsed_links
 from crawlstrata.operators.search import html_only
 from crawlstrata.operators.urlids import lengths_of
+from crawlstrata.session import cut_lineage
 
 # Links that are no pages.
 MAIL = "mailto"
@@ -95,6 +96,7 @@ def outlink_pages(captures: DataFrame, seeds: DataFrame, meta: DataFrame) -> Dat
     last = pages.groupBy("row_key", "url_key", "day").agg(
         F.max_by(F.struct("host", "hash"), "_written").alias("last")
     ).select("row_key", "url_key", "day", "last.host", "last.hash")
+    last = cut_lineage(last)
     return last.join(_marks(last, seeds, meta), "host", "left").select(
         "row_key", "url_key", "day", "code", F.coalesce("in_seeds", F.lit(False)).alias("in_seeds"), "hash"
     )
@@ -120,7 +122,8 @@ def extract_outlinks(captures: DataFrame, seeds: DataFrame, meta: DataFrame, abs
         F.col("col.anchor").alias("text"),
     )
     kept = links.filter((F.col("href") != "") & (F.col("text") != "") & ~F.col("href").startswith(MAIL))
-    last = (
+    # Written once, so that the pages are not parsed again to look up the hosts they link to.
+    last = cut_lineage(
         kept.groupBy("row_key", "url_key", "day", "href")
         .agg(F.max_by("text", "_written").alias("text"))
         .withColumn("host", host_name("href"))

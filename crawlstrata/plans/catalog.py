@@ -537,7 +537,7 @@ def adjacency_lines(spark, d):
 @query(over_captures(f"""SELECT url_key, {STAMP_SQL.format('capture_ts')} AS seen FROM caps
   WHERE url_key = (SELECT {key_sql('min(url)')} FROM pages) GROUP BY ALL"""))
 def capture_history(spark, d):
-    url = table(spark, d, "pages").agg(F.min("url")).scalar()
+    url = table(spark, d, "pages").agg(F.min("url")).first()[0]
     return versions.capture_history(capture_index(spark, d), url).select("url_key", stamp("capture_ts").alias("seen"))
 
 

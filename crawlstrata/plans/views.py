@@ -22,13 +22,9 @@ def stamp(ts) -> Column:
     return F.date_format(ts, "yyyyMMddHHmmss")
 
 
-def _slot(spark: SparkSession, sf_dir: str, name: str, number: Column) -> Column:
-    rows = table(spark, sf_dir, name).agg(F.count(F.lit(1)))
-    return number % rows.scalar()
-
-
-def _placed(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", url_key("url").alias("url_key"), *more)
+def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events as captures that still lack their page, and the pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", url_key("url").alias("url_key"), "html")
     kind = F.col("event_type")
     events = table(spark, sf_dir, "events").select(
         F.concat(F.lit("crawl-"), F.date_format("ts", "yyyyMMdd"), F.lit(".warc.gz")).alias("source_file"),
@@ -38,29 +34,41 @@ def _placed(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
         F.when(kind == "purchase", "text/plain").when(kind != "error", "text/html").alias("content_type"),
         F.when(kind == "signup", "request").otherwise("response").alias("record_type"),
         kind.isin("purchase", "error").alias("is_document"),
-        _slot(spark, sf_dir, "pages", F.col("event_id")).alias("page_id"),
+        (F.col("event_id") % pages.agg(F.count(F.lit(1))).scalar()).alias("page_id"),
     )
-    return events.join(pages, "page_id")
+    return events, pages
 
 
 def capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures without their content: all that counting, listing and version jobs read."""
-    return _placed(spark, sf_dir).drop("is_document", "page_id")
+    events, pages = _placed(spark, sf_dir)
+    return events.join(pages.drop("html"), "page_id").drop("is_document", "page_id")
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captures with content: page HTML, or document text for plain and untyped captures."""
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("_text"))
-    placed = _placed(spark, sf_dir, F.col("html").cast("binary").alias("_html")).withColumn(
-        "doc_id", _slot(spark, sf_dir, "documents", F.col("source_offset"))
+    """Captures with content: page HTML, or document text for plain and untyped captures.
+
+    Only HTML captures meet the pages' HTML and only the others the documents' text. Lengths are taken
+    before the joins, so a job that reads no content moves none.
+    """
+    events, pages = _placed(spark, sf_dir)
+    texts = table(spark, sf_dir, "documents")
+    texts = texts.select("doc_id", *_content("text"))
+    of_pages = events.filter(~F.col("is_document")).join(
+        pages.select("page_id", "url", "url_key", *_content("html")), "page_id"
     )
-    content = F.when(F.col("is_document"), F.col("_text")).otherwise(F.col("_html"))
-    return (
-        placed.join(texts, "doc_id")
-        .withColumn("content", content)
-        .withColumn("content_length", F.octet_length("content").cast("long"))
-        .drop("_html", "_text", "doc_id", "page_id", "is_document")
+    of_documents = (
+        events.filter("is_document")
+        .withColumn("doc_id", F.col("source_offset") % texts.agg(F.count(F.lit(1))).scalar())
+        .join(pages.drop("html"), "page_id")
+        .join(texts, "doc_id")
+        .drop("doc_id")
     )
+    return of_pages.unionByName(of_documents).drop("is_document", "page_id")
+
+
+def _content(column: str) -> list[Column]:
+    return [F.col(column).cast("binary").alias("content"), F.octet_length(column).cast("long").alias("content_length")]
 
 
 def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:

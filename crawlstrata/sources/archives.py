@@ -56,21 +56,24 @@ def _batch(rows):
 
 
 def _decoder(keep_limit, version: bytes):
+    def rows_of(batch):
+        held = batch.column("content") if "content" in batch.schema.names else None
+        for i, path in enumerate(batch.column("path").to_pylist()):
+            raw = _open(path) if held is None else io.BufferedReader(io.BytesIO(held[i].as_py()))
+            with raw as stream:
+                yield from read_records(stream, path, keep_limit, version)
+
     def decode(batches):
+        rows, size = [], 0
         for batch in batches:
-            contents = batch.column("content") if "content" in batch.schema.names else None
-            for i, path in enumerate(batch.column("path").to_pylist()):
-                raw = io.BytesIO(contents[i].as_py()) if contents is not None else _open(path)
-                rows, size = [], 0
-                with io.BufferedReader(raw) if contents is not None else raw as stream:
-                    for row in read_records(stream, path, keep_limit, version):
-                        rows.append(row)
-                        size += len(row["payload"] or b"")
-                        if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
-                            yield _batch(rows)
-                            rows, size = [], 0
-                if rows:
+            for row in rows_of(batch):
+                rows.append(row)
+                size += len(row["payload"] or b"")
+                if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
                     yield _batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield _batch(rows)
 
     return decode
 
