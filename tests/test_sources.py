@@ -1,0 +1,174 @@
+"""Archive readers on written files: formats, compression, damage; and the text readers and sinks."""
+
+import io
+
+import pytest
+from archive_files import arc_file, arc_record, http, members, warc_record
+from pyspark.sql import functions as F
+
+from crawlstrata.operators.ingest import ingest_report
+from crawlstrata.sources import archives, sinks, textfiles
+from crawlstrata.sources.records import read_records
+
+DATE = "20040124034300"
+HTML = "<p>é</p>".encode()
+WARC_FIELDS = [("WARC-Target-URI", "http://www.b.com/x"), ("WARC-Date", "2013-02-27T15:01:31Z"), ("X-Other", "o")]
+
+
+def rows(data, **kw):
+    return list(read_records(io.BufferedReader(io.BytesIO(data)), "f", **kw))
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_arc_records(compressed):
+    data = arc_file([arc_record("http://a.com/", DATE, "text/html", http(HTML)),
+                     arc_record("dns:a.com", DATE, "text/dns", b"")], compressed)
+    got = rows(data)
+    assert [r["record_type"] for r in got] == ["filedesc", "response", "response"]
+    assert got[1]["url"] == "http://a.com/" and got[1]["payload"] == http(HTML) and got[1]["ip"] == "10.0.0.1"
+    assert got[2]["payload"] == b"" and got[2]["error"] is None
+    assert len({r["source_offset"] for r in got}) == 3
+
+
+def test_arc_v2_header():
+    line = f"http://a.com/ 10.0.0.1 {DATE} text/html 200 chk - 12 x.arc 2\nok\n".encode()
+    assert rows(arc_file([line]))[1]["payload"] == b"ok"
+
+
+def test_arc_bad_header_is_one_error_and_reading_goes_on():
+    data = arc_file([b"not a header at all\njunk\nmore junk\n", arc_record("http://a.com/", DATE, "text/html", b"ok")], False)
+    got = rows(data)
+    assert [r["error"] for r in got] == [None, "bad header", None]
+    assert got[2]["url"] == "http://a.com/"
+
+
+def test_damage():
+    whole = arc_file([arc_record("http://a.com/", DATE, "text/html", b"x" * 5000)])
+    assert rows(whole[:-20])[-1]["error"].startswith("unreadable")
+    assert rows(arc_file([arc_record("http://a.com/", DATE, "text/html", b"ab", length=9)], False))[-1]["error"] == "short payload"
+    assert rows(b"hello\n")[0]["error"] == "unknown format"
+    assert rows(b"\x1f\x8bgarbage")[0]["error"].startswith("unreadable")
+    assert rows(b"") == []
+
+
+def test_large_payload_is_counted_not_kept():
+    got = rows(arc_file([arc_record("http://a.com/", DATE, "text/html", b"x" * 5000),
+                         arc_record("http://b.com/", DATE, "text/html", b"y" * 10)]), keep_limit=1000)
+    assert (got[1]["payload"], got[1]["payload_length"]) == (None, 5000)
+    assert got[2]["payload"] == b"y" * 10
+
+
+def test_warc_records():
+    data = members([
+        warc_record("warcinfo", [("WARC-Date", "2013-02-27T15:01:31Z")], b"software: x\r\n"),
+        warc_record("response", WARC_FIELDS, http(HTML)),
+        warc_record("request", [("WARC-Target-URI", "<http://c.com/>"), ("Folded", "a\r\n b")], b"GET / HTTP/1.1\r\n\r\n"),
+    ])
+    got = rows(data)
+    assert [r["record_type"] for r in got] == ["warcinfo", "response", "request"]
+    assert got[1]["headers"]["X-Other"] == "o" and got[1]["payload"] == http(HTML)
+    assert got[2]["url"] == "http://c.com/" and got[2]["headers"]["Folded"] == "a b"
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    path = tmp_path_factory.mktemp("archives")
+    (path / "one.arc.gz").write_bytes(arc_file([
+        arc_record("http://www.a.com/p?q", DATE, "text/html", http(HTML)),
+        arc_record("dns:a.com", DATE, "text/dns", b"1.2.3.4"),
+        arc_record("http://www.a.com/big", DATE, "image/png", http(b"x" * (1 << 20) + b"y", "image/png")),
+        arc_record("http://www.a.com/cap", DATE, "image/png", http(b"x" * (1 << 20), "image/png")),
+        arc_record("http://www.a.com/old", "20049924034300", "text/html", http(HTML)),
+    ]))
+    (path / "two.warc").write_bytes(members([
+        warc_record("response", WARC_FIELDS, http(HTML, "text/html; charset=utf-8")),
+        warc_record("RESPONSE", [("WARC-Target-URI", "http://b.com/none"), WARC_FIELDS[1]], b"no http"),
+        warc_record("metadata", WARC_FIELDS, b"m"),
+    ], False))
+    (path / "sub").mkdir()
+    (path / "sub" / "three.warc.gz").write_bytes(members([warc_record("response", WARC_FIELDS, http(b"z"))]))
+    (path / "ignored.txt").write_bytes(b"http://a.com 1 2 3 4")
+    return str(path)
+
+
+def test_read_archives(spark, folder):
+    got = {(r.url, r.record_type, r.source_file.rsplit("/", 1)[1]): r for r in archives.read_archives(spark, folder).collect()}
+    arc = got["http://www.a.com/p?q", "response", "one.arc.gz"]
+    assert (arc.url_key, str(arc.capture_ts), arc.content_type) == ("com.a.www/p?q", "2004-01-24 03:43:00", "text/html")
+    assert (bytes(arc.content), arc.content_length, arc.http_status, arc.ip) == (HTML, len(HTML), 200, "10.0.0.1")
+    warc = got["http://www.b.com/x", "response", "two.warc"]
+    assert (warc.content_type, str(warc.capture_ts)) == ("text/html; charset=utf-8", "2013-02-27 15:01:31")
+    assert warc.headers["X-Other"] == "o" and bytes(warc.content) == HTML
+    plain = got["http://b.com/none", "RESPONSE", "two.warc"]
+    assert (plain.content_type, plain.http_status, bytes(plain.content)) == (None, -1, b"no http")
+    assert got["dns:a.com", "response", "one.arc.gz"].url_key is None
+    assert not any("ignored" in name for _, _, name in got) and len(got) == 10
+    assert archives.read_arc(spark, folder).count() == 6 and archives.read_warc(spark, folder).count() == 4
+
+
+def test_limit_keeps_length(spark, folder):
+    big = archives.read_arc(spark, folder, max_bytes=1000).filter("url like '%big'").first()
+    assert big.content is None and big.content_length > 1 << 20
+
+
+def test_report_over_files(spark, folder):
+    reasons = {r.reason: r.records for r in ingest_report(archives.read_archives(spark, folder)).collect()}
+    assert reasons == {"inserted": 5, "no_key": 2, "too_large": 1, "bad_date": 1, "not_response": 1}
+
+
+def test_paths_are_listed_without_reading_content(spark, folder):
+    plan = archives.archive_files(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan
+
+
+def test_clueweb(spark, tmp_path):
+    body = b"HTTP/1.1 200 OK\nContent-Length: 9\n\n<p>hi</p>"
+    (tmp_path / "c.warc.gz").write_bytes(members([
+        warc_record("warcinfo", [], b"info", "WARC/0.18"),
+        warc_record("response", [("WARC-TREC-ID", "clueweb-1"), ("WARC-Target-URI", "http://a.com/")], body, "WARC/0.18"),
+        warc_record("response", [("WARC-TREC-ID", "clueweb-2")], b"first\nrest", "WARC/0.18"),
+    ]))
+    got = {r.docid: r for r in archives.read_clueweb(spark, str(tmp_path)).collect()}
+    assert got["clueweb-1"].content == "\n<p>hi</p>" and got["clueweb-1"].display_type == "text/html"
+    assert got["clueweb-1"].headers["WARC-TREC-ID"] == "clueweb-1"
+    assert got["clueweb-2"].content == "rest"
+
+
+def test_text_readers(spark, tmp_path):
+    (tmp_path / "urls").write_text("http://a/ text/html\t2004\n\nhttp://b/\n")
+    assert {r.url for r in textfiles.read_url_list(spark, str(tmp_path / "urls")).collect()} == {"http://a/", "http://b/"}
+    (tmp_path / "prefixes").write_text("1,http://a/\n2,http://b/\n")
+    assert [tuple(r) for r in textfiles.read_prefixes(spark, str(tmp_path / "prefixes")).orderBy("id").collect()] == [
+        (1, "http://a/"), (2, "http://b/")]
+    (tmp_path / "seeds").write_text("a.com\nb.com\na.com\n\n")
+    assert {r.host for r in textfiles.read_seeds(spark, str(tmp_path / "seeds")).collect()} == {"a.com", "b.com"}
+    (tmp_path / "ids").write_text("go\nhouse\nhouse\n")
+    assert [r.site_id for r in textfiles.read_site_ids(spark, str(tmp_path / "ids")).collect()] == ["house"]
+    (tmp_path / "meta").write_text(
+        "code\tx\ty\turl\tdate\nU1\tx\ty\thttp://www.a.com/\t2009-03-01 10:00\nalone\nU2\tx\t\"y\thttp://www.a.com/b\t2010-03-01\n")
+    meta = textfiles.read_site_meta(spark, str(tmp_path / "meta")).orderBy("line_no").collect()
+    assert [(r.code, r.url, r.approved) for r in meta] == [
+        ("U1", "http://www.a.com/", "20090301"), ("U2", "http://www.a.com/b", "20100301")]
+    assert len(textfiles.read_site_meta(spark, str(tmp_path / "meta"), header=False).collect()) == 3
+
+
+def test_adjacency_round_trip_and_last_line_wins(spark, tmp_path):
+    table = spark.createDataFrame([(1, [2, 3]), (4, [])], "src long, dst array<long>")
+    sinks.write_adjacency(table, str(tmp_path / "adj"))
+    assert {r.src: r.dst for r in textfiles.read_adjacency(spark, str(tmp_path / "adj")).collect()} == {1: [2, 3], 4: []}
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "part-0").write_text("7\t[1, 2]\n7\t[3]\n8 [1]\n")
+    (tmp_path / "more" / "part-1").write_text("8 [2]\n")
+    (tmp_path / "more" / "other").write_text("9 [2]\n")
+    assert {r.src: r.dst for r in textfiles.read_adjacency(spark, str(tmp_path / "more")).collect()} == {7: [3], 8: [2]}
+
+
+def test_sinks(spark, tmp_path):
+    counts = spark.createDataFrame([("b", 1), ("a", 2)], "key string, n long").repartition(1)
+    sinks.write_counts(counts, str(tmp_path / "counts"))
+    sinks.write_counts(counts, str(tmp_path / "counts"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "counts")).collect()] == ["a\t2", "b\t1"]
+    edges = spark.createDataFrame([(2, 1, 5), (1, 2, 3), (1, 1, 0)], "source long, target long, weight long").coalesce(1)
+    sinks.write_site_edges(edges, str(tmp_path / "edges"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "edges")).collect()] == ["Source,Target,Weight", "1,2,3", "2,1,5"]
+    assert spark.read.option("header", True).csv(str(tmp_path / "edges")).filter(F.col("Weight") == 0).count() == 0
