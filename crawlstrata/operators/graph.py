@@ -29,28 +29,40 @@ def parsed_links(html: pa.Array, url: pa.Array) -> pa.Array:
     return pa.array(found, type=_LINKS_ARROW)
 
 
+# A URL's origin, its path, and the scheme of a link.
+ORIGIN = "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+PATH = "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
+LINK_PATH = "^([^?#]*)"
+LINK_SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):"
+
+
+def _place(origin: Column, rest: Column) -> Column:
+    """A URL of its origin and the rest, the path of which may hold dot segments."""
+    path = F.regexp_extract(rest, LINK_PATH, 1)
+    resolved = F.concat(origin, collapse_dot_segments(path), F.substr(rest, F.length(path) + 1))
+    return F.when(path.contains("/."), resolved).otherwise(F.concat(origin, rest))
+
+
 def resolve_url(base: Column, link: Column) -> Column:
     """`link` made absolute against `base`, null if its protocol is not one of a link."""
-    origin = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    whole_path = F.regexp_extract(base, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    folder = F.regexp_extract(whole_path, "^(.*/)", 1)
+    origin, path = F.regexp_extract(base, ORIGIN, 1), F.regexp_extract(base, PATH, 1)
+    folder = F.regexp_extract(path, "^(.*/)", 1)
     folder = F.when(folder == "", "/").otherwise(folder)
-    unmarked = F.substring_index(base, "#", 1)
-    path = F.regexp_extract(link, "^([^?#]*)", 1)
-    suffix = F.substr(link, F.length(path) + 1)
-    target_path = F.when(link.startswith("/"), path).otherwise(F.concat(folder, path))
-    dotted = target_path.contains("/.")
-    clean = F.regexp_replace(collapse_dot_segments(target_path), r"^(/\.\.)+(?=/|$)", "")
-    target_path = F.when(dotted, clean).otherwise(target_path)
-    scheme = F.lower(F.regexp_extract(link, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    written = F.regexp_extract(link, LINK_SCHEME, 1)
+    lowered = F.concat(F.lower(written), F.substr(link, F.length(written) + 1))
+    own = F.regexp_extract(lowered, ORIGIN, 1)
+    whole = F.when(own == "", lowered).otherwise(_place(own, F.substr(lowered, F.length(own) + 1)))
+    beside = F.concat(F.substring_index(base, ":", 1), F.lit(":"), F.regexp_extract(link, "^(//[^/?#]*)", 1))
+    beside_rest = F.regexp_replace(link, "^//[^/?#]*", "")
     return (
-        F.when(scheme != "", F.when(scheme.isin(sorted(LINK_SCHEMES)), link))
+        F.when(written != "", F.when(F.lower(written).isin(sorted(LINK_SCHEMES)), whole))
         .when(origin == "", None)
         .when(link == "", base)
-        .when(link.startswith("//"), F.concat(F.substring_index(base, ":", 1), F.lit(":"), link))
-        .when(link.startswith("#"), F.concat(unmarked, link))
-        .when(link.startswith("?"), F.concat(origin, F.when(whole_path == "", "").otherwise(whole_path), link))
-        .otherwise(F.concat(origin, target_path, suffix))
+        .when(link.startswith("//"), _place(beside, beside_rest))
+        .when(link.startswith("#"), F.concat(F.substring_index(base, "#", 1), link))
+        .when(link.startswith("?"), F.concat(origin, path, link))
+        .when(link.startswith("/"), _place(origin, link))
+        .otherwise(_place(origin, F.concat(folder, link)))
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from html import unescape
-from urllib.parse import urljoin, urlsplit
 
 # What ends a block of text.
 BLOCKS = frozenset(
@@ -25,7 +24,9 @@ BLANKS = re.compile(r"[ \t\n\r\f\x0b\xa0]{2,}|[\t\n\r\f\x0b\xa0]")
 ATTRIBUTES = r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)|[\"'])*+"
 TOKEN = re.compile(rf"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES})>|<[!?/][^>]*>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(\s*=\s*)(\"[^\"]*\"|'[^']*'|[^\s>]*)|[^\s=>\"'/]+")
-ORIGIN = re.compile(r"https?://[^/?#]+")
+SCHEME = re.compile(r"([a-zA-Z][a-zA-Z0-9+.-]*):")
+ORIGIN = re.compile(r"[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*")
+PATH = re.compile(r"[^?#]*")
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 
 
@@ -65,20 +66,51 @@ def attribute(attributes: str, wanted: str) -> str | None:
     return None
 
 
+def _collapse(path: str) -> str:
+    """Resolve `.` and `..` segments; a `..` with nothing to remove stays."""
+    done: list[str] = []
+    parts = path.split("/")
+    for part in parts:
+        if part == ".." and len(done) > 1 and done[-1] != "..":
+            done.pop()
+        elif part != ".":
+            done.append(part)
+    if parts[-1] in (".", "..") and done[-1] != "..":
+        done.append("")
+    return "/".join(done)
+
+
+def _place(origin: str, rest: str) -> str:
+    """A URL of its origin and the rest, the path of which may hold dot segments."""
+    if "/." not in rest:
+        return origin + rest
+    path = PATH.match(rest).group()
+    return origin + _collapse(path) + rest[len(path) :]
+
+
 def absolute(base: str, link: str) -> str:
     """`link` resolved against `base`, '' if that gives no usable URL."""
     link = link.strip()
-    if "/." not in link:
-        if link[:1] == "/" and link[1:2] != "/" and (origin := ORIGIN.match(base)):
-            return origin.group() + link
-        if link.startswith(("http://", "https://")) and len(link) > 8:
-            return link
-    try:
-        url = urljoin(base, link)
-        scheme = urlsplit(url).scheme
-        return scheme + url[len(scheme) :] if scheme in LINK_SCHEMES else ""
-    except ValueError:
+    if named := SCHEME.match(link):
+        scheme = named.group(1).lower()
+        if scheme not in LINK_SCHEMES:
+            return ""
+        link = scheme + link[len(scheme) :]
+        full = ORIGIN.match(link)
+        return _place(full.group(), link[full.end() :]) if full else link
+    found = ORIGIN.match(base)
+    if not found:
         return ""
+    origin, path = found.group(), PATH.match(base, found.end()).group()
+    if not link:
+        return base
+    if link.startswith("//"):
+        return absolute("", base.split(":", 1)[0] + ":" + link)
+    if link[0] == "#":
+        return base.split("#", 1)[0] + link
+    if link[0] == "?":
+        return origin + path + link
+    return _place(origin, link if link[0] == "/" else path[: path.rfind("/") + 1] + link if path else "/" + link)
 
 
 def _clean(parts: list[str]) -> str:
@@ -150,10 +182,8 @@ def replay_copy(html: str, page_url: str, prefix: str) -> str:
     def replayed(link: str, against: str) -> str:
         if link.strip().lower().startswith(UNTOUCHED) or link.startswith(prefix):
             return link
-        try:
-            return prefix + (absolute(against, link) or urljoin(against, link.strip()))
-        except ValueError:
-            return link
+        url = absolute(against, link)
+        return prefix + url if url else link
 
     def tag(found):
         start, name, attributes = found.groups()

@@ -65,7 +65,10 @@ def test_replay(html, expected):
 def test_absolute():
     assert absolute("http://a.com/b/c", "/d/../e") == "http://a.com/e"
     assert absolute("http://a.com", "x") == "http://a.com/x"
-    assert absolute("http://a.com/", "http://[bad") == "http://[bad"
+    assert absolute("http://a.com/b", "http://C.com/x/../y?z=/../q") == "http://C.com/y?z=/../q"
+    assert absolute("http://a.com/b", "../../x") == "http://a.com/../../x"
+    assert absolute("http://a.com/b/", "//c.com/./d") == "http://c.com/d"
+    assert absolute("ftp://a.com/b", "c") == "ftp://a.com/c"
     assert absolute("", "x") == ""
 
 
