@@ -11,6 +11,7 @@ from crawlstrata.functions.content import DEFAULT_CHARSET, decode_as
 from crawlstrata.functions.keys import collapse_dot_segments, strip_blanks
 from crawlstrata.operators.markup import LINK_SCHEMES, links_of
 from crawlstrata.operators.search import html_only
+from crawlstrata.session import cut_lineage
 
 # Ids per bin of the range join: one site's range is cut into bins, an id falls into one of them.
 BIN_WIDTH = 1 << 16
@@ -175,8 +176,10 @@ def site_graph(adjacency: DataFrame, ranges: DataFrame) -> DataFrame:
 
     A page counts for every site whose range holds it, a target for the one with the longest prefix
     (then the lowest id). Links are added up per (source site, target page) before targets are placed,
-    so a page everyone links to brings at most one row per site to that join.
+    so a page everyone links to brings at most one row per site to that join. A src may have several
+    rows if no target is in two of them. The ranges, one row per prefix, are written once for both ends.
     """
+    ranges = cut_lineage(ranges)
     sources = sites_of_ids(adjacency.select("src", "dst"), "src", ranges, "source")
     counted = (
         sources.select("source", F.explode(F.array_distinct("dst")).alias("dst"))

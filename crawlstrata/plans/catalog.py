@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,10 @@ from crawlstrata.plans.views import (
     stamp,
     table,
 )
+from crawlstrata.plans.written import ARC_HEAD, write_arcs
+from crawlstrata.session import checkpoint_dir, cut_lineage
 from crawlstrata.sources import archives, sinks, textfiles
+from crawlstrata.streaming.increment import ingest_increment as load_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,16 +162,16 @@ def _http(status: str, body) -> F.Column:
     return F.concat(head.cast("binary"), F.lit("\r\n").cast("binary"), body)
 
 
-def _arc_bytes(pages: DataFrame) -> F.Column:
-    """An ARC file that holds one page."""
-    block = F.lit("1 0 test\nURL IP-address Archive-date Content-type Archive-length\n")
+def _arc_record() -> F.Column:
+    """One page as an ARC record."""
     message = _http("200 OK", F.col("content"))
-    first = F.concat(F.lit("filedesc://x.arc 0.0.0.0 20240101000000 text/plain "), F.length(block), F.lit("\n"), block)
-    line = F.concat_ws(
-        " ", "url", F.lit("10.0.0.1"), "capture_date", F.lit("text/html"),
-        F.octet_length(message),
-    )
-    return F.concat(first.cast("binary"), F.lit("\n").cast("binary"), line.cast("binary"), F.lit("\n").cast("binary"), message)
+    line = F.concat_ws(" ", "url", F.lit("10.0.0.1"), "capture_date", F.lit("text/html"), F.octet_length(message))
+    return F.concat(line.cast("binary"), F.lit("\n").cast("binary"), message, F.lit("\n").cast("binary"))
+
+
+def _arc_bytes() -> F.Column:
+    """An ARC file that holds one page."""
+    return F.concat(F.lit(ARC_HEAD).cast("binary"), _arc_record())
 
 
 def _warc_record(version: str, kind, body, *fields) -> F.Column:
@@ -216,7 +220,7 @@ WARC_REQUEST_SQL = f"""SELECT 'page-' || page_id, url, {KEY}, {PAGE_STAMP.format
 @query(ARC_SQL)
 def read_arc(spark, d):
     pages = page_captures(spark, d)
-    return _archived(archives.decode_files(_files(pages, _arc_bytes(pages)))).filter("record_type = 'response'")
+    return _archived(archives.decode_files(_files(pages, _arc_bytes()))).filter("record_type = 'response'")
 
 
 @query(f"{WARC_SQL} UNION ALL {WARC_REQUEST_SQL}")
@@ -228,7 +232,7 @@ def read_warc(spark, d):
 @query(f"{ARC_SQL} WHERE url LIKE 'http:%' UNION ALL {WARC_SQL} WHERE url LIKE 'https:%'")
 def format_dispatch(spark, d):
     pages = page_captures(spark, d)
-    either = F.when(F.col("url").startswith("http:"), _arc_bytes(pages)).otherwise(_warc_bytes(pages))
+    either = F.when(F.col("url").startswith("http:"), _arc_bytes()).otherwise(_warc_bytes(pages))
     return _archived(archives.decode_files(_files(pages, either))).filter("record_type = 'response'")
 
 
@@ -373,6 +377,21 @@ def bulk_load_rows(spark, d):
     )
 
 
+@query(f"""SELECT url_key, 'text/html' AS content_type, capture_date, content_length, hash FROM
+  (SELECT {KEY} AS url_key, {PAGE_STAMP.format('%Y%m%d%H%M%S')} AS capture_date, CAST(strlen(html) AS BIGINT) AS content_length,
+     md5(html) AS hash FROM pages) WHERE content_length <= 1048576""")
+def ingest_increment(spark, d):
+    """Pages arrive as ARC files in two parts; each is loaded as it comes."""
+    pages = page_captures(spark, d)
+    folder = f"{checkpoint_dir(spark)}/arrivals-{uuid.uuid4()}"
+    secure = F.col("url").startswith("https:")
+    for part, arrived in (("first", pages.filter(~secure)), ("second", pages.filter(secure))):
+        write_arcs(arrived.select(_arc_record().alias("record")), f"{folder}/files", part)
+        load_increment(spark, f"{folder}/files", f"{folder}/table", f"{folder}/progress").awaitTermination()
+    loaded = spark.read.parquet(f"{folder}/table")
+    return loaded.select("url_key", "content_type", "capture_date", "content_length", C.content_hash("content").alias("hash"))
+
+
 @query(over_captures("""SELECT CASE WHEN length(url_key) > 1 THEN substr(url_key, 1, 1) ELSE '' END AS first_char,
   count(*) AS captures FROM caps GROUP BY 1"""))
 def key_histogram(spark, d):
@@ -523,10 +542,10 @@ def site_base_paths(spark, d):
     return text.site_base_paths(page_captures(spark, d), _site_ids(spark, d))
 
 
-@query("SELECT CAST(user_id AS VARCHAR) || chr(9) || '[' || string_agg(event_id::VARCHAR, ', ' ORDER BY event_id) || ']' AS value FROM events GROUP BY user_id")
+@query("""SELECT CAST(event_id AS VARCHAR) || chr(9) || '[' || user_id || ', ' || event_id % 97 || ']' AS value FROM events""")
 def adjacency_lines(spark, d):
-    lists = table(spark, d, "events").groupBy(F.col("user_id").alias("src")).agg(
-        F.array_sort(F.collect_list("event_id")).alias("dst")
+    lists = table(spark, d, "events").select(
+        F.col("event_id").alias("src"), F.array("user_id", F.col("event_id") % 97).alias("dst")
     )
     return sinks.adjacency_lines(lists)
 
@@ -619,7 +638,8 @@ def _urls(spark, d) -> DataFrame:
 
 
 def _url_ids(spark, d) -> DataFrame:
-    return urlids.build_url_ids(_urls(spark, d))
+    """The numbered URLs, written once: most jobs look ids up more than once."""
+    return cut_lineage(urlids.build_url_ids(_urls(spark, d)))
 
 
 @query(f"WITH {LINKS_SQL} SELECT page_id, url, target, anchor FROM links")
@@ -634,7 +654,7 @@ def extract_links_plain(spark, d):
 
 @query(f"WITH {GRAPH_SQL} SELECT url, id FROM ids")
 def build_url_ids(spark, d):
-    return _url_ids(spark, d)
+    return urlids.build_url_ids(_urls(spark, d))
 
 
 @query("SELECT url, row_number() OVER (ORDER BY url) AS id FROM (SELECT DISTINCT url FROM pages)")
@@ -753,7 +773,7 @@ def _walks(spark, d, ids) -> DataFrame:
     source = numbered.select(F.col("page_id").alias("a"), F.col("id").alias("src"))
     target = numbered.select(F.col("page_id").alias("b"), F.col("id").alias("dst"))
     edges = steps.join(source, "a").join(target, "b").select("src", "dst").distinct()
-    return edges.groupBy("src").agg(F.collect_list("dst").alias("dst"))
+    return edges.select("src", F.array("dst").alias("dst"))
 
 
 @query(f"""WITH {GRAPH_SQL}, {RANGES_SQL}, {WALKS_SQL},

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,15 +38,15 @@ _ARROW = pa.schema([
 ])
 
 
-def _open(path: str):
-    """A buffered stream on a file of any file system Arrow knows (local, HDFS, S3, GCS)."""
-    if path.startswith("file:"):
-        from urllib.parse import unquote, urlparse
+def file_system(path: str):
+    """The Arrow file system of a path or URI (local, HDFS, S3, GCS) and the path inside it."""
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), unquote(urlparse(path).path) if path.startswith("file:") else path
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
 
-        return open(unquote(urlparse(path).path), "rb")
-    from pyarrow import fs
 
-    system, inside = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
+def _open(path: str):
+    system, inside = file_system(path)
     return io.BufferedReader(system.open_input_stream(inside, compression=None), 1 << 20)
 
 
@@ -87,23 +89,30 @@ def decode_files(files: DataFrame, max_bytes: int | None = None, version: str =
     return files.mapInArrow(_decoder(max_bytes, version.encode()), RECORDS)
 
 
-def archive_files(spark: SparkSession, path: str) -> DataFrame:
-    """Paths and sizes of the archive files below a folder; file bytes are not read.
+def archive_files(spark: SparkSession, path: str, with_bytes: bool = False) -> DataFrame:
+    """Paths and sizes of the archive files below a folder; file bytes are read only `with_bytes`.
 
     Spark packs small files into one task by size and gives a large file a task of its own.
     """
+    columns = ["path", "length", "content"] if with_bytes else ["path", "length"]
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", ARCHIVE_FILES)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", "length")
+        .select(*columns)
     )
 
 
-def read_records_of(spark: SparkSession, path: str, max_bytes: int | None = None, version: str = "WARC/") -> DataFrame:
-    """Raw records of every archive below a folder."""
-    return decode_files(archive_files(spark, path), max_bytes, version)
+def read_records_of(
+    spark: SparkSession, path: str, max_bytes: int | None = None, version: str = "WARC/", with_bytes: bool = False
+) -> DataFrame:
+    """Raw records of every archive below a folder.
+
+    `with_bytes` lets Spark's own file systems read whole files (below 2 GiB each) instead of Arrow's
+    streaming them, for clusters where Arrow has no client for the storage.
+    """
+    return decode_files(archive_files(spark, path, with_bytes), max_bytes, version)
 
 
 def to_captures(records: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def compare(spark, db, folder, name, query, sql):
         return f"columns {names} != {want_names}"
     if got == want:
         return None if got else "equal but empty"
-    left, right = [r for r in got if r not in set(want)], [r for r in want if r not in set(got)]
+    left, right = sorted(set(got) - set(want)), sorted(set(want) - set(got))
     return f"rows {len(got)} / {len(want)}; only Spark {len(left)} {left[:2]}; only SQL {len(right)} {right[:2]}"[:1500]
 
 

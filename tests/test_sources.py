@@ -103,6 +103,8 @@ def test_read_archives(spark, folder):
     assert (plain.content_type, plain.http_status, bytes(plain.content)) == (None, -1, b"no http")
     assert got["dns:a.com", "response", "one.arc.gz"].url_key is None
     assert not any("ignored" in name for _, _, name in got) and len(got) == 10
+    held = archives.to_captures(archives.read_records_of(spark, folder, with_bytes=True))
+    assert held.select("url", "content").exceptAll(archives.read_archives(spark, folder).select("url", "content")).count() == 0
     assert archives.read_arc(spark, folder).count() == 6 and archives.read_warc(spark, folder).count() == 4
 
 
