@@ -76,11 +76,14 @@ def plain_links(html: Column, url: Column) -> Column:
     pattern = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
     hrefs = F.regexp_extract_all(visible, F.lit(pattern), 1)
 
-    def link(raw: Column) -> Column:
-        bare = strip_blanks(F.replace(F.regexp_replace(raw, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&")))
-        return F.struct(resolve_url(url, bare).alias("target"), F.lit(None).cast("string").alias("anchor"))
-
-    return F.transform(hrefs, link)
+    bare = F.transform(
+        hrefs,
+        lambda raw: strip_blanks(F.replace(F.regexp_replace(raw, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&"))),
+    )
+    return F.transform(
+        bare,
+        lambda link: F.struct(resolve_url(url, link).alias("target"), F.lit(None).cast("string").alias("anchor")),
+    )
 
 
 def page_links(captures: DataFrame, charset: str = DEFAULT_CHARSET, parser: str = "html", mode: str = "exact") -> DataFrame:
