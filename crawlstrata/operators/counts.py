@@ -72,17 +72,16 @@ def duplicate_groups(captures: DataFrame, scope: str = "all_captures") -> DataFr
     """Per URL and content held more than once: copies, unordered pairs, bytes summed once per pair.
 
     `all_captures` compares every capture of a URL; `latest_per_type` only the newest of each type.
-    A stored `content_sha` column is used where there is one, so content need not be read. Pair
+    Stored digests and lengths are used where there are any, so content need not be read. Pair
     counts are decimals, as a third of an archive in one group overflows 64 bits.
     """
     if scope == "latest_per_type":
         newest = F.max_by("_cell", F.struct("capture_ts", "source_file", "source_offset"))
     elif scope != "all_captures":
         raise ValueError(scope)
-    digest = F.col("content_sha") if "content_sha" in captures.columns else F.sha2("content", 256)
-    size = F.coalesce("content_length", F.octet_length("content")) if "content_length" in captures.columns else (
-        F.octet_length("content")
-    )
+    stored = {"content_sha", "content_length"} <= set(captures.columns)
+    digest = F.col("content_sha") if stored else F.sha2("content", 256)
+    size = F.col("content_length") if stored else F.octet_length("content")
     cells = captures.filter(F.col("url_key").isNotNull())
     cell = F.struct(digest.alias("digest"), size.cast("long").alias("length")).alias("_cell")
     if scope == "latest_per_type":

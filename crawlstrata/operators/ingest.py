@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlstrata.operators.numbering import running_totals
-from crawlstrata.operators.versions import latest_write
+from crawlstrata.operators.versions import IDENTITY, latest_write
 
 # Largest content loaded (inclusive), type of captures that name none, record type loaded.
 MAX_CONTENT_BYTES = 1024 * 1024
@@ -49,20 +50,48 @@ def sorted_by_key(captures: DataFrame, partitions: int | None = None) -> DataFra
     return ranged.sortWithinPartitions("url_key", "capture_ts")
 
 
-def bulk_load(captures: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
-    """Write loadable captures, one per identity, as Parquet in key order."""
-    sorted_by_key(latest_write(loadable(captures)), partitions).write.mode(mode).parquet(path)
+def bulk_load(captures: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Write loadable captures, one per identity, as Parquet in `partitions` ranges of keys."""
+    sorted_by_key(latest_write(loadable(captures)), partitions).write.mode("overwrite").parquet(path)
+
+
+def append_new(captures: DataFrame, path: str, max_bytes: int = MAX_CONTENT_BYTES) -> None:
+    """Add the loadable captures whose identity the table does not hold yet; it is made if missing.
+
+    Of the table only identities in the new captures' time span are read. Repeating an append adds
+    nothing, so it may be retried.
+    """
+    # Kept on executor disks because it is read twice; a lost executor's part is computed again.
+    fresh = latest_write(loadable(captures, max_bytes)).persist(StorageLevel.DISK_ONLY)
+    try:
+        fresh.limit(0).write.mode("append").parquet(path)
+        span = fresh.agg(F.min("capture_ts").alias("low"), F.max("capture_ts").alias("high")).first()
+        if span.low is None:
+            return
+        identities = fresh.select(*IDENTITY)
+        held = (
+            captures.sparkSession.read.schema(identities.schema)
+            .parquet(path)
+            .filter(F.col("capture_ts").between(F.lit(span.low), F.lit(span.high)))
+        )
+        sorted_by_key(fresh.join(held, IDENTITY, "left_anti")).write.mode("append").parquet(path)
+    finally:
+        fresh.unpersist()
 
 
 def ingest(captures: DataFrame, path: str, mode: str, max_bytes: int = MAX_CONTENT_BYTES) -> None:
-    """Load captures into the table at `path`: `create` replaces it, `append` adds to it."""
-    write_mode = {"create": "overwrite", "append": "append"}[mode]
-    sorted_by_key(latest_write(loadable(captures, max_bytes))).write.mode(write_mode).parquet(path)
+    """Load captures into the table at `path`: `create` replaces it, `append` adds what it lacks."""
+    if mode == "create":
+        sorted_by_key(latest_write(loadable(captures, max_bytes))).write.mode("overwrite").parquet(path)
+    elif mode == "append":
+        append_new(captures, path, max_bytes)
+    else:
+        raise ValueError(mode)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Captures of a loaded table; rewrites of one identity by later loads count once."""
-    return latest_write(spark.read.parquet(path))
+    """Captures of a loaded table, which holds each identity once."""
+    return spark.read.parquet(path)
 
 
 def key_histogram(captures: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ CAPTURES = T.StructType([
     T.StructField("record_type", T.StringType()),
     T.StructField("content", T.BinaryType()),
     T.StructField("content_length", T.LongType()),
+    T.StructField("content_sha", T.StringType()),
     T.StructField("ip", T.StringType()),
     T.StructField("http_status", T.IntegerType()),
     T.StructField("http_headers", T.MapType(T.StringType(), T.StringType())),

@@ -119,6 +119,7 @@ def to_captures(records: DataFrame) -> DataFrame:
     """Captures of raw records: HTTP message split, key and time added.
 
     An ARC record's type is its header field; a WARC record's is its HTTP Content-Type, null without one.
+    The digest of the content is stored with it, so that duplicates are found without reading it again.
     """
     parsed = parse_http(records)
     http_type = F.element_at("http_headers", F.lit("content-type"))
@@ -132,6 +133,7 @@ def to_captures(records: DataFrame) -> DataFrame:
         "record_type",
         "content",
         F.coalesce(body, F.col("payload_length")).cast("long").alias("content_length"),
+        F.sha2("content", 256).alias("content_sha"),
         "ip",
         "http_status",
         "http_headers",

@@ -2,42 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crawlstrata.operators.ingest import MAX_CONTENT_BYTES, loadable, sorted_by_key
-from crawlstrata.operators.versions import IDENTITY, latest_write
-from crawlstrata.schema import CAPTURES
+from crawlstrata.operators.ingest import MAX_CONTENT_BYTES, append_new
 from crawlstrata.sources.archives import ARCHIVE_FILES, decode_files, to_captures
 
 # The columns of Spark's binary file source.
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _append_new(table: str, max_bytes: int):
-    def append(batch: DataFrame, _batch_id: int) -> None:
-        # Kept on executor disks because it is read twice; a lost executor's part is decoded again.
-        captures = loadable(to_captures(decode_files(batch.select("path"))), max_bytes)
-        fresh = latest_write(captures).persist(StorageLevel.DISK_ONLY)
-        try:
-            span = fresh.agg(F.min("capture_ts").alias("low"), F.max("capture_ts").alias("high")).first()
-            if span.low is None:
-                return
-            held = (
-                batch.sparkSession.read.schema(CAPTURES)
-                .parquet(table)
-                .filter(F.col("capture_ts").between(F.lit(span.low), F.lit(span.high)))
-                .select(*IDENTITY)
-            )
-            sorted_by_key(fresh.join(held, IDENTITY, "left_anti")).write.mode("append").parquet(table)
-        finally:
-            fresh.unpersist()
-
-    return append
-
-
 def ingest_increment(
     spark: SparkSession,
     path: str,
@@ -52,7 +26,10 @@ def ingest_increment(
     out, so a batch repeated after a failure adds nothing twice. Only paths travel through the stream;
     tasks open the files themselves.
     """
-    spark.createDataFrame([], CAPTURES).write.mode("append").parquet(table)
+
+    def append(batch: DataFrame, _batch_id: int) -> None:
+        append_new(to_captures(decode_files(batch, max_bytes)), table, max_bytes)
+
     files = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
@@ -63,7 +40,7 @@ def ingest_increment(
         .select("path")
     )
     return (
-        files.writeStream.foreachBatch(_append_new(table, max_bytes))
+        files.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
