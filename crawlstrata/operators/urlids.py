@@ -50,11 +50,15 @@ def lengths_of(table: DataFrame, column: str) -> Column:
 def prefix_id_ranges(prefixes: DataFrame, url_ids: DataFrame) -> DataFrame:
     """First and last id of the URLs under each prefix, null where there are none.
 
-    Each URL is cut to the lengths prefixes have, which turns the prefix match into an equality, and
-    ids are reduced to two per prefix before they are shuffled for it.
+    Each URL is cut to the lengths prefixes have, which turns the prefix match into an equality. A
+    prefix that holds a large part of the URLs is a skewed key of that join, which adaptive execution
+    splits; each part is then reduced to two ids before they meet.
     """
     sized = url_ids.select("url", "id", lengths_of(prefixes, "prefix").alias("_lengths"))
     cut = sized.select(F.explode(leading_parts(F.col("url"), F.col("_lengths"))).alias("prefix"), "id")
-    wanted = prefixes.select("prefix").distinct()
-    ranges = cut.join(wanted, "prefix").groupBy("prefix").agg(F.min("id").alias("start_id"), F.max("id").alias("end_id"))
-    return prefixes.join(ranges, "prefix", "left").select("id", "prefix", "start_id", "end_id")
+    # The prefixes enter the join as they are: an aggregate on that side would keep it from being split.
+    named = prefixes.select(F.col("id").alias("_prefix_id"), "prefix")
+    ranges = cut.join(named, "prefix").groupBy("_prefix_id").agg(
+        F.min("id").alias("start_id"), F.max("id").alias("end_id")
+    )
+    return prefixes.join(ranges, F.col("id") == F.col("_prefix_id"), "left").select("id", "prefix", "start_id", "end_id")

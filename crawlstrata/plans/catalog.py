@@ -496,10 +496,10 @@ def count_rows(spark, d):
 
 
 @query(over_captures(f"""
-SELECT host, count(*) AS n, 'http://localhost:9191/crawl?query=' || host || '/' AS link
+SELECT host, count(*) AS n, 'http://replay.example/crawl?query=' || host || '/' AS link
 FROM (SELECT url_key, 'http://' || min({HOST_SQL.format('url')}) AS host FROM caps GROUP BY url_key) GROUP BY host"""))
 def host_directory(spark, d):
-    return counts.host_directory(capture_index(spark, d), "http://localhost:9191/", "crawl")
+    return counts.host_directory(capture_index(spark, d), "http://replay.example/", "crawl")
 
 
 DUPLICATES_SQL = """
@@ -873,8 +873,8 @@ def strip_tags(spark, d):
 
 
 @query(over_captures(r"""SELECT url_key, url, strftime(capture_ts, '%Y%m%d%H%M%S') AS seen,
-  md5(regexp_replace(content, '<a href="(/[^"]*)"', '<a href="http://localhost:9191/crawl/' || epoch_ms(capture_ts) || '/' ||
+  md5(regexp_replace(content, '<a href="(/[^"]*)"', '<a href="http://replay.example/crawl/' || epoch_ms(capture_ts) || '/' ||
     regexp_extract(url, '^https?://[^/?#]*') || '\1"', 'g')) AS hash FROM caps WHERE content_type = 'text/html'"""))
 def rewrite_links(spark, d):
-    copies = text.rewrite_links(captures(spark, d), "http://localhost:9191/", "crawl")
+    copies = text.rewrite_links(captures(spark, d), "http://replay.example/", "crawl")
     return copies.select("url_key", "url", stamp("capture_ts").alias("seen"), F.md5(F.col("html").cast("binary")).alias("hash"))

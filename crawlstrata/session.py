@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where the next step groups by the join key and must shuffle again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Pages may reach the loading cap of 1 MiB, and an Arrow batch must stay below 2 GiB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
