@@ -44,19 +44,14 @@ def hosts_matching(hosts: DataFrame, names: DataFrame, name: str) -> DataFrame:
 
 def seed_hosts(hosts: DataFrame, seeds: DataFrame) -> DataFrame:
     """The distinct hosts that match a seed."""
-    return hosts_matching(hosts, seeds.select(F.col("host").alias("seed")).distinct(), "seed").select("host").distinct()
-
-
-def site_codes(meta: DataFrame) -> DataFrame:
-    """(site, code) of a site table: one row per host, its last line."""
-    rows = meta.select(host_name("url").alias("site"), "code", "line_no").filter(F.col("site").isNotNull())
-    return rows.groupBy("site").agg(F.max_by("code", "line_no").alias("code"))
+    return hosts_matching(hosts, seeds.select(F.col("host").alias("seed")), "seed").select("host").distinct()
 
 
 def host_codes(hosts: DataFrame, meta: DataFrame) -> DataFrame:
-    """(host, code) of distinct hosts that match a site; the longest site wins."""
-    matches = hosts_matching(hosts, site_codes(meta), "site")
-    return matches.groupBy("host").agg(F.max_by("code", F.struct(F.length("site"), "site")).alias("code"))
+    """(host, code) of distinct hosts that match a site; the longest site wins, then its last line."""
+    sites = meta.select(host_name("url").alias("site"), "code", "line_no").filter(F.col("site").isNotNull())
+    matches = hosts_matching(hosts, sites, "site")
+    return matches.groupBy("host").agg(F.max_by("code", F.struct(F.length("site"), "site", "line_no")).alias("code"))
 
 
 def code_by_label(labels: DataFrame, meta: DataFrame) -> DataFrame:
@@ -71,9 +66,13 @@ def code_by_label(labels: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def _marks(hosts: DataFrame, seeds: DataFrame, meta: DataFrame) -> DataFrame:
-    """(host, code) of the hosts in a seed; the code is null where no site matches."""
-    seeded = seed_hosts(hosts, seeds)
-    return seeded.join(host_codes(seeded, meta), "host", "left").withColumn("in_seeds", F.lit(True))
+    """(host, code) of the hosts in a seed; the code is null where no site matches.
+
+    Written once: a join with an aggregate on its own key could not be split for a host that most
+    links lead to.
+    """
+    seeded = cut_lineage(seed_hosts(hosts, seeds))
+    return cut_lineage(seeded.join(host_codes(seeded, meta), "host", "left").withColumn("in_seeds", F.lit(True)))
 
 
 def _page_days(captures: DataFrame) -> DataFrame:

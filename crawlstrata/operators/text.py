@@ -12,6 +12,7 @@ from crawlstrata.functions.keys import base_path
 from crawlstrata.operators.markup import replay_copy, text_of
 from crawlstrata.operators.search import distinct_urls, html_only
 from crawlstrata.operators.urlids import lengths_of
+from crawlstrata.session import cut_lineage
 
 # How much of a key is searched for a site id.
 ID_SPAN = 40
@@ -47,10 +48,10 @@ def site_of_key(keys: DataFrame, site_ids: DataFrame) -> DataFrame:
         )
     )
     found = sized.select("url_key", F.explode(F.array_distinct(parts)).alias("site_id")).join(
-        site_ids.filter(F.col("site_id") != "").distinct(), "site_id"
+        site_ids.filter(F.col("site_id") != ""), "site_id"
     )
-    sites = found.groupBy("url_key").agg(F.count(F.lit(1)).alias("_n"), F.min("site_id").alias("site_id"))
-    return sites.filter("_n = 1").select("url_key", "site_id")
+    sites = found.groupBy("url_key").agg(F.min("site_id").alias("site_id"), F.max("site_id").alias("_other"))
+    return sites.filter("site_id = _other").select("url_key", "site_id")
 
 
 def site_base_paths(captures: DataFrame, site_ids: DataFrame) -> DataFrame:
@@ -61,8 +62,13 @@ def site_base_paths(captures: DataFrame, site_ids: DataFrame) -> DataFrame:
 
 
 def extract_text(captures: DataFrame, site_ids: DataFrame, charset: str = "UTF-8") -> DataFrame:
-    """(site_id, url_key, capture_date, file_name, text) of the HTML captures of keys with one site."""
-    pages = html_only(captures, "contains").join(site_of_key(captures, site_ids), "url_key")
+    """(site_id, url_key, capture_date, file_name, text) of the HTML captures of keys with one site.
+
+    The sites are written once: a join with an aggregate on its own key could not be split for a URL
+    that most captures are of.
+    """
+    sites = cut_lineage(site_of_key(captures, site_ids))
+    pages = html_only(captures, "contains").join(sites, "url_key")
     return pages.select(
         "site_id",
         "url_key",

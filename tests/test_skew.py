@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crawlstrata.functions.keys import url_key
-from crawlstrata.operators import graph, urlids, versions
+from crawlstrata.operators import graph, outlinks, text, urlids, versions
 from crawlstrata.session import prepare
 
 # Thresholds small enough for a test's rows to count as skew.
@@ -67,3 +67,31 @@ def test_hot_url_requests_are_split(small):
     assert len(rows) == n
     assert all(r.served_ts == (start if r.id % 3600 == 0 else start + dt.timedelta(minutes=30)) for r in rows)
     assert "skew=true" in plan
+
+
+def hot_captures(small, n, content):
+    """Captures most of which are of one URL."""
+    hot = F.when(F.col("id") % 10 < 7, F.lit("http://www.hot.com/p")).otherwise(F.concat(F.lit("http://x.com/"), F.col("id").cast("string")))
+    ts = F.timestamp_seconds(F.lit(1074915780) + F.col("id"))
+    return small.range(0, n, 1, 8).select(
+        F.lit("f").alias("source_file"), F.col("id").alias("source_offset"), hot.alias("url"), url_key(hot).alias("url_key"), ts.alias("capture_ts"),
+        F.date_format(ts, "yyyyMMddHHmmss").alias("capture_date"), F.lit("text/html").alias("content_type"), content.cast("binary").alias("content"),
+        F.create_map(F.lit("content-type"), F.lit("text/html")).alias("http_headers"))
+
+
+def test_hot_url_text_is_split(small):
+    n = 3000
+    captures = hot_captures(small, n, F.concat(F.lit("<p>"), F.col("id").cast("string")))
+    rows, plan = collect_with_plan(text.extract_text(captures, small.createDataFrame([("hot",), ("com.x",)], "site_id string")))
+    assert len(rows) == n and sum(r.site_id == "hot" for r in rows) == n * 7 // 10
+    assert "skew=true" in plan
+
+
+def test_hot_host_outlinks_are_split(small):
+    n = 3000
+    link = F.concat(F.lit('<a href="http://b.com/'), F.col("id").cast("string"), F.lit('">t</a><a href="http://c'), F.col("id").cast("string"), F.lit('.com/">u</a>'))
+    seeds = small.createDataFrame([("b.com",)], "host string")
+    meta = small.createDataFrame([("U1", "http://b.com/", "", 1)], "code string, url string, approved string, line_no long")
+    rows, plan = collect_with_plan(outlinks.extract_outlinks(hot_captures(small, n, link), seeds, meta))
+    assert len(rows) == 2 * n and sum((r.code, r.in_seeds) == ("U1", True) for r in rows) == n
+    assert "skew=true" in plan
