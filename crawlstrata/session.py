@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,21 +28,39 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one only on a local master without a setting."""
+    """The shared folder for intermediate tables: `spark.checkpoint.dir`, or one in the warehouse if unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="crawlstrata-checkpoint-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_crawlstrata"
     sc.setCheckpointDir(configured)
     return configured
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/stage-{spark.sparkContext.applicationId}"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it back: a cut of the lineage that any executor
+    can read again, with only the columns that later steps name. `drop_staged` removes all of them.
+    """
+    spark = df.sparkSession
+    path = f"{_stage_root(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; call it when its results have been written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder, so later passes all read the same rows."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, written once, so that later passes all read the same ones."""
+    return stage(df)
