@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstrata.llm import exactdedup, linededup
+from crawlstrata.llm import exactdedup, langid, licenses, linededup, packing, quality, toxicity, urlfilter
 from crawlstrata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,64 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM h
 def op8_exact_dedup(spark, d):
     """Equal texts up to white space, in all documents."""
     return exactdedup.exact_copies(table(spark, d, "documents"))
+
+
+# The rules of the contract, and a list of unwanted hosts as canonical URLs.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+UNWANTED_HOSTS = [
+    "adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net",
+    "free-bets.example.net", "spam-farm.example.org",
+]
+
+
+def _fits(host: str, path: str) -> str:
+    return f"(host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '{path}')"
+
+
+@query(f"""
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{linededup.UPPER}', '{linededup.LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+ruled AS (
+  SELECT *, CASE {' '.join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for h, p, _ in sorted(URL_RULES, key=lambda r: -len(r[0] + r[1])))} END AS rule
+  FROM parts)
+SELECT page_id, host, path, rule,
+       CASE {' '.join(f"WHEN rule = '{h}{p}' THEN '{v}'" for h, p, v in URL_RULES)}
+            WHEN {' OR '.join(_fits(h, '/') for h in UNWANTED_HOSTS)} THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled""")
+def op3_url_filter(spark, d):
+    """The rules and the list of unwanted hosts over all pages."""
+    entries = [(h, p, v, True) for h, p, v in URL_RULES] + [(h, "/", "block", False) for h in UNWANTED_HOSTS]
+    listed = spark.createDataFrame(entries, "host string, path string, verdict string, rule boolean")
+    return urlfilter.judge_urls(table(spark, d, "pages"), listed).drop("entry")
+
+
+@query()
+def op10_quality_rules(spark, d):
+    """Base rules and the isolation forest over all documents."""
+    return quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query()
+def op9_packing(spark, d):
+    """All documents in sequences of 1,024 tokens."""
+    return packing.pack(table(spark, d, "documents"), with_ids=False)
+
+
+@query()
+def op1_license_scan(spark, d):
+    """Licence phrases and templates in all documents."""
+    return licenses.scan(table(spark, d, "documents")).drop("spans")
+
+
+@query()
+def op2_toxicity(spark, d):
+    """Toxicity of all documents, learnt from the labelled ones that are not held out."""
+    return toxicity.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query()
+def op4_language_id(spark, d):
+    """Language of all documents, learnt from those that are not held out."""
+    return langid.identify(table(spark, d, "documents"))
