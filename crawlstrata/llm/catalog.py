@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstrata.llm import exactdedup, langid, licenses, linededup, packing, quality, toxicity, urlfilter
+from crawlstrata.llm import exactdedup, jaccard, langid, licenses, linededup, packing, quality, toxicity, urlfilter
 from crawlstrata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,9 @@ def op2_toxicity(spark, d):
 def op4_language_id(spark, d):
     """Language of all documents, learnt from those that are not held out."""
     return langid.identify(table(spark, d, "documents"))
+
+
+@query()
+def op5_jaccard_join(spark, d):
+    """Documents linked by three-word shingles at 90 percent, in all documents."""
+    return jaccard.link_documents(table(spark, d, "documents"))
