@@ -1,8 +1,70 @@
-"""A corpus pipeline; its stages are added below."""
+"""A corpus pipeline: language identification, line dedup, near-copy removal, mixing, packing.
 
-STAGES = []
+Each stage takes the documents that its predecessor kept and returns documents again, the last one the
+pieces of token sequences. `run` writes every stage's result as Parquet and reads it again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crawlstrata.llm import jaccard, langid, linededup, mixing, packing
+from crawlstrata.llm.catalog import MIX_ROUNDS, MIX_TARGETS, mix_columns
+from crawlstrata.llm.common import fold, table
+from crawlstrata.session import prepare, stage
+
+# A document whose likeliest language is less likely than this is rejected.
+LEAST_LANGUAGE_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; a missing `lang` is filled in. Texts without a letter go."""
+    prepare(spark)
+    model = langid.fit(docs, F.coalesce(fold("doc_id", 5) != 0, F.lit(False)))
+    told = langid.predict(docs, model).filter((F.col("_lang_pred") != langid.UNKNOWN) & (F.col("_score") >= LEAST_LANGUAGE_SCORE))
+    return told.withColumn("lang", F.coalesce("lang", "_lang_pred")).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that others share; `n_chars` is that of the text left."""
+    prepare(spark)
+    kept = linededup.dedup_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 80 percent."""
+    prepare(spark)
+    return jaccard.representatives(docs, size=5, percent=80)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled so that their tokens come close to the target weights."""
+    prepare(spark)
+    return mixing.sample(docs, mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1,024 tokens, with their ids."""
+    prepare(spark)
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_copies", near_copies),
+    ("mixture", mixture),
+    ("packed", packed),
+]
+# Language identification and packing are not expressible in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of `sf_dir`."""
+    docs = table(spark, sf_dir, "documents")
+    for _, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir))
+    return docs

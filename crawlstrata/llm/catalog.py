@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstrata.llm import exactdedup, jaccard, langid, licenses, linededup, packing, quality, toxicity, urlfilter
+from crawlstrata.llm import exactdedup, jaccard, langid, licenses, linededup, mixing, packing, quality, toxicity, urlfilter
 from crawlstrata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,58 @@ def op4_language_id(spark, d):
 def op5_jaccard_join(spark, d):
     """Documents linked by three-word shingles at 90 percent, in all documents."""
     return jaccard.link_documents(table(spark, d, "documents"))
+
+
+# The production mixture.
+MIX_ROUNDS = 10
+MIX_TARGETS = {
+    "source": {"src0": 0.1, "src1": 0.1, "src2": 0.1, "src3": 0.1, "src4": 0.1, "other": 0.5},
+    "lang": {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2},
+    "topic": {"prose": 0.8, "tabular": 0.1, "contact": 0.1},
+}
+
+
+def mix_columns() -> dict:
+    """How the target columns are taken from a document; the topic is told from the form of the text."""
+    topic = F.when(F.contains("text", F.lit(" | ")), "tabular").when(F.contains("text", F.lit("@")), "contact").otherwise("prose")
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic}
+
+
+def mix_sql(documents: str) -> str:
+    """DuckDB text of the mixture over a table: the rounds written out, one after another."""
+    dims = list(MIX_TARGETS)
+    value = {
+        "source": "source", "lang": "lang",
+        "topic": "CASE WHEN contains(text, ' | ') THEN 'tabular' WHEN contains(text, '@') THEN 'contact' ELSE 'prose' END",
+    }
+    known = {d: ", ".join(f"'{k}'" for k in MIX_TARGETS[d] if k != "other") for d in dims}
+    group = ", ".join(f"CASE WHEN {value[d]} IN ({known[d]}) THEN {value[d]} ELSE 'other' END AS m_{d}" for d in dims)
+    keys = ", ".join(f"m_{d}" for d in dims)
+    goal = {d: "CASE m_{} {} ELSE 0.0::DOUBLE END".format(d, " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in MIX_TARGETS[d].items())) for d in dims}
+    steps = [
+        f"rows AS (SELECT *, {group}, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM {documents})",
+        f"cells AS (SELECT {keys}, sum(tokens)::BIGINT AS tokens, sum(tokens)::DOUBLE AS weight FROM rows GROUP BY ALL)",
+        *(f"goals_{d} AS (SELECT m_{d}, {goal[d]} / sum({goal[d]}) OVER () AS goal FROM (SELECT DISTINCT m_{d} FROM cells))" for d in dims),
+    ]
+    last = "cells"
+    for i in range(MIX_ROUNDS):
+        for d in dims:
+            steps.append(
+                f"r{i}_{d} AS (SELECT {keys}, tokens, CASE WHEN sum(weight) OVER (PARTITION BY m_{d}) > 0 THEN weight * goal / "
+                f"sum(weight) OVER (PARTITION BY m_{d}) ELSE 0 END AS weight FROM {last} JOIN goals_{d} USING (m_{d}))"
+            )
+            last = f"r{i}_{d}"
+    ratio = "CASE WHEN tokens > 0 THEN weight / sum(weight) OVER () / tokens ELSE 0 END"
+    steps.append(f"ratios AS (SELECT {keys}, {ratio} AS ratio FROM {last})")
+    steps.append(f"chances AS (SELECT {keys}, round(CASE WHEN max(ratio) OVER () > 0 THEN ratio / max(ratio) OVER () ELSE 0 END, 9) AS probability FROM ratios)")
+    steps.append(
+        "rated AS (SELECT rows.*, probability, coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE, 0) < probability AS kept "
+        f"FROM rows JOIN chances USING ({keys}))"
+    )
+    return ", ".join(steps)
+
+
+@query(f"WITH {mix_sql('documents')} SELECT doc_id, m_source AS source, m_lang AS lang, m_topic AS topic, tokens, probability, kept FROM rated")
+def op7_mixing(spark, d):
+    """Token weights of all documents raked to source, language and topic, and the documents sampled."""
+    return mixing.mix(table(spark, d, "documents"), mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS)

@@ -282,3 +282,16 @@ def link_documents(
     grouped = made.filter("n > 0").select("_id", "n", "digest").join(of_set, "digest").select("_id", "n", "component_id")
     alone = made.filter("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
     return grouped.unionByName(alone).select(F.col("_id").alias(id), F.col("n").alias("n_shingles"), "component_id")
+
+
+def representatives(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of their component: one document of each group.
+
+    Repeated rows (same id and text) are one document. An id is taken to name one text; rows without words
+    are linked with nothing and stay.
+    """
+    kept = link_documents(docs, id, text, **options).filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_kept")).distinct()
+    return (
+        docs.join(stage(kept), F.col(id).eqNullSafe(F.col("_kept")), "left_semi")
+        .withColumn("_text_hash", F.xxhash64(text)).dropDuplicates([id, "_text_hash"]).select(*docs.columns)
+    )
