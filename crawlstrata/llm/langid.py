@@ -8,7 +8,7 @@ weights at zero. A temperature fitted on documents kept out of the fit calibrate
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -190,10 +190,10 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     Without a letter, a text, or a model: UNKNOWN with score 0. Ties go to the first language by name.
     The columns of `docs` must not start with `_` in these two names.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model and astuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, low = held.value, letter_table()
+        model, low = held.value and Model(*held.value), letter_table()
         for batch, texts in pieces(batches, text):
             names, scores = [], []
             for found in vectors(texts, low):

@@ -8,7 +8,7 @@ both share and that are taken over all documents, so an expression too rare in a
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,10 @@ from crawlstrata.llm.common import (
 from crawlstrata.session import stage
 
 BEGIN = np.uint64(1)  # the history of a text's first word
+# What a class's count loses: a constant, and so many times what the counts of both classes lead to expect.
+DISCOUNT = 3
+WORD_FACTOR = 2.5
+PAIR_FACTOR = 1.5
 # A history's pairs tell on their own where each class has so many of them.
 MIN_HISTORY = 10
 # A document's mean is taken as if so many words more told nothing, so that few words prove little.
@@ -114,63 +118,54 @@ def cutoff(counts: DataFrame, column: str, least: int, max_entries: int) -> int:
     return least
 
 
-def discount(once: int, twice: int) -> float:
-    """The share of a count that is left to what was not seen, by how many things were seen once and twice."""
-    return once / (once + 2 * twice) if once + twice else 0.5
-
-
 def fit_models(learn: DataFrame, docs: DataFrame, max_entries: int) -> Model:
     """Both models from the rows of `learn` (`_text`, `_toxic`) and the shared counts from those of `docs`.
 
-    In either class, what was seen once counts as not seen and backs off; the mass that this and the
-    discounts leave is dealt out by the next lower counts over all that was not seen.
+    A class's count is discounted by DISCOUNT and by a multiple of what the shared counts lead to expect
+    of it. So rare expressions, and those that are only somewhat more frequent in a class, say because it has
+    more texts in their language, are left to the shared counts, which tell nothing of the class.
     """
     pairs = stage(pair_counts(learn))
     follows = stage(pairs.groupBy("w").agg(F.count_if(F.col("t") > 0).alias("t"), F.count_if(F.col("o") > 0).alias("o")))
-    seen = lambda c, n: F.count_if(F.col(c) == n).alias(f"{c}{n}")
-    kinds = [F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("o"), F.lit(0)).alias("o")]
-    kinds += [seen(c, n) for c in "to" for n in (1, 2)]
-    of_words, of_pairs = follows.agg(*kinds).first(), pairs.agg(*kinds).first()
+    of_class = follows.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("o"), F.lit(0)).alias("o")).first()
     often = lambda rows: rows.withColumn("c", F.greatest("t", "o"))
-    kept = often(follows).filter(F.col("c") >= cutoff(often(follows), "c", 2, max_entries)).select("w", "t", "o").toPandas()
+    kept = often(follows).filter(F.col("c") >= cutoff(often(follows), "c", DISCOUNT + 1, max_entries)).toPandas()
     order = np.argsort(kept["w"].to_numpy().view(np.uint64))
     words, n_toxic, n_ordinary = (kept[c].to_numpy()[order] for c in ("w", "t", "o"))
     words = words.view(np.uint64)
     shared, total = shared_counts(docs, words)
     base = (shared + 1.0) / (total + len(words) + 1.0)
 
-    def lower(n: np.ndarray, of_class: int, once: int, twice: int) -> tuple[np.ndarray, float]:
-        """Probability of each word by the histories it follows, and the factor of the shared counts."""
-        own = np.where(n > 1, n - discount(once, twice), 0) / max(of_class, 1)
-        rest = max(1 - own.sum(), 1e-9) / max(1 - base[n > 1].sum(), 1e-9)
-        return np.where(n > 1, own, rest * base), rest
+    def lower(n: np.ndarray, of: int) -> tuple[np.ndarray, float]:
+        """Probability of each word by the histories it follows, and the share of the shared counts."""
+        own = np.maximum(n - DISCOUNT - WORD_FACTOR * of * base, 0) / max(of, 1)
+        rest = max(1 - own.sum(), 1e-9)
+        return own + rest * base, rest
 
-    p_toxic, rest_toxic = lower(n_toxic, of_words.t, of_words.t1, of_words.t2)
-    p_ordinary, rest_ordinary = lower(n_ordinary, of_words.o, of_words.o1, of_words.o2)
+    p_toxic, rest_toxic = lower(n_toxic, of_class.t)
+    p_ordinary, rest_ordinary = lower(n_ordinary, of_class.o)
 
     # Pairs tell where both classes know their history from some documents.
     by_history = stage(pairs.groupBy("h").agg(F.sum("t").alias("ht"), F.sum("o").alias("ho")).filter(
         (F.col("ht") >= MIN_HISTORY) & (F.col("ho") >= MIN_HISTORY)
     ))
-    known = stage(often(pairs).filter("c >= 2").join(by_history, "h"))
-    strong = known.filter(F.col("c") >= cutoff(known, "c", 2, max_entries)).drop("c").toPandas()
+    known = stage(often(pairs).filter(F.col("c") > DISCOUNT).join(by_history, "h"))
+    strong = known.filter(F.col("c") >= cutoff(known, "c", DISCOUNT + 1, max_entries)).drop("c").toPandas()
     h, w = (strong[c].to_numpy().view(np.uint64) for c in "hw")
-    histories, first, at_h = np.unique(h, return_index=True, return_inverse=True)
+    t, o, ht, ho = (strong[c].to_numpy().astype(float) for c in ("t", "o", "ht", "ho"))
+    histories, at_h = np.unique(h, return_inverse=True)
     at_w, in_words = sorted_lookup(words, w)
+    both = (t + o) / np.maximum(ht + ho, 1)
 
-    def upper(n: np.ndarray, of: np.ndarray, d: float, p: np.ndarray, rest: float) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of each pair's word after its history, and the factor of the words' counts by history."""
-        own = np.where(n > 1, n - d, 0) / np.maximum(of, 1)
+    def upper(n: np.ndarray, of: np.ndarray, p: np.ndarray, rest: float) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of each pair's word after its history, and the share of the words' counts by history."""
+        own = np.maximum(n - DISCOUNT - PAIR_FACTOR * of * both, 0) / np.maximum(of, 1)
+        left = np.maximum(1 - np.bincount(at_h, weights=own, minlength=len(histories)), 1e-9)
         below = np.where(in_words, p[at_w], rest / (total + len(words) + 1.0)) if len(p) else np.full(len(n), 1e-9)
-        sums = lambda x: np.bincount(at_h, weights=np.where(n > 1, x, 0), minlength=len(histories))
-        left = np.maximum(1 - sums(own), 1e-9) / np.maximum(1 - sums(below), 1e-9)
-        return np.where(n > 1, own, left[at_h] * below), left
-
-    sides = [
-        upper(strong[c].to_numpy(), strong[f"h{c}"].to_numpy(), discount(of_pairs[f"{c}1"], of_pairs[f"{c}2"]), p, rest)
-        for c, p, rest in (("t", p_toxic, rest_toxic), ("o", p_ordinary, rest_ordinary))
-    ]
-    (pair_toxic, left_toxic), (pair_ordinary, left_ordinary) = sides
+        return own + left[at_h] * below, left
+
+    pair_toxic, left_toxic = upper(t, ht, p_toxic, rest_toxic)
+    pair_ordinary, left_ordinary = upper(o, ho, p_ordinary, rest_ordinary)
     keys = pair_hash(h, w)
     order = np.argsort(keys)
     return Model(
@@ -197,11 +192,11 @@ def mean_ratios(texts: list[str], model: Model, low: np.ndarray) -> tuple[np.nda
 
 def with_ratio(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with `_ratio` and `_words` in place of `_text`."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(astuple(model))
     keep = [c for c in docs.columns if c != "_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, low = held.value, letter_table()
+        model, low = Model(*held.value), letter_table()
         for batch, texts in pieces(batches, "_text"):
             ratio, n = mean_ratios(texts, model, low)
             yield pa.RecordBatch.from_arrays(
@@ -251,7 +246,7 @@ def judge(
     held out. The models are fitted on about `per_class` ids of each class at most, drawn by id from the
     remainders 0 and 1, and the score on about `calibration` ids of remainder 3; the sampled ids are what is
     broadcast to pick the texts; as many are taken of the larger class as of the smaller. The shared counts are of all rows. A model keeps the pairs and words that
-    occur twice or more in a class, or more often where over `max_entries` do. An id labelled more than once is toxic if
+    exceed DISCOUNT in a class, or a higher count where over `max_entries` do. An id labelled more than once is toxic if
     any label says so. A null or empty text scores the base rate, as do all texts where a class is missing.
     Repeated rows score alike; an empty table gives no rows; other columns are not read.
     """
@@ -284,13 +279,14 @@ def judge(
     model.base_rate = (sizes.get((True, True), 0) + sizes.get((False, True), 0)) / labelled if labelled else 0.0
     if tried is not None and len(tried := tried[tried["_words"] > 0]):
         model.knots, model.shares = calibrate(tried["_ratio"].to_numpy(), tried["_toxic"].to_numpy())
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(astuple(model))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*held.value)
         for batch in batches:
             ratio, words = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("_ratio", "_words"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores(ratio, words, held.value))], [*batch.schema.names, "_score"]
+                [*batch.columns, pa.array(scores(ratio, words, model))], [*batch.schema.names, "_score"]
             )
 
     rated = with_ratio(all_docs, model)
