@@ -1,8 +1,8 @@
 """Quality rules on text statistics, and an isolation forest over them.
 
 Rule statistics are counted per document. Trees over random splits of small samples isolate unusual
-statistics in few steps; the mean path length gives a score, and the score above which a document is
-rejected is calibrated on labelled rows.
+statistics in few steps; the mean path length gives a score. There is a forest for the form of the words
+and one for repetition, and the scores above which a document is rejected are calibrated on labelled rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,11 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+#: The forests and the features that each splits on.
+FORESTS = {"form": [0, 1, 2], "repetition": [3, 4, 5]}
 BINS = 4096
+# A threshold is used only if it catches this many times the share of bad rows that it costs of the good.
+LEAST_GAIN = 5
 SEED = 20
 
 
@@ -149,31 +153,33 @@ def anomaly(forest: np.ndarray, rows: np.ndarray, sample: int) -> np.ndarray:
     return 2.0 ** (-total / len(forest) / max(_usual_depth(sample), 1e-9))
 
 
-def scored(stats: DataFrame, forest: np.ndarray, sample: int) -> DataFrame:
-    """`stats` with `score`."""
+def scored(stats: DataFrame, forests: dict[str, np.ndarray], sample: int) -> DataFrame:
+    """`stats` with `score_` and the name of each forest."""
+    names = [f"score_{k}" for k in forests]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = {c: batch.column(batch.schema.get_field_index(c)).to_numpy() for c in [*COUNTS, "n_lines", "n_distinct"]}
-            out = anomaly(forest, features(counts), sample)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "score"])
+            rows = features(counts)
+            out = [pa.array(anomaly(forest, rows[:, FORESTS[k]], sample)) for k, forest in forests.items()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], [*batch.schema.names, *names])
 
-    return stats.mapInArrow(score, stats.withColumn("score", F.lit(0.0)).schema)
+    return stats.mapInArrow(score, stats.withColumns({c: F.lit(0.0) for c in names}).schema)
 
 
 def threshold(good: np.ndarray, bad: np.ndarray, max_loss: float) -> float:
-    """The score above which most bad rows lie, with at most `max_loss` of the good rows above it.
+    """The score from which on most bad rows lie, with at most `max_loss` of the good rows there.
 
-    `good` and `bad` count labelled rows by score, in BINS bins over 0 to 1. Without bad rows nothing is
-    rejected; the largest gain of bad over good shares wins, the higher score at a tie.
+    `good` and `bad` count labelled rows by score, in BINS bins over 0 to 1. The largest gain of the share of bad over
+    that of good rows wins, the higher score at a tie; without a gain worth it, nothing reaches it.
     """
     if not bad.sum():
-        return 1.0
+        return np.inf
     lost = np.cumsum(good[::-1])[::-1] / max(good.sum(), 1)
     caught = np.cumsum(bad[::-1])[::-1] / bad.sum()
-    gain = np.where(lost <= max_loss, caught - lost, -1.0)
+    gain = np.where((lost <= max_loss) & (caught > LEAST_GAIN * lost), caught - lost, 0.0)
     best = BINS - 1 - int(np.argmax(gain[::-1]))
-    return best / BINS if gain[best] > 0 else 1.0
+    return best / BINS if gain[best] > 0 else np.inf
 
 
 def judge(
@@ -187,14 +193,14 @@ def judge(
     sample: int = 256,
     max_loss: float = 0.005,
 ) -> DataFrame:
-    """One row per row of `docs`: `id`, COUNTS, `base_failed`, `score`, `kept`.
+    """One row per row of `docs`: `id`, COUNTS, `base_failed`, `kept`, and `score_` of each forest.
 
     `base_failed`: under MIN_WORDS words, or over MAX_REPEAT_PERCENT of them repeated. Other documents are
-    rejected when their score lies above the threshold; it is chosen over all labelled rows (quality 0
-    is bad, repeated labels of an id count as the worst) so that at most `max_loss` of the good ones are lost.
+    rejected when the score of a forest reaches its threshold; that is chosen over all labelled rows (quality
+    0 is bad, repeated labels of an id count as the worst) so that each forest loses at most `max_loss` of the good.
 
-    The forest is fitted on at most about `trees * sample` documents that passed the base rules, drawn by
-    id from those labelled good, or from all where none is labelled; 25,600 rows of six numbers by default. Without
+    The forests are fitted on at most about `trees * sample` documents that passed the base rules, drawn by
+    id from the labelled ones, or from all where none is labelled; 25,600 rows of six numbers by default. Without
     documents to fit on nothing but the base rules rejects. Null and empty texts have no words and fail the
     base rules. Repeated rows and null ids are judged like any other row; an empty table gives no rows;
     other columns are not read.
@@ -203,29 +209,31 @@ def judge(
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     marks = labels.filter(F.col(quality).isNotNull()).groupBy(F.col(label_id).alias("_label_id")).agg(F.min(quality).alias("_quality"))
     labelled = stage(stats.filter(~base_failed).join(marks, F.col("_id") == F.col("_label_id")).drop("_label_id"))
-    fit = labelled.filter("_quality = 1")
+    fit = labelled
     n = fit.count()
     if not n:
         fit = stats.filter(~base_failed)
         n = fit.count()
     bound = trees * sample
     drawn = fit.filter(spread("_id") < bound / max(n, 1)) if n > bound else fit
-    rows = drawn.select(*COUNTS, "n_lines", "n_distinct").toPandas()  # about `bound` rows
+    rows = drawn.select("_id", *COUNTS, "n_lines", "n_distinct").toPandas().sort_values(["_id", "n_words", "word_chars"])  # about `bound` rows
+    names = [f"score_{k}" for k in FORESTS]
     if len(rows):
-        forest = fit_forest(features({c: rows[c].to_numpy() for c in rows}), trees, sample)
-        bins = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int")
-        counted = (
-            scored(labelled, forest, sample).groupBy(bins.alias("bin"), (F.col("_quality") == 0).alias("bad"))
-            .agg(F.count(F.lit(1)).alias("n")).collect()
-        )  # at most two rows per bin
-        by = np.zeros((2, BINS), np.int64)
-        for row in counted:
-            by[int(row.bad), row.bin] = row.n
-        limit = threshold(by[0], by[1], max_loss)
-        judged = scored(stats, forest, sample)
+        values = features({c: rows[c].to_numpy() for c in rows.columns[1:]})
+        forests = {k: fit_forest(values[:, columns], trees, sample) for k, columns in FORESTS.items()}
+        tried = stage(scored(labelled, forests, sample))
+        limits = {}
+        for name in names:
+            bins = F.least(F.floor(F.col(name) * BINS), F.lit(BINS - 1)).cast("int")
+            counted = tried.groupBy(bins.alias("bin"), (F.col("_quality") == 0).alias("bad")).agg(F.count(F.lit(1)).alias("n"))
+            by = np.zeros((2, BINS), np.int64)
+            for row in counted.collect():  # at most two rows per bin
+                by[int(row.bad), row.bin] = row.n
+            limits[name] = threshold(by[0], by[1], max_loss)
+        judged = scored(stats, forests, sample)
     else:
-        limit, judged = 1.0, stats.withColumn("score", F.lit(0.0))
-    return judged.select(
-        F.col("_id").alias(id), *COUNTS, base_failed.alias("base_failed"), "score",
-        (~base_failed & (F.col("score") < limit)).alias("kept"),
-    )
+        limits, judged = dict.fromkeys(names, np.inf), stats.withColumns({c: F.lit(0.0) for c in names})
+    kept = ~base_failed
+    for name, limit in limits.items():
+        kept = kept & (F.col(name) < F.lit(float(limit)))
+    return judged.select(F.col("_id").alias(id), *COUNTS, base_failed.alias("base_failed"), kept.alias("kept"), *names)
