@@ -6,7 +6,9 @@ from pyspark.sql import SparkSession
 
 from crawlstrata.functions.keys import DOMAIN_NAME
 
-_HOST = "try_parse_url(trim(url), 'HOST')"
+# The blanks that host_name of a column strips too: the characters up to and including the space.
+_BLANKS = f"decode(unhex('{''.join(f'{i:02X}' for i in range(33))}'), 'UTF-8')"
+_HOST = f"try_parse_url(btrim(url, {_BLANKS}), 'HOST')"
 
 # SQL bodies of the functions; each is inlined into the calling query's plan.
 SQL_FUNCTIONS = {

@@ -1,41 +1,47 @@
-"""Loading captures into a table sorted by key."""
+"""Loading captures into a table sorted by key.
+
+A table is a folder with one subfolder per load, `load=n` and a rising number. A load is written once and
+never changed; of captures with one identity the last load's counts. So an append costs what it adds, and
+one that is repeated shows nothing new.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlstrata.operators.numbering import running_totals
 from crawlstrata.operators.versions import IDENTITY, latest_write
 
-# Largest content loaded (inclusive), type of captures that name none, record type loaded.
+# A content limit that crawls are often loaded with (inclusive), type of captures that name
+# none, record type loaded.
 MAX_CONTENT_BYTES = 1024 * 1024
 DEFAULT_TYPE = "text/plain"
 LOADED_RECORD_TYPE = "response"
 
 
-def load_reason(max_bytes: int = MAX_CONTENT_BYTES) -> Column:
-    """Why a record is loaded or not; every record has exactly one reason."""
+def load_reason(max_bytes: int | None = None) -> Column:
+    """Why a record is loaded or not; every record has exactly one reason. Nothing is too large without a limit."""
     length = F.coalesce("content_length", F.octet_length("content"))
+    too_large = F.lit(False) if max_bytes is None else length > max_bytes
     return (
         F.when(F.col("url_key").isNull(), "no_key")
         .when(F.coalesce(F.lower("record_type"), F.lit("")) != LOADED_RECORD_TYPE, "not_response")
         .when(length.isNull(), "no_content")
-        .when(length > max_bytes, "too_large")
+        .when(too_large, "too_large")
         .when(F.col("capture_ts").isNull(), "bad_date")
         .otherwise("inserted")
     )
 
 
-def loadable(captures: DataFrame, max_bytes: int = MAX_CONTENT_BYTES) -> DataFrame:
+def loadable(captures: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """The captures a load keeps, with the default type filled in."""
     return captures.filter(load_reason(max_bytes) == "inserted").withColumn(
         "content_type", F.coalesce("content_type", F.lit(DEFAULT_TYPE))
     )
 
 
-def ingest_report(captures: DataFrame, max_bytes: int = MAX_CONTENT_BYTES) -> DataFrame:
+def ingest_report(captures: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Records per reason."""
     return captures.groupBy(load_reason(max_bytes).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
 
@@ -50,48 +56,78 @@ def sorted_by_key(captures: DataFrame, partitions: int | None = None) -> DataFra
     return ranged.sortWithinPartitions("url_key", "capture_ts")
 
 
-def bulk_load(captures: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Write loadable captures, one per identity, as Parquet in `partitions` ranges of keys."""
-    sorted_by_key(latest_write(loadable(captures)), partitions).write.mode("overwrite").parquet(path)
+def _folder(spark: SparkSession, path: str):
+    """The file system of `path`, and the path as that knows it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
-def append_new(captures: DataFrame, path: str, max_bytes: int = MAX_CONTENT_BYTES) -> None:
-    """Add the loadable captures whose identity the table does not hold yet; it is made if missing.
+def loads_of(spark: SparkSession, path: str) -> list[str]:
+    """Names of a table's loads in the order they were made."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(n.removeprefix("load=") for n in names if n.startswith("load="))
 
-    Of the table only identities in the new captures' time span are read. Repeating an append adds
-    nothing, so it may be retried.
-    """
-    # Kept on executor disks because it is read twice; a lost executor's part is computed again.
-    fresh = latest_write(loadable(captures, max_bytes)).persist(StorageLevel.DISK_ONLY)
-    try:
-        fresh.limit(0).write.mode("append").parquet(path)
-        span = fresh.agg(F.min("capture_ts").alias("low"), F.max("capture_ts").alias("high")).first()
-        if span.low is None:
-            return
-        identities = fresh.select(*IDENTITY)
-        held = (
-            captures.sparkSession.read.schema(identities.schema)
-            .parquet(path)
-            .filter(F.col("capture_ts").between(F.lit(span.low), F.lit(span.high)))
-        )
-        sorted_by_key(fresh.join(held, IDENTITY, "left_anti")).write.mode("append").parquet(path)
-    finally:
-        fresh.unpersist()
-
-
-def ingest(captures: DataFrame, path: str, mode: str, max_bytes: int = MAX_CONTENT_BYTES) -> None:
-    """Load captures into the table at `path`: `create` replaces it, `append` adds what it lacks."""
+
+def _write_load(captures: DataFrame, path: str, partitions: int | None = None, tag: str | None = None) -> str:
+    """Write captures as the next load. A load with the same `tag` is written again in its place."""
+    loads = loads_of(captures.sparkSession, path)
+    again = [n for n in loads if tag is not None and n.endswith(f".{tag}")]
+    number = 1 + max((int(n[1:10]) for n in loads), default=0)
+    name = again[0] if again else f"n{number:09d}" + (f".{tag}" if tag else "")
+    sorted_by_key(captures, partitions).write.mode("overwrite").parquet(f"{path}/load={name}")
+    return name
+
+
+def _replace(captures: DataFrame, path: str, partitions: int | None = None) -> None:
+    spark = captures.sparkSession
+    files, folder = _folder(spark, path)
+    kept = f"load={_write_load(captures, path, partitions)}"
+    for status in files.listStatus(folder):
+        if status.getPath().getName() != kept:
+            files.delete(status.getPath(), True)
+
+
+def bulk_load(captures: DataFrame, path: str, partitions: int | None = None, max_bytes: int | None = None) -> None:
+    """Write loadable captures, one per identity, as Parquet in `partitions` ranges of keys; replaces the table."""
+    _replace(latest_write(loadable(captures, max_bytes)), path, partitions)
+
+
+def append_load(captures: DataFrame, path: str, max_bytes: int | None = None, tag: str | None = None) -> None:
+    """Add the loadable captures as one load; the table is made if missing. Nothing in the table is read."""
+    _write_load(latest_write(loadable(captures, max_bytes)), path, tag=tag)
+
+
+def ingest(captures: DataFrame, path: str, mode: str, max_bytes: int | None = None) -> None:
+    """Load captures into the table at `path`: `create` replaces it, `append` adds to it."""
     if mode == "create":
-        sorted_by_key(latest_write(loadable(captures, max_bytes))).write.mode("overwrite").parquet(path)
+        _replace(latest_write(loadable(captures, max_bytes)), path)
     elif mode == "append":
-        append_new(captures, path, max_bytes)
+        append_load(captures, path, max_bytes)
     else:
         raise ValueError(mode)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Captures of a loaded table, which holds each identity once."""
-    return spark.read.parquet(path)
+    """Captures of a loaded table, each identity once, as the last load wrote it.
+
+    Only the identities of several loads are compared. Those written again are left out by a join with
+    what replaces them, so content is not shuffled while the replaced captures are few.
+    """
+    rows = spark.read.parquet(path)
+    if len(loads_of(spark, path)) < 2:
+        return rows.drop("load")
+    order = Window.partitionBy(*IDENTITY).orderBy(F.desc("load"))
+    place = ["load", "source_file", "source_offset"]
+    replaced = rows.select(*IDENTITY, *place).withColumn("_n", F.row_number().over(order)).filter("_n > 1").select(*IDENTITY, "load")
+    return rows.join(replaced, [*IDENTITY, "load"], "left_anti").select(*[c for c in rows.columns if c != "load"])
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Rewrite a table as one load without what later loads replaced."""
+    _replace(read_table(spark, path), path)
 
 
 def key_histogram(captures: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ captures of a URL: a URL that holds a large part of the archive is spread over i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlstrata.functions.keys import url_key
@@ -32,10 +32,15 @@ def capture_history(captures: DataFrame, url: str | None = None) -> DataFrame:
     return captures.select("url_key", "capture_ts").distinct().orderBy("url_key", "capture_ts")
 
 
+def hour_of(ts: str) -> Column:
+    """Number of the UTC hour of a time, whatever the session's time zone."""
+    return F.floor(F.unix_seconds(ts) / 3600)
+
+
 def capture_times(captures: DataFrame) -> DataFrame:
     """Distinct (url_key, capture_ts) with their hour."""
     times = captures.filter(F.col("url_key").isNotNull() & F.col("capture_ts").isNotNull())
-    return times.select("url_key", "capture_ts").distinct().withColumn("_hour", F.date_trunc("hour", "capture_ts"))
+    return times.select("url_key", "capture_ts").distinct().withColumn("_hour", hour_of("capture_ts"))
 
 
 def capture_nav(captures: DataFrame) -> DataFrame:
@@ -68,12 +73,15 @@ def capture_span(captures: DataFrame) -> DataFrame:
 
 
 def latest_capture(captures: DataFrame) -> DataFrame:
-    """The newest capture of every key; of captures at one time the last written."""
-    order = Window.partitionBy("url_key").orderBy(
-        F.desc("capture_ts"), F.desc("source_file"), F.desc("source_offset")
-    )
+    """The newest capture of every key; of captures at one time the last written.
+
+    It is found on narrow columns, so content is neither sorted nor compared.
+    """
+    place = ["url_key", "capture_ts", "source_file", "source_offset"]
     known = captures.filter(F.col("url_key").isNotNull())
-    return known.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    newest = known.groupBy("url_key").agg(F.max(F.struct(*place[1:])).alias("_newest")).select("url_key", "_newest.*")
+    same = [known[c].eqNullSafe(newest[c]) for c in place]
+    return known.join(newest, same, "left_semi")
 
 
 def as_of(requests: DataFrame, captures: DataFrame) -> DataFrame:
@@ -87,13 +95,13 @@ def as_of(requests: DataFrame, captures: DataFrame) -> DataFrame:
     held = times.groupBy("url_key", "_hour").agg(
         F.array_sort(F.collect_set("capture_ts")).alias("_times"), F.min("capture_ts").alias("_first")
     )
-    asked = requests.withColumn("_hour", F.date_trunc("hour", "request_ts"))
+    asked = requests.withColumn("_hour", hour_of("request_ts"))
     wanted = asked.select("url_key", "_hour").distinct()
     hours = held.unionByName(wanted, allowMissingColumns=True).groupBy("url_key", "_hour").agg(
         F.first("_times", ignorenulls=True).alias("_times"), F.min("_first").alias("_first")
     )
-    by_hour = Window.partitionBy("url_key").orderBy("_hour")
-    later = by_hour.rowsBetween(1, Window.unboundedFollowing)
+    # From the last hour down, so that each row's minimum is taken over from the row before.
+    later = Window.partitionBy("url_key").orderBy(F.desc("_hour")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("url_key")
     answers = hours.select(
         "url_key",

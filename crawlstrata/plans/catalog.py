@@ -344,7 +344,7 @@ def site_meta_read(spark, d):
 
 LOADABLE_SQL = """loaded AS (SELECT source_file, source_offset, url_key, coalesce(content_type, 'text/plain') AS content_type,
   date_trunc('day', capture_ts) AS day, content, content_length FROM caps
-  WHERE record_type = 'response' AND content_length <= 1048576)"""
+  WHERE record_type = 'response')"""
 WRITTEN_SQL = """SELECT source_file, source_offset, url_key, content_type, strftime(day, '%Y%m%d%H%M%S') AS capture_date, content_length
   FROM loaded QUALIFY row_number() OVER (PARTITION BY url_key, content_type, day ORDER BY source_file DESC, source_offset DESC) = 1"""
 
@@ -379,7 +379,7 @@ def bulk_load_rows(spark, d):
 
 @query(f"""SELECT url_key, 'text/html' AS content_type, capture_date, content_length, hash FROM
   (SELECT {KEY} AS url_key, {PAGE_STAMP.format('%Y%m%d%H%M%S')} AS capture_date, CAST(strlen(html) AS BIGINT) AS content_length,
-     md5(html) AS hash FROM pages) WHERE content_length <= 1048576""")
+     md5(html) AS hash FROM pages)""")
 def ingest_increment(spark, d):
     """Pages arrive as ARC files in two parts; each is loaded as it comes."""
     pages = page_captures(spark, d)
@@ -388,10 +388,24 @@ def ingest_increment(spark, d):
     for part, arrived in (("first", pages.filter(~secure)), ("second", pages.filter(secure))):
         write_arcs(arrived.select(_arc_record().alias("record")), f"{folder}/files", part)
         load_increment(spark, f"{folder}/files", f"{folder}/table", f"{folder}/progress").awaitTermination()
-    loaded = spark.read.parquet(f"{folder}/table")
+    loaded = ingest.read_table(spark, f"{folder}/table")
     return loaded.select("url_key", "content_type", "capture_date", "content_length", C.content_hash("content").alias("hash"))
 
 
+@query(f"""SELECT {KEY} AS url_key, CASE WHEN page_id % 3 = 0 THEN 'x' || md5(html) ELSE md5(html) END AS content FROM pages""")
+def ingest_append(spark, d):
+    """All pages loaded; then every third appended with another content, by a run that is repeated."""
+    pages = page_captures(spark, d).withColumn("content", F.md5("content").cast("binary"))
+    changed = pages.filter(F.col("source_offset") % 3 == 0).withColumn("content", F.concat(F.lit(b"x"), F.col("content")))
+    # The changed captures come from files that sort before the others.
+    changed = changed.withColumn("source_file", F.lit("again"))
+    path = f"{checkpoint_dir(spark)}/appended-{uuid.uuid4()}"
+    ingest.ingest(pages, path, "create")
+    for _ in range(2):
+        ingest.ingest(changed, path, "append")
+    return ingest.read_table(spark, path).select("url_key", F.col("content").cast("string").alias("content"))
+
+
 @query(over_captures("""SELECT CASE WHEN length(url_key) > 1 THEN substr(url_key, 1, 1) ELSE '' END AS first_char,
   count(*) AS captures FROM caps GROUP BY 1"""))
 def key_histogram(spark, d):

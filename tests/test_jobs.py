@@ -2,7 +2,9 @@
 
 import datetime as dt
 import itertools
+import os
 import random
+import time
 
 import pytest
 from archive_files import arc_file, arc_record, http
@@ -176,6 +178,44 @@ def test_load_modes_order_and_identity(spark, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) == 3
 
 
+def test_append_counts_last_write_and_compacts(spark, tmp_path):
+    table = str(tmp_path / "t")
+    ingest.ingest(make(spark, [("http://a.com/", 1, "t", b"first"), ("http://b.com/", 1, "t", b"b")]), table, "create")
+    for _ in range(2):
+        ingest.ingest(make(spark, [("http://a.com/", 1, "t", b"second")]), table, "append")
+        assert sorted(bytes(r.content) for r in ingest.read_table(spark, table).collect()) == [b"b", b"second"]
+    ingest.append_load(make(spark, [("http://c.com/", 1, "t", b"c")]), table, tag="s-1")
+    ingest.append_load(make(spark, [("http://c.com/", 1, "t", b"d")]), table, tag="s-1")
+    assert len(ingest.loads_of(spark, table)) == 4
+    ingest.compact(spark, table)
+    assert len(ingest.loads_of(spark, table)) == 1
+    assert sorted(bytes(r.content) for r in ingest.read_table(spark, table).collect()) == [b"b", b"d", b"second"]
+
+
+def test_as_of_is_linear_in_the_hours_of_a_url(spark):
+    times = spark.range(100_000).select(
+        F.lit("com.a/").alias("url_key"), F.timestamp_seconds(F.lit(1_000_000_000) + F.col("id") * 3600).alias("capture_ts"))
+    requests = times.select("url_key", (F.col("capture_ts") + F.expr("interval 1 second")).alias("request_ts"))
+    start = time.time()
+    served = versions.as_of(requests, times).agg(F.sum(F.unix_seconds("served_ts") - F.unix_seconds("request_ts"))).first()[0]
+    assert served == 99_999 * 3599 - 1
+    assert time.time() - start < 30
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session(spark, zone):
+    from crawlstrata.functions.dates import capture_ts, date14
+
+    rows = spark.createDataFrame([("20040124034300",), ("2004-01-24T03:43:00Z",), ("2004-01-24 03:43:00",), ("2004-01-24T05:43:00+02:00",)], "d string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = rows.select(F.unix_seconds(capture_ts("d")).alias("s"), date14(capture_ts("d")).alias("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert {(r.s, r.t) for r in got} == {(1074915780, "20040124034300")}
+
+
 def test_size_cap_is_inclusive(spark):
     captures = make(spark, [("http://a.com/1", 1, "t", b"x" * 10), ("http://a.com/2", 1, "t", b"x" * 11)])
     assert ingest.loadable(captures, 10).count() == 1
@@ -347,12 +387,15 @@ def test_increment(spark, tmp_path):
 
     def run():
         ingest_increment(spark, str(files), table, checkpoint).awaitTermination()
-        return {(r.url_key, bytes(r.content)) for r in spark.read.parquet(table).collect()}, spark.read.parquet(table).count()
+        loaded = ingest.read_table(spark, table)
+        return {(r.url_key, bytes(r.content)) for r in loaded.collect()}, loaded.count()
 
     put("1.arc.gz", ("http://a.com/1", b"1"), ("http://a.com/2", b"2"))
     assert run() == ({("com.a/1", b"1"), ("com.a/2", b"2")}, 2)
     put("2.arc.gz", ("http://a.com/2", b"again"), ("http://a.com/3", b"3"))
-    assert run() == ({("com.a/1", b"1"), ("com.a/2", b"2"), ("com.a/3", b"3")}, 3)
+    old = 1_000_000_000
+    os.utime(files / "2.arc.gz", (old, old))
+    assert run() == ({("com.a/1", b"1"), ("com.a/2", b"again"), ("com.a/3", b"3")}, 3)
     assert run()[1] == 3
     groups = counts.duplicate_groups(spark.read.parquet(table))
     assert "content:binary" not in groups._jdf.queryExecution().executedPlan().toString()
