@@ -13,9 +13,6 @@ from crawlstrata.operators.markup import LINK_SCHEMES, links_of
 from crawlstrata.operators.search import html_only
 from crawlstrata.session import cut_lineage
 
-# Ids per bin of the range join: one site's range is cut into bins, an id falls into one of them.
-BIN_WIDTH = 1 << 16
-
 _LINKS = ArrayType(StructType([StructField("target", StringType()), StructField("anchor", StringType())]))
 _LINKS_ARROW = pa.list_(pa.struct([("target", pa.string()), ("anchor", pa.string())]))
 
@@ -72,8 +69,10 @@ def plain_links(html: Column, url: Column) -> Column:
 
     Anchor text is not read.
     """
-    visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
-    pattern = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+    # What is never closed goes on to the end, so that no part of a page is searched more than once.
+    unseen = "|".join(rf"<{name}\b(?:.*?</{name}\s*>|.*)" for name in ("script", "style"))
+    visible = F.regexp_replace(html, rf"(?is)<!--(?:.*?-->|.*)|{unseen}", "")
+    pattern = r"(?is)<a\s(?:[^<>]*?\s)?href\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>\"']++)"
     hrefs = F.regexp_extract_all(visible, F.lit(pattern), 1)
 
     bare = F.transform(
@@ -157,20 +156,32 @@ def latest_adjacency(graph: DataFrame) -> DataFrame:
     return graph.groupBy("src").agg(F.max_by("dst", written).alias("dst"))
 
 
+def _level(start: str, end: str) -> Column:
+    """The smallest power of two that is no shorter than a range of ids."""
+    return F.ceil(F.log2(F.col(end) - F.col(start) + 1)).cast("int")
+
+
 def sites_of_ids(rows: DataFrame, column: str, ranges: DataFrame, site: str, size: str | None = None) -> DataFrame:
-    """`rows` with each site whose id range holds `column`, as an equality join on bins of ids."""
-    known = ranges.filter(F.col("start_id").isNotNull())
-    first, last = (F.floor(F.col(c) / F.lit(BIN_WIDTH)) for c in ("start_id", "end_id"))
-    binned = known.select(
+    """`rows` with each site whose id range holds `column`, as an equality join on aligned blocks of ids.
+
+    A range lies in at most two blocks of the power of two that its length is rounded up to. An id asks for its
+    block at each power in use, 63 at most, so it meets only ranges whose length is like the block's: what
+    it meets in vain is bounded by how ranges overlap, not by how many there are.
+    """
+    known = ranges.filter(F.col("start_id").isNotNull()).withColumn("_level", _level("start_id", "end_id"))
+    levels = known.agg(F.array_sort(F.collect_set("_level"))).scalar()
+    block = lambda c: F.call_function("shiftright", F.col(c), F.col("_level"))
+    blocks = known.select(
         F.col("id").alias(site),
         *([F.length("prefix").alias(size)] if size else []),
         F.col("start_id").alias("_start"),
         F.col("end_id").alias("_end"),
-        F.explode(F.sequence(first, last)).alias("_bin"),
+        "_level",
+        F.explode(F.array_distinct(F.array(block("start_id"), block("end_id")))).alias("_block"),
     )
-    placed = rows.withColumn("_bin", F.floor(F.col(column) / F.lit(BIN_WIDTH)))
-    return placed.join(binned, "_bin").filter(F.col(column).between(F.col("_start"), F.col("_end"))).drop(
-        "_bin", "_start", "_end"
+    asked = rows.withColumn("_levels", levels).withColumn("_level", F.explode("_levels")).withColumn("_block", block(column))
+    return asked.join(blocks, ["_level", "_block"]).filter(F.col(column).between(F.col("_start"), F.col("_end"))).drop(
+        "_level", "_levels", "_block", "_start", "_end"
     )
 
 

@@ -23,6 +23,8 @@ BLANKS = re.compile(r"[ \t\n\r\f\x0b\xa0]{2,}|[\t\n\r\f\x0b\xa0]")
 # A tag ends at the first > that is in no quoted value; quotes count only after an equals sign.
 ATTRIBUTES = r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)|[\"'])*+"
 TOKEN = re.compile(rf"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES})>|<[!?/][^>]*>", re.DOTALL)
+PLAIN_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>", re.DOTALL)
+TAG_START = re.compile("</?[a-zA-Z]")
 ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(\s*=\s*)(\"[^\"]*\"|'[^']*'|[^\s>]*)|[^\s=>\"'/]+")
 SCHEME = re.compile(r"([a-zA-Z][a-zA-Z0-9+.-]*):")
 ORIGIN = re.compile(r"[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*")
@@ -30,10 +32,40 @@ PATH = re.compile(r"[^?#]*")
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 
 
+class Tags:
+    """The tags and comments of a page, one after another, in time that grows with its length.
+
+    Where no `>` follows, nothing but a comment can. A tag whose quotes swallow every later `>` makes
+    quotes count for nothing in the rest of the page, so that no such search is made twice. Without
+    `comments`, what a comment holds is read as if it stood outside.
+    """
+
+    def __init__(self, html: str, comments: bool = True):
+        self.html, self.last, self.pattern, self.comments = html, html.rfind(">"), TOKEN, comments
+
+    def next(self, at: int):
+        """The next match from `at` on, or None."""
+        while (at := self.html.find("<", at)) >= 0:
+            if not self.comments and self.html.startswith("<!--", at):
+                at += 4
+                continue
+            if at > self.last:
+                at = self.html.find("<!--", at) if self.comments else -1
+                return TOKEN.match(self.html, at) if at >= 0 else None
+            found = self.pattern.match(self.html, at)
+            if found is None and self.pattern is TOKEN and TAG_START.match(self.html, at):
+                self.pattern = PLAIN_TOKEN
+                found = self.pattern.match(self.html, at)
+            if found is not None:
+                return found
+            at += 1
+        return None
+
+
 def tokens(html: str):
     """(kind, name, text) in page order: `text`, `open` (text is the attributes), `close`."""
-    at = 0
-    while found := TOKEN.search(html, at):
+    at, tags = 0, Tags(html)
+    while found := tags.next(at):
         if found.start() > at:
             yield "text", None, html[at : found.start()]
         at = found.end()
@@ -167,16 +199,26 @@ REPLAY_ATTRIBUTES = {
 ANY_TAG_ATTRIBUTE = "background"
 UNTOUCHED = ("mailto:", "javascript:")
 
-TAG = re.compile(rf"(<([a-zA-Z][a-zA-Z0-9]*+)(?=\s))({ATTRIBUTES})(?=>)")
+REPLAY_NAME = re.compile("[a-zA-Z][a-zA-Z0-9]*")
 CSS_URL = re.compile(r"(url\(\s*)([\"']?)([^\"'()\s]+)(\2\s*\))", re.IGNORECASE)
 CSS_IMPORT = re.compile(r"(@import\s+)([\"'])([^\"']+)(\2)", re.IGNORECASE)
-BASE = re.compile(r"<base\s[^>]*?\bhref\s*=\s*[\"']?([^\s\"'>]+)", re.IGNORECASE)
+BASE_HREF = re.compile(r"\bhref\s*=\s*[\"']?([^\s\"'>]+)", re.IGNORECASE)
+
+
+def declared_base(html: str) -> str | None:
+    """The address of the first base element that has one, as written."""
+    tags, at = Tags(html), 0
+    while found := tags.next(at):
+        at = found.end()
+        if (found.group(2) or "").lower() == "base" and not found.group(1) and (href := BASE_HREF.search(found.group(3))):
+            return href.group(1)
+    return None
 
 
 def replay_copy(html: str, page_url: str, prefix: str) -> str:
     """The page with its links led through `prefix` (server, archive and time); all else is kept."""
-    declared = BASE.search(html)
-    base = (absolute(page_url, declared.group(1)) if declared else "") or page_url
+    declared = declared_base(html)
+    base = (absolute(page_url, declared) if declared else "") or page_url
     css_base = base.replace("&amp;", "&")
 
     def replayed(link: str, against: str) -> str:
@@ -185,11 +227,10 @@ def replay_copy(html: str, page_url: str, prefix: str) -> str:
         url = absolute(against, link)
         return prefix + url if url else link
 
-    def tag(found):
-        start, name, attributes = found.groups()
+    def attributes_of(name, attributes):
         wanted = REPLAY_ATTRIBUTES.get(name.lower(), ())
         if not wanted and ANY_TAG_ATTRIBUTE not in attributes.lower():
-            return found.group()
+            return attributes
 
         def rewritten(pair):
             key, equals, value = pair.groups()
@@ -199,10 +240,18 @@ def replay_copy(html: str, page_url: str, prefix: str) -> str:
             link = value[1:-1] if quote else value
             return f"{key}{equals}{quote}{replayed(link, base)}{quote}" if link else pair.group()
 
-        return start + ATTRIBUTE.sub(rewritten, attributes)
+        return ATTRIBUTE.sub(rewritten, attributes)
 
     def style(found):
         before, quote, link, after = found.groups()
         return f"{before}{quote}{replayed(link, css_base)}{after}"
 
-    return CSS_IMPORT.sub(style, CSS_URL.sub(style, TAG.sub(tag, html)))
+    parts, at, tags = [], 0, Tags(html, comments=False)
+    while found := tags.next(at):
+        slash, name, attributes = found.groups()
+        if name is None or slash or not REPLAY_NAME.fullmatch(name) or not attributes[:1].isspace():
+            parts.append(html[at : found.end()])
+        else:
+            parts.append(html[at : found.start(3)] + attributes_of(name, attributes) + ">")
+        at = found.end()
+    return CSS_IMPORT.sub(style, CSS_URL.sub(style, "".join([*parts, html[at:]])))

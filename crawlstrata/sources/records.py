@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import re
 import zlib
@@ -11,31 +10,108 @@ import zlib
 GZIP_MAGIC = b"\x1f\x8b"
 ARC_MAGIC = b"filedesc:"
 WARC_MAGIC = b"WARC/"
-ARC_DATE = re.compile(rb"^[0-9]{8,14}$")
+ARC_DATE = re.compile(rb"^[0-9]+$")
+MEMBER = b"\x1f\x8b\x08"
+# Bytes in which the head of an HTTP message is looked for, and the largest payload that a row can hold.
+HEAD = 1 << 16
+LARGEST = (1 << 31) - (1 << 20)
 # Read step for payloads that are counted but not kept.
 STEP = 1 << 20
 
 
-class Counted(io.RawIOBase):
+class Damaged(OSError):
+    """A gzip member that cannot be decoded to its end."""
+
+
+class Members(io.RawIOBase):
+    """The decoded bytes of a file of gzip members, which can go on behind a damaged one."""
+
+    def __init__(self, raw):
+        self.raw, self.held = raw, b""
+        self.decoder, self.used = None, b""
+
+    def readable(self):
+        return True
+
+    def _more(self) -> bool:
+        more = self.raw.read(STEP)
+        self.held += more
+        return bool(more)
+
+    def readinto(self, into) -> int:
+        while True:
+            if self.decoder is None:
+                if len(self.held) < 2 and self._more():
+                    continue
+                if not self.held.strip(b"\0"):
+                    return 0
+                self.decoder, self.used = zlib.decompressobj(31), b""
+            if not self.held and not self._more():
+                self.decoder = None
+                raise Damaged("EOFError")
+            try:
+                data = self.decoder.decompress(self.held, len(into))
+            except zlib.error as problem:
+                raise Damaged(type(problem).__name__) from problem
+            # What a damaged member still holds is searched for the next one, so it is kept for a while.
+            rest = self.decoder.unconsumed_tail or self.decoder.unused_data
+            self.used = (self.used + self.held[: len(self.held) - len(rest)])[-STEP:]
+            self.held = rest
+            if self.decoder.eof:
+                self.decoder = None
+            if data:
+                into[: len(data)] = data
+                return len(data)
+
+    def skip(self) -> bool:
+        """Go to the next member behind the damaged one; False if there is none."""
+        self.decoder, self.held, self.used = None, (self.used + self.held)[1:], b""
+        while (at := self.held.find(MEMBER)) < 0:
+            self.held = self.held[-len(MEMBER) + 1 :]
+            if not self._more():
+                return False
+        self.held = self.held[at:]
+        return True
+
+
+class Counted:
     """A readable stream that knows how many decoded bytes were taken from it."""
 
     def __init__(self, raw):
         head = raw.peek(2)[:2]
-        self.stream = gzip.GzipFile(fileobj=raw) if head == GZIP_MAGIC else raw
+        self.members = Members(raw) if head == GZIP_MAGIC else None
+        self.stream = io.BufferedReader(self.members) if self.members else raw
         self.taken = 0
 
+    def skip(self) -> bool:
+        """Leave a damaged gzip member for the next one, if the file has members."""
+        if self.members is None or not self.members.skip():
+            return False
+        self.stream.detach()
+        self.stream = io.BufferedReader(self.members)
+        return True
+
     def line(self) -> bytes:
         text = self.stream.readline()
         self.taken += len(text)
         return text
 
-    def block(self, length: int, keep: bool):
-        """The next `length` bytes (None unless kept) and how many there were."""
-        if keep:
-            data = self.stream.read(length)
+    def block(self, length: int, limit: int | None):
+        """The next `length` bytes (None if what they hold is over the limit) and how many there were.
+
+        The limit is that of the body: the head of an HTTP message does not count.
+        """
+        limit = LARGEST if limit is None else min(limit, LARGEST)
+        head = self.stream.read(min(length, limit if length <= limit else HEAD))
+        body = length
+        if length > limit and head.startswith(b"HTTP/"):
+            ends = [at + len(mark) for mark in (b"\r\n\r\n", b"\n\n") if (at := head.find(mark)) >= 0]
+            body -= min(ends, default=0)
+        if body <= limit:
+            data = head + self.stream.read(length - len(head))
             self.taken += len(data)
             return data, len(data)
-        found = 0
+        found = len(head)
         while found < length:
             data = self.stream.read(min(STEP, length - found))
             if not data:
@@ -67,6 +143,12 @@ def _arc_header(line: bytes):
     return None
 
 
+def _payload_error(length: int, found: int) -> str | None:
+    if found != length:
+        return "short payload"
+    return "too large to hold" if length > LARGEST else None
+
+
 def _arc(stream: Counted, source_file: str, first: bytes, keep_limit):
     """ARC records; a bad header line gives one error row, then the next good header is sought."""
     line, offset, lost = first, 0, False
@@ -79,8 +161,7 @@ def _arc(stream: Counted, source_file: str, first: bytes, keep_limit):
         else:
             lost = False
             length = int(header[-1])
-            keep = keep_limit is None or length <= keep_limit
-            payload, found = stream.block(length, keep)
+            payload, found = stream.block(length, keep_limit)
             yield _row(
                 source_file,
                 offset,
@@ -92,7 +173,7 @@ def _arc(stream: Counted, source_file: str, first: bytes, keep_limit):
                 content_type=_text(header[3]),
                 payload_length=length,
                 payload=payload,
-                error=None if found == length else "short payload",
+                error=_payload_error(length, found),
             )
         offset = stream.taken
         line = stream.line()
@@ -109,10 +190,14 @@ WARC_FIELDS = {
 
 
 def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version: bytes):
-    """WARC records of every type; headers end at the first blank line."""
-    line, offset = first, 0
+    """WARC records of every type; headers end at the first blank line.
+
+    A record of another version is read too, and marked. What lies between records is one error row.
+    """
+    line, offset, lost = first, 0, False
     while line:
-        if line.startswith(version):
+        if line.startswith(WARC_MAGIC):
+            other, lost = not line.startswith(version), False
             fields, headers, length = {}, {}, None
             name = None
             line = stream.line()
@@ -135,8 +220,7 @@ def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version:
             if length is None:
                 yield _row(source_file, offset, "warc", headers=headers, error="bad header", **fields)
             else:
-                keep = keep_limit is None or length <= keep_limit
-                payload, found = stream.block(length, keep)
+                payload, found = stream.block(length, keep_limit)
                 yield _row(
                     source_file,
                     offset,
@@ -144,24 +228,39 @@ def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version:
                     headers=headers,
                     payload_length=length,
                     payload=payload,
-                    error=None if found == length else "short payload",
+                    error="other version" if other else _payload_error(length, found),
                     **fields,
                 )
+        elif line.strip() and not lost:
+            lost = True
+            yield _row(source_file, offset, "warc", error="bad header")
         offset = stream.taken
         line = stream.line()
 
 
 def read_records(raw, source_file: str, keep_limit=None, version: bytes = WARC_MAGIC):
-    """Rows of one archive file, its format told by its first bytes; a broken file ends in an error row."""
-    stream = None
+    """Rows of one archive file, its format told by its first bytes.
+
+    A gzip member that cannot be decoded gives an error row, and reading goes on with the next member; any
+    other failure to read ends the file with an error row.
+    """
+    stream, kind = None, None
     try:
         stream = Counted(raw if hasattr(raw, "peek") else io.BufferedReader(raw))
-        first = stream.line()
-        if first.startswith(ARC_MAGIC):
-            yield from _arc(stream, source_file, first, keep_limit)
-        elif first.startswith(WARC_MAGIC):
-            yield from _warc(stream, source_file, first, keep_limit, version)
-        elif first:
-            yield _row(source_file, 0, None, error="unknown format")
+        while True:
+            try:
+                first = stream.line()
+                kind = kind or ("arc" if first.startswith(ARC_MAGIC) else "warc" if first.startswith(WARC_MAGIC) else None)
+                if kind == "arc":
+                    yield from _arc(stream, source_file, first, keep_limit)
+                elif kind == "warc":
+                    yield from _warc(stream, source_file, first, keep_limit, version)
+                elif first:
+                    yield _row(source_file, 0, None, error="unknown format")
+                return
+            except Damaged as problem:
+                yield _row(source_file, stream.taken, kind, error=f"unreadable: {problem}")
+                if not stream.skip():
+                    return
     except (OSError, EOFError, zlib.error) as problem:
         yield _row(source_file, stream.taken if stream else 0, None, error=f"unreadable: {type(problem).__name__}")

@@ -216,6 +216,30 @@ def test_times_do_not_depend_on_the_session(spark, zone):
     assert {(r.s, r.t) for r in got} == {(1074915780, "20040124034300")}
 
 
+def test_ids_meet_only_ranges_like_their_block(spark):
+    ranges = [(k, f"p{k}", 10 * k, 10 * k + 8) for k in range(1000)] + [(5000, "all", 0, 9999), (5001, "one", 77, 77), (5002, "none", None, None)]
+    table = spark.createDataFrame(ranges, "id long, prefix string, start_id long, end_id long")
+    ids = spark.range(10_000)
+    found = graph.sites_of_ids(ids, "id", table.withColumnRenamed("id", "id"), "site")
+    want = sorted((i, k) for k, _, a, b in ranges if a is not None for i in range(a, b + 1))
+    assert sorted((r.id, r.site) for r in found.collect()) == want
+    joined = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in joined and "CartesianProduct" not in joined
+    blocks = table.filter("start_id is not null").withColumn("l", graph._level("start_id", "end_id"))
+    pairs = blocks.select("l", F.explode(F.array_distinct(F.array(F.expr("shiftright(start_id, l)"), F.expr("shiftright(end_id, l)")))).alias("b"))
+    levels = [r.l for r in blocks.select("l").distinct().collect()]
+    asked = ids.withColumn("l", F.explode(F.array([F.lit(x) for x in levels]))).withColumn("b", F.expr("shiftright(id, l)"))
+    assert asked.join(pairs, ["l", "b"]).count() < 4 * len(want)
+
+
+@pytest.mark.parametrize("junk", ["<a ", "</a", "<!--", "<script ", "<a href=", "<a b=\""])
+def test_plain_links_take_time_by_length(spark, junk):
+    page = spark.createDataFrame([(junk * ((1 << 20) // len(junk)), "http://a.com/")], "html string, url string")
+    start = time.time()
+    page.select(F.size(graph.plain_links(F.col("html"), F.col("url")))).collect()
+    assert time.time() - start < 10
+
+
 def test_size_cap_is_inclusive(spark):
     captures = make(spark, [("http://a.com/1", 1, "t", b"x" * 10), ("http://a.com/2", 1, "t", b"x" * 11)])
     assert ingest.loadable(captures, 10).count() == 1

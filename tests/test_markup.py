@@ -1,5 +1,6 @@
 """Single pages, with the standard library's HTML parser as a second opinion on links and text."""
 
+import time
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -97,3 +98,16 @@ def test_given_pages_agree_with_standard_parser():
         other.close()
         assert [t for t, _ in links_of(html, url)] == [urljoin(url, h) for h in other.links]
         assert text_of(html).replace(" ", "") == "".join("".join(other.text).split())
+
+
+@pytest.mark.parametrize("junk", ["<a ", "</a", "<!", "<!--", "<a b=\"", "<a b='>'", '<a b=">"', "<a b=\"'>", "<", "<base ", "<script>", "<title", "='", "<a href="])
+def test_junk_takes_time_by_its_length(junk):
+    page = junk * ((1 << 20) // len(junk))
+    for work in (lambda: links_of(page, "http://a.com/"), lambda: text_of(page), lambda: replay_copy(page, "http://a.com/", "p/")):
+        start = time.time()
+        work()
+        assert time.time() - start < 5
+
+
+def test_page_that_ends_inside_quotes_keeps_its_links():
+    assert links_of('<a href="/x">t</a><p d=">" e=">"', PAGE)[0] == ("http://www.a.com/x", "t")

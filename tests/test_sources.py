@@ -45,6 +45,15 @@ def test_arc_bad_header_is_one_error_and_reading_goes_on():
 def test_damage():
     whole = arc_file([arc_record("http://a.com/", DATE, "text/html", b"x" * 5000)])
     assert rows(whole[:-20])[-1]["error"].startswith("unreadable")
+    records = [arc_record(f"http://{c}.com/", DATE, "text/html", c.encode() * 5000) for c in "abcd"]
+    parts = [members([r]) for r in [*records]]
+    hurt = bytearray(arc_file(records))
+    at = bytes(hurt).index(parts[1])
+    hurt[at + len(parts[1]) // 2] ^= 0xFF
+    hurt[at + len(parts[1]) // 2 + 1] ^= 0xFF
+    got = rows(bytes(hurt))
+    assert [r["url"] for r in got if r["error"] is None][1:] == ["http://a.com/", "http://c.com/", "http://d.com/"]
+    assert len([r for r in got if r["error"]]) in (1, 2) and any((r["error"] or "").startswith("unreadable") for r in got)
     assert rows(arc_file([arc_record("http://a.com/", DATE, "text/html", b"ab", length=9)], False))[-1]["error"] == "short payload"
     assert rows(b"hello\n")[0]["error"] == "unknown format"
     assert rows(b"\x1f\x8bgarbage")[0]["error"].startswith("unreadable")
@@ -114,7 +123,7 @@ def test_limit_keeps_length(spark, folder):
 
 
 def test_report_over_files(spark, folder):
-    reasons = {r.reason: r.records for r in ingest_report(archives.read_archives(spark, folder)).collect()}
+    reasons = {r.reason: r.records for r in ingest_report(archives.read_archives(spark, folder), 1 << 20).collect()}
     assert reasons == {"inserted": 5, "no_key": 2, "too_large": 1, "bad_date": 1, "not_response": 1}
 
 
@@ -174,3 +183,21 @@ def test_sinks(spark, tmp_path):
     sinks.write_site_edges(edges, str(tmp_path / "edges"))
     assert [r.value for r in spark.read.text(str(tmp_path / "edges")).collect()] == ["Source,Target,Weight", "1,2,3", "2,1,5"]
     assert spark.read.option("header", True).csv(str(tmp_path / "edges")).filter(F.col("Weight") == 0).count() == 0
+
+
+def test_stray_bytes_and_other_versions_of_warc():
+    field = [("WARC-Target-URI", "http://a.com/")]
+    good = warc_record("response", field, b"body")
+    got = rows(members([good, b"lost bytes\r\nmore\r\n", good], False))
+    assert [r["error"] for r in got] == [None, "bad header", None]
+    mixed = members([good, warc_record("response", field, b"x", "WARC/0.18")], False)
+    got = list(read_records(io.BufferedReader(io.BytesIO(mixed)), "x", None, b"WARC/0.18"))
+    assert [(r["error"], r["payload_length"]) for r in got] == [("other version", 4), (None, 1)]
+
+
+def test_limit_is_that_of_the_body():
+    body = http(b"x" * 1000)
+    records = [arc_record("http://a.com/", DATE, "text/html", body), arc_record("http://b.com/", DATE, "text/html", http(b"x" * 1001))]
+    got = list(read_records(io.BufferedReader(io.BytesIO(arc_file(records))), "x", 1000))
+    assert [r["payload"] is not None for r in got[1:]] == [True, False]
+    assert [r["payload_length"] for r in got[1:]] == [len(body), len(body) + 1]
