@@ -121,6 +121,21 @@ def extract_links(captures: DataFrame, charset: str = DEFAULT_CHARSET, parser: s
     )
 
 
+def page_targets(links: Column) -> Column:
+    """Distinct usable targets of a page's links."""
+    return F.array_distinct(F.filter(F.transform(links, lambda l: l["target"]), lambda t: t != ""))
+
+
+def with_page_ids(pages: DataFrame, url_ids: DataFrame, name: str = "src") -> DataFrame:
+    """Rows whose URL has an id, with it; others are dropped."""
+    return pages.join(url_ids.select("url", F.col("id").alias(name)), "url")
+
+
+def target_ids(links: DataFrame, url_ids: DataFrame, how: str = "inner", name: str = "dst") -> DataFrame:
+    """Rows with the id of their `target`."""
+    return links.join(url_ids.select(F.col("url").alias("target"), F.col("id").alias(name)), "target", how)
+
+
 def page_graph(pages: DataFrame, url_ids: DataFrame) -> DataFrame:
     """(src, dst list) of each page of `page_links` whose URL has an id.
 
@@ -128,17 +143,13 @@ def page_graph(pages: DataFrame, url_ids: DataFrame) -> DataFrame:
     dropped, and a page left without targets keeps an empty list. Its stand-in target is unlike any
     URL and different for each page, so pages without links do not meet in one task.
     """
-    ids = url_ids.select("url", "id")
     page = ["source_file", "source_offset"]
-    targets = F.array_distinct(F.filter(F.transform("links", lambda l: l["target"]), lambda t: t != ""))
-    sources = pages.select(*page, "url", "capture_ts", targets.alias("_targets")).join(
-        ids.withColumnRenamed("id", "src"), "url"
-    )
+    sources = with_page_ids(pages.select(*page, "url", "capture_ts", page_targets(F.col("links")).alias("_targets")), url_ids)
     stand_in = F.array(F.concat(F.lit("\t"), F.col("source_file"), F.lit("\t"), F.col("source_offset")))
     some = F.when(F.size("_targets") > 0, F.col("_targets")).otherwise(stand_in)
-    edges = sources.select(*page, "src", "capture_ts", F.explode(some).alias("_target"))
+    edges = sources.select(*page, "src", "capture_ts", F.explode(some).alias("target"))
     return (
-        edges.join(ids.select(F.col("url").alias("_target"), F.col("id").alias("dst")), "_target", "left")
+        target_ids(edges, url_ids, "left")
         .groupBy(*page, "src", "capture_ts")
         .agg(F.array_sort(F.collect_set("dst")).alias("dst"))
     )

@@ -20,6 +20,11 @@ def list_warc(captures: DataFrame) -> DataFrame:
     return captures.filter(F.col("url").isNotNull()).select("url", "capture_date")
 
 
+def list_warc_totals(captures: DataFrame) -> DataFrame:
+    """One row: records read, and those that `list_warc` lists."""
+    return captures.agg(F.count(F.lit(1)).alias("read"), F.count("url").alias("listed"))
+
+
 def find_url(captures: DataFrame, url: str | Column) -> DataFrame:
     """Where a URL, exactly as written, was captured."""
     return captures.filter(F.col("url") == F.lit(url)).select(

@@ -14,8 +14,9 @@ from crawlstrata.operators.search import distinct_urls, html_only
 from crawlstrata.operators.urlids import lengths_of
 from crawlstrata.session import cut_lineage
 
-# How much of a key is searched for a site id.
-ID_SPAN = 40
+
+# Tasks that write one site's text.
+WRITERS = 64
 
 
 @F.arrow_udf(StringType())
@@ -31,15 +32,14 @@ def replay_html(html: pa.Array, url: pa.Array, prefix: pa.Array) -> pa.Array:
     return pa.array([None if h is None else replay_copy(h, u or "", p) for h, u, p in rows], type=pa.string())
 
 
-def site_of_key(keys: DataFrame, site_ids: DataFrame) -> DataFrame:
-    """(url_key, site_id) of distinct keys whose first 40 characters hold exactly one of the ids.
+def site_of_key(keys: DataFrame, site_ids: DataFrame, span: int | None = None) -> DataFrame:
+    """(url_key, site_id) of distinct keys that hold exactly one of the ids, in their first `span` characters if given.
 
-    The parts of those 40 characters that have the length of an id, 820 at most, are joined to the
-    ids by equality.
+    The parts of a key that have the length of an id are joined to the ids by equality. With a span, keys that
+    begin alike are searched once.
     """
-    sized = distinct_urls(keys).select(
-        "url_key", F.substring("url_key", 1, ID_SPAN).alias("_head"), lengths_of(site_ids, "site_id").alias("_lengths")
-    )
+    known = distinct_urls(keys).withColumn("_head", F.col("url_key") if span is None else F.substring("url_key", 1, span))
+    heads = known.select("_head") if span is None else known.select("_head").distinct()
     head, lengths = F.col("_head"), F.col("_lengths")
     parts = F.flatten(
         F.transform(
@@ -47,27 +47,29 @@ def site_of_key(keys: DataFrame, site_ids: DataFrame) -> DataFrame:
             lambda n: F.transform(F.sequence(F.lit(1), F.length(head) - n + 1), lambda i: F.substring(head, i, n)),
         )
     )
-    found = sized.select("url_key", F.explode(F.array_distinct(parts)).alias("site_id")).join(
+    sized = heads.withColumn("_lengths", lengths_of(site_ids, "site_id"))
+    found = sized.select("_head", F.explode(F.array_distinct(parts)).alias("site_id")).join(
         site_ids.filter(F.col("site_id") != ""), "site_id"
     )
-    sites = found.groupBy("url_key").agg(F.min("site_id").alias("site_id"), F.max("site_id").alias("_other"))
-    return sites.filter("site_id = _other").select("url_key", "site_id")
+    sites = found.groupBy("_head").agg(F.min("site_id").alias("site_id"), F.max("site_id").alias("_other"))
+    sites = sites.filter("site_id = _other").select("_head", "site_id")
+    return sites.withColumnRenamed("_head", "url_key") if span is None else known.join(sites, "_head").select("url_key", "site_id")
 
 
-def site_base_paths(captures: DataFrame, site_ids: DataFrame) -> DataFrame:
+def site_base_paths(captures: DataFrame, site_ids: DataFrame, span: int | None = None) -> DataFrame:
     """(site_id, base, n): base paths of each site by number of distinct keys, most frequent first."""
-    sites = site_of_key(captures, site_ids)
+    sites = site_of_key(captures, site_ids, span)
     counted = sites.groupBy("site_id", base_path("url_key").alias("base")).agg(F.count(F.lit(1)).alias("n"))
     return counted.orderBy("site_id", F.desc("n"), "base")
 
 
-def extract_text(captures: DataFrame, site_ids: DataFrame, charset: str = "UTF-8") -> DataFrame:
+def extract_text(captures: DataFrame, site_ids: DataFrame, charset: str = "UTF-8", span: int | None = None) -> DataFrame:
     """(site_id, url_key, capture_date, file_name, text) of the HTML captures of keys with one site.
 
     The sites are written once: a join with an aggregate on its own key could not be split for a URL
     that most captures are of.
     """
-    sites = cut_lineage(site_of_key(captures, site_ids))
+    sites = cut_lineage(site_of_key(captures, site_ids, span))
     pages = html_only(captures, "contains").join(sites, "url_key")
     return pages.select(
         "site_id",
@@ -79,8 +81,9 @@ def extract_text(captures: DataFrame, site_ids: DataFrame, charset: str = "UTF-8
 
 
 def write_text(texts: DataFrame, path: str) -> None:
-    """Extracted text as Parquet, one folder per site id."""
-    texts.write.mode("overwrite").partitionBy("site_id").parquet(path)
+    """Extracted text as Parquet, one folder per site id; a site is spread over WRITERS tasks at most."""
+    spread = F.pmod(F.hash("url_key"), F.lit(WRITERS))
+    texts.repartition("site_id", spread).write.mode("overwrite").partitionBy("site_id").parquet(path)
 
 
 def strip_tags(captures: DataFrame, charset: str = "UTF-8") -> DataFrame:

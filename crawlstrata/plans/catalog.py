@@ -12,6 +12,7 @@ from crawlstrata.functions import content as C
 from crawlstrata.functions import dates as D
 from crawlstrata.functions import keys as K
 from crawlstrata.functions.register import register_functions
+from crawlstrata.operators.numbering import running_totals
 from crawlstrata.operators import counts, graph, ingest, outlinks, search, text, urlids, versions
 from crawlstrata.plans.views import (
     CAPTURES_SQL,
@@ -24,7 +25,7 @@ from crawlstrata.plans.views import (
     stamp,
     table,
 )
-from crawlstrata.plans.written import ARC_HEAD, write_arcs
+from crawlstrata.plans.written import ARC_HEAD, write_archives
 from crawlstrata.session import checkpoint_dir, cut_lineage
 from crawlstrata.sources import archives, sinks, textfiles
 from crawlstrata.streaming.increment import ingest_increment as load_increment
@@ -386,7 +387,7 @@ def ingest_increment(spark, d):
     folder = f"{checkpoint_dir(spark)}/arrivals-{uuid.uuid4()}"
     secure = F.col("url").startswith("https:")
     for part, arrived in (("first", pages.filter(~secure)), ("second", pages.filter(secure))):
-        write_arcs(arrived.select(_arc_record().alias("record")), f"{folder}/files", part)
+        write_archives(arrived.select(_arc_record().alias("record")), f"{folder}/files", part)
         load_increment(spark, f"{folder}/files", f"{folder}/table", f"{folder}/progress").awaitTermination()
     loaded = ingest.read_table(spark, f"{folder}/table")
     return loaded.select("url_key", "content_type", "capture_date", "content_length", C.content_hash("content").alias("hash"))
@@ -541,7 +542,7 @@ def duplicate_groups(spark, d):
 
 SITE_IDS_SQL = """ids AS (SELECT DISTINCT regexp_extract(url, '([a-z-]+)[.]example[.]', 1) AS site_id FROM pages)"""
 SITE_OF_KEY_SQL = f"""keys AS (SELECT DISTINCT {KEY} AS url_key FROM pages), {SITE_IDS_SQL},
-sites AS (SELECT url_key, min(site_id) AS site_id FROM keys JOIN ids ON contains(substr(url_key, 1, 40), site_id)
+sites AS (SELECT url_key, min(site_id) AS site_id FROM keys JOIN ids ON contains(url_key, site_id)
   WHERE site_id <> '' GROUP BY url_key HAVING count(*) = 1)"""
 
 
@@ -564,6 +565,108 @@ def adjacency_lines(spark, d):
     return sinks.adjacency_lines(lists)
 
 
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
+
+
+@query(over_captures("SELECT split_part(url_key, '/', 1) AS domain, count(DISTINCT url_key) AS n FROM caps GROUP BY 1"))
+def counts_written(spark, d):
+    """Counts written as lines and read back."""
+    folder = _folder(spark, "counts")
+    sinks.write_counts(counts.count_domains(capture_index(spark, d)), folder)
+    return spark.read.schema("domain string, n long").csv(folder, sep="\t")
+
+
+@query("""SELECT user_id AS src, event_id AS dst, count(*) AS weight FROM events GROUP BY ALL""")
+def site_edges_written(spark, d):
+    """Edges written as Source,Target,Weight and read back."""
+    edges = table(spark, d, "events").groupBy(F.col("user_id").alias("source"), F.col("event_id").alias("target"))
+    folder = _folder(spark, "edges")
+    sinks.write_site_edges(edges.agg(F.count(F.lit(1)).alias("weight")), folder)
+    read = spark.read.schema("Source long, Target long, Weight long").csv(folder, header=True)
+    return read.select(F.col("Source").alias("src"), F.col("Target").alias("dst"), F.col("Weight").alias("weight"))
+
+
+@query("""SELECT event_id AS src, user_id || ',' || event_id % 97 AS dst FROM events""")
+def adjacency_written(spark, d):
+    """Adjacency lists written as lines and read back."""
+    folder = _folder(spark, "adjacency")
+    rows = table(spark, d, "events")
+    sinks.write_adjacency(rows.select(F.col("event_id").alias("src"), F.array("user_id", F.col("event_id") % 97).alias("dst")), folder)
+    return textfiles.read_adjacency(spark, folder).select("src", F.array_join("dst", ",").alias("dst"))
+
+
+@query("SELECT page_id AS id, url AS prefix FROM pages")
+def prefixes_read(spark, d):
+    """Prefixes read from the lines of a file."""
+    folder = _folder(spark, "prefixes")
+    table(spark, d, "pages").select(F.concat_ws(",", "page_id", "url")).write.text(folder)
+    return textfiles.read_prefixes(spark, folder)
+
+
+@query(f"{ARC_SQL.replace(chr(39) + 'page-' + chr(39) + ' || page_id AS source_file, ', '')}")
+def arc_files(spark, d):
+    """Compressed ARC files of many records, written from the pages and read by path."""
+    folder = _folder(spark, "arcs")
+    write_archives(page_captures(spark, d).select(_arc_record().alias("record")), folder, "crawl", "arc.gz")
+    read = archives.read_arc(spark, folder).filter("record_type = 'response'")
+    return read.select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
+
+
+@query(f"""SELECT * EXCLUDE (source_file) FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL})""")
+def warc_files(spark, d):
+    """Compressed WARC files of many records, written from the pages and read by path."""
+    folder, pages = _folder(spark, "warcs"), page_captures(spark, d)
+    write_archives(pages.select(_warc_bytes(pages).alias("record")), folder, "crawl", "warc.gz")
+    return archives.read_warc(spark, folder).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
+
+
+@query(over_captures("SELECT count(*) AS read, count(url) AS listed FROM caps"))
+def list_warc_totals(spark, d):
+    return search.list_warc_totals(capture_index(spark, d))
+
+
+@query(over_captures(f"""SELECT CASE record_type WHEN 'response' THEN 'responses' ELSE 'requests' END AS archive, count(*) AS captures,
+  count(DISTINCT url_key) AS urls, {STAMP_SQL.format('min(capture_ts)')} AS first_ts, {STAMP_SQL.format('max(capture_ts)')} AS last_ts
+  FROM caps GROUP BY 1"""))
+def archive_catalog(spark, d):
+    """Two archives registered as views, and summed up with whatever else holds captures left out."""
+    rows = capture_index(spark, d)
+    names = {"responses": rows.filter("record_type = 'response'"), "requests": rows.filter("record_type <> 'response'")}
+    for name, part in names.items():
+        part.createOrReplaceTempView(name)
+    catalogued = search.archive_catalog(spark).filter(F.col("archive").isin(*names))
+    return catalogued.select("archive", "captures", "urls", stamp("first_ts").alias("first_ts"), stamp("last_ts").alias("last_ts"))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Sorted rows with their place in the order, so that a comparison of rows sees the order."""
+    ordered = cut_lineage(rows.withColumns({"_key": F.monotonically_increasing_id(), "_one": F.lit(1).cast("long")}))
+    return running_totals(ordered, "_key", "_one").select(*rows.columns, (F.col("before") + 1).alias("place"))
+
+
+@query(over_captures("""SELECT domain, n, row_number() OVER (ORDER BY n DESC, domain) AS place FROM
+  (SELECT split_part(url_key, '/', 1) AS domain, count(DISTINCT url_key) AS n FROM caps GROUP BY 1)"""))
+def domains_in_order(spark, d):
+    return _placed(counts.count_domains(capture_index(spark, d)))
+
+
+@query(over_captures(f"""SELECT url_key, {STAMP_SQL.format('capture_ts')} AS seen, row_number() OVER (ORDER BY url_key, capture_ts) AS place
+  FROM (SELECT DISTINCT url_key, capture_ts FROM caps)"""))
+def history_in_order(spark, d):
+    return _placed(versions.capture_history(capture_index(spark, d)).select("url_key", stamp("capture_ts").alias("seen")))
+
+
+@query(over_captures(f"""SELECT source_offset, row_number() OVER (ORDER BY url_key, capture_ts, source_offset) AS place FROM caps"""))
+def captures_in_key_order(spark, d):
+    """Captures of equal key and time are told apart by their offset here, in either engine."""
+    index = capture_index(spark, d)
+    ordered = cut_lineage(ingest.sorted_by_key(index).withColumn("_key", F.monotonically_increasing_id()).select("url_key", "capture_ts", "source_offset", "_key"))
+    first = ordered.groupBy("url_key", "capture_ts").agg(F.min("_key").alias("_key"), F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list("source_offset")).alias("_offsets"))
+    placed = running_totals(first, "_key", "_n")
+    return placed.select(F.posexplode("_offsets").alias("_at", "source_offset"), "before").select("source_offset", (F.col("before") + F.col("_at") + 1).alias("place"))
+
+
 # Versions of a URL
 
 
@@ -745,22 +848,20 @@ def link_stats(spark, d):
 @query(f"""WITH {LINKS_SQL} SELECT page_id, count(DISTINCT target) AS targets FROM links GROUP BY page_id""")
 def distinct_targets(spark, d):
     pages = graph.page_links(page_captures(spark, d), "UTF-8")
-    targets = F.array_distinct(F.transform("links", lambda l: l["target"]))
-    return pages.select(F.col("source_offset").alias("page_id"), F.size(targets).cast("long").alias("targets")).filter("targets > 0")
+    targets = F.size(graph.page_targets(F.col("links"))).cast("long")
+    return pages.select(F.col("source_offset").alias("page_id"), targets.alias("targets")).filter("targets > 0")
 
 
 @query(f"WITH {GRAPH_SQL}, {CAPTURES_SQL} SELECT c.source_offset, i.id AS src FROM caps c JOIN ids i ON i.url = c.url")
 def page_ids(spark, d):
     urls = capture_index(spark, d).select("source_offset", "url")
-    return urls.join(_url_ids(spark, d), "url").select("source_offset", F.col("id").alias("src"))
+    return graph.with_page_ids(urls, _url_ids(spark, d)).select("source_offset", "src")
 
 
 @query(f"WITH {GRAPH_SQL} SELECT l.page_id, l.target, i.id AS dst FROM links l JOIN ids i ON i.url = l.target")
 def target_ids(spark, d):
     targets = _links(spark, d).select(F.col("source_offset").alias("page_id"), "target")
-    return targets.join(_url_ids(spark, d).withColumnRenamed("url", "target"), "target").select(
-        "page_id", "target", F.col("id").alias("dst")
-    )
+    return graph.target_ids(targets, _url_ids(spark, d)).select("page_id", "target", "dst")
 
 
 @query(f"WITH {GRAPH_SQL}, {RANGES_SQL} SELECT i.id AS page, r.id AS site FROM ids i JOIN ranges r ON i.id BETWEEN r.start_id AND r.end_id")
@@ -859,6 +960,26 @@ def extract_outlinks(spark, d):
     return outlinks.extract_outlinks(_outlink_captures(spark, d), _seeds(spark, d), _meta(spark, d), absolute_only=False)
 
 
+@query(f"""WITH {OUT_SQL}, whole AS (SELECT page_id, row_number() OVER (PARTITION BY page_id) AS pos, replace(pair[1], '&amp;', '&') AS target,
+  trim(replace(pair[2], '&amp;', '&')) AS anchor FROM (SELECT page_id, unnest(list_zip(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1),
+  regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2))) AS pair FROM (SELECT page_id, replace(html, '<a href="/', '<a href="http://www.far.example.org/') AS html FROM pages WHERE page_id % 2 = 0
+  UNION ALL SELECT page_id, html FROM pages WHERE page_id % 2 = 1))),
+last AS (SELECT d.row_key, d.url_key, d.day, l.target AS href, arg_max(l.anchor, d.source_file || lpad(d.source_offset::VARCHAR, 12, '0') || lpad(l.pos::VARCHAR, 6, '0')) AS anchor
+  FROM page_days d JOIN whole l USING (page_id) WHERE l.anchor <> '' AND l.target LIKE 'http%' GROUP BY ALL)
+SELECT row_key, url_key, day, href, regexp_replace(anchor, '[^ A-Za-z,'']+', '', 'g') AS anchor, code, coalesce(in_seeds, false) AS in_seeds
+FROM last LEFT JOIN marks ON marks.host = regexp_replace({HOST_SQL.format('last.href')}, '^www[.]', '')""")
+def extract_outlinks_absolute(spark, d):
+    """Only links absolute as written: those of every second page are made so, the others have none."""
+    pages = _outlink_captures(spark, d)
+    even = table(spark, d, "pages").filter("page_id % 2 = 0").select("url")
+    made = F.replace(F.col("content").cast("string"), F.lit('<a href="/'), F.lit('<a href="http://www.far.example.org/')).cast("binary")
+    is_even = F.col("_even").isNotNull()
+    marked = pages.join(even.distinct().select(F.col("url").alias("_even")), F.col("url") == F.col("_even"), "left")
+    return outlinks.extract_outlinks(
+        marked.withColumn("content", F.when(is_even, made).otherwise(F.col("content"))).drop("_even"), _seeds(spark, d), _meta(spark, d)
+    )
+
+
 @query(f"""WITH {OUT_SQL}, last AS (SELECT * FROM page_days QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY source_file DESC, source_offset DESC) = 1)
 SELECT row_key, url_key, day, code, coalesce(in_seeds, false) AS in_seeds, md5(content) AS hash
 FROM last LEFT JOIN marks ON marks.host = regexp_replace({HOST_SQL.format('last.url')}, '^www[.]', '')""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -10,19 +12,24 @@ ARC_BLOCK = "1 0 test\nURL IP-address Archive-date Content-type Archive-length\n
 ARC_HEAD = f"filedesc://x.arc 0.0.0.0 20240101000000 text/plain {len(ARC_BLOCK)}\n{ARC_BLOCK}\n"
 
 
-def _writer(folder: str, name: str):
+def _writer(folder: str, name: str, head: bytes, kind: str):
     from crawlstrata.sources.archives import file_system
 
     def write(batches):
         system, inside = file_system(folder)
         system.create_dir(inside, recursive=True)
-        written = 0
-        with system.open_output_stream(f"{inside}/{name}-{TaskContext.get().partitionId()}.arc", compression=None) as out:
-            out.write(ARC_HEAD.encode())
+        task, written = TaskContext.get(), 0
+        member = (lambda data: gzip.compress(data, mtime=0)) if kind.endswith(".gz") else (lambda data: data)
+        # Under the attempt's own name until it is whole: attempts at one task never write into one file.
+        attempt = f"{inside}/.{name}-{task.taskAttemptId()}"
+        with system.open_output_stream(attempt, compression=None) as out:
+            if head:
+                out.write(member(head))
             for batch in batches:
                 for record in batch.column(0):
-                    out.write(record.as_py())
+                    out.write(member(record.as_py()))
                     written += 1
+        system.move(attempt, f"{inside}/{name}-{task.partitionId()}.{kind}")
         yield _count(written)
 
     return write
@@ -34,6 +41,7 @@ def _count(written: int):
     return pa.RecordBatch.from_pydict({"written": [written]}, schema=pa.schema([("written", pa.int64())]))
 
 
-def write_arcs(records: DataFrame, folder: str, name: str) -> None:
-    """Write the records as one ARC file per task; a repeated task writes the same file again."""
-    records.mapInArrow(_writer(folder, name), "written long").write.format("noop").mode("overwrite").save()
+def write_archives(records: DataFrame, folder: str, name: str, kind: str = "arc") -> None:
+    """Write the records as one file per task, ARC or WARC by `kind`; a repeated task replaces its file."""
+    head = ARC_HEAD.encode() if kind.startswith("arc") else b""
+    records.mapInArrow(_writer(folder, name, head, kind), "written long").write.format("noop").mode("overwrite").save()
