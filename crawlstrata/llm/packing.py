@@ -2,7 +2,7 @@
 
 Bounded-space online packing: each partition keeps a fixed number of open windows. A document's full
 windows leave at once; its rest goes to the open window where the least room stays, and when none fits
-the fullest window is emitted. Windows left at the end are merged across partitions.
+the fullest window is emitted. Windows left at the end are merged across partitions, cut where a sequence is full.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ END_OF_DOCUMENT = 0
 SPECIAL = {"<|endoftext|>": 50256}
 # Sequence numbers of a partition start here, so that they are unique in the table.
 PER_PARTITION = 1 << 36
-MERGE_FAN = 32
+MERGE_FAN = 8
 
 
 def byte_bpe(path: str) -> Callable[[str], np.ndarray]:
@@ -87,7 +87,7 @@ def pack(
     id: str = "doc_id",
     text: str = "text",
     size: int = 1024,
-    open_windows: int = 256,
+    open_windows: int = 1024,
     encoder: Callable[[], Callable[[str], np.ndarray]] = default_encoder,
     with_ids: bool = True,
 ) -> DataFrame:
@@ -100,26 +100,26 @@ def pack(
     the token ids; without it only their checksum is carried.
 
     A task holds `open_windows` windows. What is open at a task's end is merged with that of others:
-    MERGE_FAN tasks at a time, each group leaving again at most `open_windows`, until one group is left.
-    So leftovers of any number of tasks are handled in bounded groups, and at most `open_windows`
-    sequences of the whole table are less than well filled. Numbers of sequences are unique, not dense.
+    MERGE_FAN tasks at a time, each group leaving one window that is not full, until one group is left.
+    So leftovers of any number of tasks are handled in bounded groups, and pieces are cut anew only there.
+    Numbers of sequences are unique, not dense.
     """
     if not 0 < size < 1 << 16:
         raise ValueError("size must be between 1 and 65,535")
-    names = ["_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "open", *(["ids"] if with_ids else [])]
+    names = ["_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "open", "ids"]
     read = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
     numbers = {c: F.lit(0).cast("long").alias(c) for c in names[1:7]}
     schema = read.select(
-        "_id", *numbers.values(), F.lit(False).alias("open"),
-        *([F.array().cast("array<int>").alias("ids")] if with_ids else []),
+        "_id", *numbers.values(), F.lit(False).alias("open"), F.lit(None).cast("array<int>").alias("ids")
     ).schema
 
     def rows_of(windows: list[tuple[int, list]], is_open: bool, first: int, id_type: pa.DataType) -> pa.RecordBatch:
         flat = [
-            (doc, start, length, crc, total, first + window, offset, is_open, *ids)
-            for window, items in windows for offset, (doc, start, length, crc, total, *ids) in items
+            (doc, start, len(ids), zlib.crc32(ids.tobytes()), total, first + window, offset, is_open,
+             ids.view(np.int32) if with_ids or is_open else None)
+            for window, items in windows for offset, (doc, start, ids, total) in items
         ]
-        types = [id_type, *[pa.int64()] * 6, pa.bool_(), *([pa.list_(pa.int32())] if with_ids else [])]
+        types = [id_type, *[pa.int64()] * 6, pa.bool_(), pa.list_(pa.int32())]
         columns = zip(*flat, strict=True) if flat else [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
@@ -133,30 +133,29 @@ def pack(
             for doc, one in zip(batch.column(0).to_pylist(), texts, strict=True):
                 tokens = np.append(encode(one), END_OF_DOCUMENT).astype("<u4")
                 for start, length in _pieces_of(tokens, size):
-                    part = tokens[start : start + length]
-                    ids = [part.astype(np.int32)] if with_ids else []
-                    done += windows.place(length, (doc, start, length, zlib.crc32(part.tobytes()), len(tokens), *ids))
+                    done += windows.place(length, (doc, start, tokens[start : start + length].copy(), len(tokens)))
             yield rows_of(done, False, first, id_type)
         yield rows_of(sorted(windows.items.items()), True, first, id_type)
 
     def merge(final: bool) -> Callable[[pa.Table], pa.Table]:
         def run(rows: pa.Table) -> pa.Table:
-            """Whole windows as items, longest first, into windows named after their first item."""
-            sequence, length = rows["sequence_id"].to_numpy(), rows["length"].to_numpy()
-            kinds, window = np.unique(sequence, return_inverse=True)
-            fill = np.bincount(window, weights=length).astype(np.int64)
-            to, shift, closed = kinds.copy(), np.zeros(len(kinds), np.int64), np.zeros(len(kinds), bool)
-            merged = OpenWindows(size, len(kinds))
-            done = [w for k in np.argsort(-fill, kind="stable") for w in merged.place(int(fill[k]), int(k))]
-            # Of the windows still open the fullest leave; the rest goes to the next round.
-            keep = set() if final else {w for _, w in merged.rooms[-open_windows:]}
-            for number, items in [*done, *merged.items.items()]:
-                for offset, k in items:
-                    to[k], shift[k], closed[k] = kinds[items[0][1]], offset, number not in keep
-            at = {c: rows.schema.get_field_index(c) for c in ("sequence_id", "offset", "open")}
-            rows = rows.set_column(at["offset"], "offset", pa.array(rows["offset"].to_numpy() + shift[window]))
-            rows = rows.set_column(at["sequence_id"], "sequence_id", pa.array(to[window]))
-            return rows.set_column(at["open"], "open", pa.array(~closed[window]))
+            """The open windows one after another, cut into full ones and a last."""
+            rows = rows.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+            names_of = np.unique(rows["sequence_id"].to_numpy())
+            total = int(np.sum(rows["length"].to_numpy()))
+            windows: dict[int, list] = {}
+            at = 0
+            for doc, start, ids, of in zip(*(rows[c].to_pylist() for c in ("_id", "start", "ids", "doc_tokens")), strict=True):
+                tokens, done = np.array(ids, "<u4"), 0
+                while done < len(tokens):
+                    part = tokens[done : done + size - at % size]
+                    windows.setdefault(at // size, []).append((at % size, (doc, start + done, part, of)))
+                    at, done = at + len(part), done + len(part)
+            full = total // size
+            numbered = [(int(names_of[k]), items) for k, items in windows.items()]
+            kind = rows.schema.field("_id").type
+            parts = [rows_of(numbered[:full], False, 0, kind), rows_of(numbered[full:], not final, 0, kind)]
+            return pa.Table.from_batches(parts)
 
         return run
 
@@ -178,4 +177,4 @@ def pack(
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
-    return result.select(F.col("_id").alias(id), *[c for c in names[1:] if c != "open"])
+    return result.select(F.col("_id").alias(id), *names[1:7], *(["ids"] if with_ids else []))
