@@ -129,9 +129,9 @@ def op5_jaccard_join(spark, d):
 # The production mixture.
 MIX_ROUNDS = 10
 MIX_TARGETS = {
-    "source": {"src0": 0.1, "src1": 0.1, "src2": 0.1, "src3": 0.1, "src4": 0.1, "other": 0.5},
-    "lang": {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2},
-    "topic": {"prose": 0.8, "tabular": 0.1, "contact": 0.1},
+    "source": {"src0": 0.25, "src1": 0.04, "src2": 0.04, "src3": 0.04, "src4": 0.04, "other": 0.59},
+    "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14},
+    "topic": {"prose": 0.93, "tabular": 0.03, "contact": 0.04},
 }
 
 
