@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ from crawlstrata.plans.views import (
     table,
 )
 from crawlstrata.plans.written import ARC_HEAD, write_archives
-from crawlstrata.session import checkpoint_dir, cut_lineage
+from crawlstrata.session import cut_lineage, scratch
 from crawlstrata.sources import archives, sinks, textfiles
 from crawlstrata.streaming.increment import ingest_increment as load_increment
 
@@ -384,7 +383,7 @@ def bulk_load_rows(spark, d):
 def ingest_increment(spark, d):
     """Pages arrive as ARC files in two parts; each is loaded as it comes."""
     pages = page_captures(spark, d)
-    folder = f"{checkpoint_dir(spark)}/arrivals-{uuid.uuid4()}"
+    folder = scratch(spark, "arrivals")
     secure = F.col("url").startswith("https:")
     for part, arrived in (("first", pages.filter(~secure)), ("second", pages.filter(secure))):
         write_archives(arrived.select(_arc_record().alias("record")), f"{folder}/files", part)
@@ -400,7 +399,7 @@ def ingest_append(spark, d):
     changed = pages.filter(F.col("source_offset") % 3 == 0).withColumn("content", F.concat(F.lit(b"x"), F.col("content")))
     # The changed captures come from files that sort before the others.
     changed = changed.withColumn("source_file", F.lit("again"))
-    path = f"{checkpoint_dir(spark)}/appended-{uuid.uuid4()}"
+    path = scratch(spark, "appended")
     ingest.ingest(pages, path, "create")
     for _ in range(2):
         ingest.ingest(changed, path, "append")
@@ -565,14 +564,10 @@ def adjacency_lines(spark, d):
     return sinks.adjacency_lines(lists)
 
 
-def _folder(spark, name: str) -> str:
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
-
-
 @query(over_captures("SELECT split_part(url_key, '/', 1) AS domain, count(DISTINCT url_key) AS n FROM caps GROUP BY 1"))
 def counts_written(spark, d):
     """Counts written as lines and read back."""
-    folder = _folder(spark, "counts")
+    folder = scratch(spark, "counts")
     sinks.write_counts(counts.count_domains(capture_index(spark, d)), folder)
     return spark.read.schema("domain string, n long").csv(folder, sep="\t")
 
@@ -581,7 +576,7 @@ def counts_written(spark, d):
 def site_edges_written(spark, d):
     """Edges written as Source,Target,Weight and read back."""
     edges = table(spark, d, "events").groupBy(F.col("user_id").alias("source"), F.col("event_id").alias("target"))
-    folder = _folder(spark, "edges")
+    folder = scratch(spark, "edges")
     sinks.write_site_edges(edges.agg(F.count(F.lit(1)).alias("weight")), folder)
     read = spark.read.schema("Source long, Target long, Weight long").csv(folder, header=True)
     return read.select(F.col("Source").alias("src"), F.col("Target").alias("dst"), F.col("Weight").alias("weight"))
@@ -590,7 +585,7 @@ def site_edges_written(spark, d):
 @query("""SELECT event_id AS src, user_id || ',' || event_id % 97 AS dst FROM events""")
 def adjacency_written(spark, d):
     """Adjacency lists written as lines and read back."""
-    folder = _folder(spark, "adjacency")
+    folder = scratch(spark, "adjacency")
     rows = table(spark, d, "events")
     sinks.write_adjacency(rows.select(F.col("event_id").alias("src"), F.array("user_id", F.col("event_id") % 97).alias("dst")), folder)
     return textfiles.read_adjacency(spark, folder).select("src", F.array_join("dst", ",").alias("dst"))
@@ -599,7 +594,7 @@ def adjacency_written(spark, d):
 @query("SELECT page_id AS id, url AS prefix FROM pages")
 def prefixes_read(spark, d):
     """Prefixes read from the lines of a file."""
-    folder = _folder(spark, "prefixes")
+    folder = scratch(spark, "prefixes")
     table(spark, d, "pages").select(F.concat_ws(",", "page_id", "url")).write.text(folder)
     return textfiles.read_prefixes(spark, folder)
 
@@ -607,7 +602,7 @@ def prefixes_read(spark, d):
 @query(f"{ARC_SQL.replace(chr(39) + 'page-' + chr(39) + ' || page_id AS source_file, ', '')}")
 def arc_files(spark, d):
     """Compressed ARC files of many records, written from the pages and read by path."""
-    folder = _folder(spark, "arcs")
+    folder = scratch(spark, "arcs")
     write_archives(page_captures(spark, d).select(_arc_record().alias("record")), folder, "crawl", "arc.gz")
     read = archives.read_arc(spark, folder).filter("record_type = 'response'")
     return read.select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
@@ -616,7 +611,7 @@ def arc_files(spark, d):
 @query(f"""SELECT * EXCLUDE (source_file) FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL})""")
 def warc_files(spark, d):
     """Compressed WARC files of many records, written from the pages and read by path."""
-    folder, pages = _folder(spark, "warcs"), page_captures(spark, d)
+    folder, pages = scratch(spark, "warcs"), page_captures(spark, d)
     write_archives(pages.select(_warc_bytes(pages).alias("record")), folder, "crawl", "warc.gz")
     return archives.read_warc(spark, folder).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
 

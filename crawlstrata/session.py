@@ -44,12 +44,17 @@ def _stage_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/stage-{spark.sparkContext.applicationId}"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that `drop_staged` removes too."""
+    return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it back: a cut of the lineage that any executor
     can read again, with only the columns that later steps name. `drop_staged` removes all of them.
     """
     spark = df.sparkSession
-    path = f"{_stage_root(spark)}/{uuid.uuid4().hex}"
+    path = scratch(spark, "rows")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
