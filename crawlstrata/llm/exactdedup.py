@@ -93,6 +93,39 @@ def repeated_plane(digests: DataFrame, words: int) -> np.ndarray:
     return plane
 
 
+def plane_of(digests: DataFrame, words: int) -> np.ndarray:
+    """The plane of places set by any row of a table with one binary column: a plain Bloom filter."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plane = np.zeros(words, np.uint64)
+        for batch in batches:
+            if batch.num_rows:
+                at = places(batch.column(0).to_pylist(), words).ravel()
+                np.bitwise_or.at(plane, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        found = np.flatnonzero(plane)
+        yield pa.RecordBatch.from_pydict({"word": pa.array(found), "bits": pa.array(plane[found].view(np.int64))})
+
+    plane = np.zeros(words, np.uint64)
+    set_words = digests.mapInArrow(build, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    for row in set_words.collect():  # at most the filter's bound
+        plane[row.word] = np.uint64(row.bits & (2**64 - 1))
+    return plane
+
+
+def among(rows: DataFrame, digest: str, words: int, plane: np.ndarray) -> DataFrame:
+    """The rows whose digest may be in the plane."""
+    held, at_digest = rows.sparkSession.sparkContext.broadcast(plane), rows.columns.index(digest)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value
+        for batch in batches:
+            if batch.num_rows:
+                at = places(batch.column(at_digest).to_pylist(), words)
+                yield batch.filter(pa.array(((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)))
+
+    return rows.mapInArrow(probe, rows.schema)
+
+
 def maybe_repeated(rows: DataFrame, digest: str, words: int, plane: np.ndarray) -> DataFrame:
     """`rows` with `_maybe`: whether the digest may occur twice."""
     held = rows.sparkSession.sparkContext.broadcast(plane)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlstrata.llm.common import ODD, mix, pieces, powers, sorted_lookup
+from crawlstrata.llm.exactdedup import among, filter_words, plane_of
 from crawlstrata.session import stage
 
 # ASCII white space, and A-Z in lower case.
@@ -25,6 +26,7 @@ LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)], np.ui
 ORDERS = (11, 22, 33)
 # A task looks for frequent shingles among so many at once.
 TALLY = 1 << 21
+MAX_FILTER_BYTES = 32 << 20
 
 
 def shingles(texts: list[str], size: int) -> list[np.ndarray]:
@@ -173,8 +175,14 @@ def digest_of(s: np.ndarray) -> bytes:
 
 
 def texts_of(digests: DataFrame, sets: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """`digest`, `_text`: one text for each of the sets; rows of the same id with another set are left out."""
-    wanted = digests.join(sets.select("digest", "rep"), "digest")
+    """`digest`, `_text`: one text for each of the sets; rows of the same id with another set are left out.
+
+    A Bloom filter of the wanted ids, of at most MAX_FILTER_BYTES, keeps other documents from being shuffled.
+    """
+    wanted = stage(digests.join(sets.select("digest", "rep"), "digest"))
+    key = lambda c: F.unhex(F.md5(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary")))
+    words = filter_words(wanted.count(), 12, MAX_FILTER_BYTES)
+    docs = among(docs.withColumn("_key", key("_id")), "_key", words, plane_of(wanted.select(key("rep").alias("key")), words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches, "_text"):

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlstrata.llm.exactdedup import PROBES, filter_words, places
+from crawlstrata.llm.exactdedup import filter_words, places, plane_of
 from crawlstrata.llm.linededup import LOWER, UPPER
 from crawlstrata.session import stage
 
@@ -30,30 +30,17 @@ def path_of(url: Column) -> Column:
 
 
 def _digest(host: str, path: str) -> bytes:
-    from hashlib import blake2b
+    from hashlib import md5
 
-    return blake2b(f"{host}\n{path}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return md5(f"{host}\n{path}".encode("utf-8", "surrogatepass")).digest()
 
 
 def list_filter(
     listed: DataFrame, rows: int, bits_per_row: int, max_bytes: int
 ) -> tuple[np.ndarray, list[int], frozenset[int]]:
     """A blocked Bloom filter of the listed pairs, and the lengths that their paths and hosts have."""
-    words = filter_words(rows, bits_per_row, max_bytes)
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plane = np.zeros(words, np.uint64)
-        for batch in batches:
-            if batch.num_rows:
-                at = places([_digest(h, p) for h, p in zip(*(c.to_pylist() for c in batch.columns), strict=True)], words)
-                np.bitwise_or.at(plane, at.ravel() >> np.uint64(6), np.uint64(1) << (at.ravel() & np.uint64(63)))
-        found = np.flatnonzero(plane)
-        yield pa.RecordBatch.from_pydict({"word": pa.array(found), "bits": pa.array(plane[found].view(np.int64))})
-
-    plane = np.zeros(words, np.uint64)
-    set_words = listed.select("_host", "_path").mapInArrow(build, "word long, bits long").groupBy("word")
-    for row in set_words.agg(F.bit_or("bits").alias("bits")).collect():  # at most the filter's bound
-        plane[row.word] = np.uint64(row.bits & (2**64 - 1))
+    digest = F.unhex(F.md5(F.concat_ws("\n", "_host", "_path")))
+    plane = plane_of(listed.select(digest.alias("digest")), filter_words(rows, bits_per_row, max_bytes))
     # Distinct lengths, so at most as many as the longest path has characters.
     paths, hosts = (sorted(r[0] for r in listed.select(F.char_length(c)).distinct().collect()) for c in ("_path", "_host"))
     return plane, paths, frozenset(hosts)
