@@ -27,6 +27,8 @@ WORD_FACTOR = 2.5
 PAIR_FACTOR = 1.5
 # A history's pairs tell on their own where each class has so many of them.
 MIN_HISTORY = 10
+# Counts that travel as one row, and groups in which tasks' counts are added up first.
+SEGMENT, SLOTS = 4096, 64
 # A document's mean is taken as if so many words more told nothing, so that few words prove little.
 PRIOR_WORDS = 20
 
@@ -87,24 +89,42 @@ def pair_counts(learn: DataFrame) -> DataFrame:
 
 
 def shared_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
-    """How often each of the sorted hashes occurs in all rows of `_text`, and the number of all words."""
+    """How often each of the sorted hashes occurs in all rows of `_text`, and the number of all words.
+
+    Tasks send their counts in segments of SEGMENT words, so their rows do not grow with the vocabulary they
+    have met; segments are added up within slots of tasks first, so that a group stays small.
+    """
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         known, low = held.value, letter_table()
-        total = np.zeros(len(known) + 1, np.int64)
+        total = np.zeros(-(-(len(known) + 1) // SEGMENT) * SEGMENT, np.int64)
         for _, texts in pieces(batches, "_text"):
             words, _ = words_of(texts, low)
             at, there = sorted_lookup(known, words)
-            total[:-1] += np.bincount(at[there], minlength=len(known))
-            total[-1] += len(words)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"word": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
-
-    summed = docs.mapInArrow(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(vocabulary) + 1, np.int64)  # one row per word of the bounded vocabulary
-    out[summed["word"].to_numpy()] = summed["n"].to_numpy()
-    return out[:-1], int(out[-1])
+            total[1 : len(known) + 1] += np.bincount(at[there], minlength=len(known))
+            total[0] += len(words)
+        parts = total.reshape(-1, SEGMENT)
+        yield pa.RecordBatch.from_pydict({
+            "segment": pa.array(np.arange(len(parts), dtype=np.int32)),
+            "slot": pa.array(np.full(len(parts), TaskContext.get().partitionId() % SLOTS, np.int32)),
+            "counts": pa.array([p.tobytes() for p in parts], pa.binary()),
+        })
+
+    def add(part: pa.Table) -> pa.Table:
+        total = np.zeros(SEGMENT, np.int64)
+        for counts in part["counts"]:
+            total += np.frombuffer(counts.as_py(), np.int64)
+        return part.slice(0, 1).select(["segment", "slot"]).append_column("counts", pa.array([total.tobytes()], pa.binary()))
+
+    schema = "segment int, slot int, counts binary"
+    summed = docs.mapInArrow(count, schema).groupBy("segment", "slot").applyInArrow(add, schema)
+    out = np.zeros(-(-(len(vocabulary) + 1) // SEGMENT) * SEGMENT, np.int64)
+    for row in summed.groupBy("segment").applyInArrow(add, schema).collect():  # the bounded vocabulary
+        out[row.segment * SEGMENT : (row.segment + 1) * SEGMENT] = np.frombuffer(row.counts, np.int64)
+    return out[1 : len(vocabulary) + 1], int(out[0])
 
 
 def cutoff(counts: DataFrame, column: str, least: int, max_entries: int) -> int:
