@@ -3,6 +3,7 @@
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -47,10 +48,12 @@ if __name__ == "__main__":
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as contract
+    from crawlstrata.session import drop_staged
 
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="oracle-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     wanted = sys.argv[1:]
@@ -66,4 +69,5 @@ if __name__ == "__main__":
             problem = f"{type(error).__name__}: {str(error)[:1200]}"
         failed += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.2f}s {problem or ''}", flush=True)
+    drop_staged(spark)
     print("failed", failed)
