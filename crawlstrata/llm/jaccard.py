@@ -156,16 +156,16 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def filtered(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct `a`, `b` of the pairs whose prefixes share a shingle under the other orders too."""
+    """Digests `a`, `b` (`a` first) of the pairs of nodes whose prefixes share a shingle under the other orders too."""
     others = [f"p{k}" for k in range(1, len(ORDERS))]
-    narrow = sets.select("digest", "n", *others)
+    narrow = sets.select("node", "digest", "n", *others)
     left, right = narrow.alias("l"), narrow.alias("r")
-    joined = pairs.distinct().join(left, F.col("a") == F.col("l.digest")).join(right, F.col("b") == F.col("r.digest"))
+    joined = pairs.distinct().join(left, F.col("a") == F.col("l.node")).join(right, F.col("b") == F.col("r.node"))
     overlap = least_overlap(F.col("l.n"), F.col("r.n"), percent)
     for p in others:
         first = [F.slice(F.col(f"{s}.{p}"), F.lit(1), (F.col(f"{s}.n") - overlap + 1).cast("int")) for s in "lr"]
         joined = joined.filter(F.arrays_overlap(*first))
-    return joined.select("a", "b")
+    return joined.select(*_pair("l.digest", "r.digest"))
 
 
 def digest_of(s: np.ndarray) -> bytes:
@@ -260,31 +260,35 @@ def link_documents(
     columns = ["n", "rare", *(f"p{k}" for k in range(len(ORDERS)))]
     sets = made.filter("n > 0").groupBy("digest").agg(F.min("_id").alias("rep"), *(F.first(c).alias(c) for c in columns))
     sets = stage(sets)
-    postings = sets.select("digest", "n", "rare", F.posexplode("p0").alias("pos", "shingle"))
-    leader = F.min(F.struct("rare", "digest", "n", "pos")).alias("leader")
+    # Candidates go by eight bytes of the digest; should two sets share them, there are more candidates, not fewer.
+    sets = sets.withColumn("node", F.xxhash64("digest"))
+    postings = sets.select("node", "n", "rare", F.posexplode("p0").alias("pos", "shingle"))
+    leader = F.min(F.struct("rare", "node", "n", "pos")).alias("leader")
     leaders = stage(postings.groupBy("shingle").agg(leader, F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows"))
-    shared = stage(postings.join(leaders, "shingle").select("shingle", "digest", "n", "pos", "leader"))
+    shared = stage(postings.drop("rare").join(leaders, "shingle").select("shingle", "node", "n", "pos", "leader"))
 
-    star = shared.select(F.struct("digest", "n", "pos").alias("l"), F.col("leader").alias("r"))
-    star = star.filter(F.col("l.digest") != F.col("r.digest")).filter(_may_link(percent)).select(*_pair("l.digest", "r.digest"))
+    star = shared.select(F.struct("node", "n", "pos").alias("l"), F.col("leader").alias("r"))
+    star = star.filter(F.col("l.node") != F.col("r.node")).filter(_may_link(percent)).select(*_pair("l.node", "r.node"))
     tried = stage(filtered(star, sets, percent))
     links = stage(verified(tried, sets, read, size, percent))
     labels = components(links)
+    by_node = stage(labels.select(F.xxhash64("node").alias("node"), F.xxhash64("label").alias("label")))
 
-    def labelled(rows: DataFrame, node: str, name: str) -> DataFrame:
+    def labelled(rows: DataFrame, node: str, name: str, labels: DataFrame) -> DataFrame:
         named = labels.select(F.col("node").alias(f"_{name}"), F.col("label").alias(name))
         return rows.join(named, F.col(node) == F.col(f"_{name}"), "left").withColumn(name, F.coalesce(name, node)).drop(f"_{name}")
 
-    placed = labelled(shared.withColumn("head", F.col("leader.digest")), "digest", "part")
-    placed = stage(labelled(placed, "head", "head_part").select("shingle", "digest", "n", "pos", "part", "head_part"))
+    placed = labelled(shared.withColumn("head", F.col("leader.node")), "node", "part", by_node)
+    placed = stage(labelled(placed, "head", "head_part", by_node).select("shingle", "node", "n", "pos", "part", "head_part"))
     apart = placed.filter(F.col("part") != F.col("head_part"))
     rest = (
         apart.alias("l").join(placed.alias("r"), "shingle").filter((F.col("l.part") != F.col("r.part")) & _may_link(percent))
-        .select(*_pair("l.digest", "r.digest")).distinct().join(tried, ["a", "b"], "left_anti")
+        .select(*_pair("l.node", "r.node"))
     )
-    links = links.unionByName(verified(stage(filtered(rest, sets, percent)), sets, read, size, percent))
+    rest = filtered(rest, sets, percent).join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(stage(rest), sets, read, size, percent))
     labels = components(links)
-    of_set = labelled(sets.select("digest", "rep"), "digest", "part")
+    of_set = labelled(sets.select("digest", "rep"), "digest", "part", labels)
     smallest = stage(of_set.groupBy("part").agg(F.min("rep").alias("component_id")))
     of_set = stage(of_set.join(smallest, "part").select("digest", "component_id"))
     grouped = made.filter("n > 0").select("_id", "n", "digest").join(of_set, "digest").select("_id", "n", "component_id")
