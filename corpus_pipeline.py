@@ -16,6 +16,8 @@ from crawlstrata.session import prepare, stage
 
 # A document whose likeliest language is less likely than this is rejected.
 LEAST_LANGUAGE_SCORE = 0.5
+# The mixture keeps this share of the tokens that reach it.
+MIX_BUDGET = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +42,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled so that their tokens come close to the target weights."""
+    """Documents with MIX_BUDGET of the tokens, sampled so that these come as close to the target weights as they allow."""
     prepare(spark)
-    return mixing.sample(docs, mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS)
+    return mixing.sample(docs, mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS, budget=MIX_BUDGET)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -449,6 +449,51 @@ def test_mixing_meets_the_targets(spark):
         mixing.mix(docs, columns, {"source": {str(i): 1.0 for i in range(2000)}, "lang": {str(i): 1.0 for i in range(2000)}})
 
 
+def brute_fill(ask, most, room):
+    """What each key gets: its ask by one factor, found by halving, and no more than its most."""
+    low, high = 0.0, 1e12
+    for _ in range(300):
+        factor = (low + high) / 2
+        low, high = (factor, high) if sum(min(most[k], factor * ask[k]) for k in ask) < room else (low, factor)
+    return {k: min(most[k], high * ask[k]) for k in ask}
+
+
+def brute_budget(cells, targets, rounds, budget):
+    """Probability by cell; `cells` has tokens by a tuple with one value per target column."""
+    room, weight, goals = budget * sum(cells.values()), dict(cells), []
+    for i, goal in enumerate(targets):
+        held = Counter()
+        for cell, n in cells.items():
+            held[cell[i]] += n
+        goals.append(brute_fill({v: goal.get(v, 0) if n else 0 for v, n in held.items()}, held, room))
+    for _ in range(rounds):
+        for i, goal in enumerate(goals):
+            total = Counter()
+            for cell, w in weight.items():
+                total[cell[i]] += w
+            weight = {c: min(cells[c], w * goal[c[i]] / total[c[i]]) if total[c[i]] else 0 for c, w in weight.items()}
+    return {c: w / cells[c] if cells[c] else 0 for c, w in brute_fill(weight, cells, room).items()}
+
+
+@pytest.mark.parametrize("budget", [0.1, 0.5, 0.9])
+def test_mixing_keeps_its_budget_beside_a_rare_cell(spark, budget):
+    rnd = random.Random(9)
+    rows = [(i, " ".join("w" for _ in range(rnd.randrange(1, 50)))) for i in range(1, 3001, 2)] + [(2, "a b"), (4, None), (None, "c d"), (3, "e")]
+    docs = docs_of(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 11 == 0, "it").when(F.col("doc_id") % 3 == 0, "fr").otherwise("en"))
+    columns = {"source": F.col("source"), "lang": F.col("lang")}
+    targets = {"source": {"src0": 0.3, "other": 0.7}, "lang": {"en": 0.5, "fr": 0.5}}  # src0 has two tokens
+    got = mixing.mix(docs, columns, targets, rounds=20, budget=budget).toPandas()
+    cells = got.groupby(["source", "lang"])["tokens"].sum().to_dict()
+    want = brute_budget(cells, [targets["source"], targets["lang"]], 20, budget)
+    assert all(abs(r.probability - want[r.source, r.lang]) < 1e-6 for r in got.itertuples())
+    left = sum(n for (_, lang), n in cells.items() if lang != "other")  # the targets leave Italian out
+    assert abs((got["tokens"] * got["probability"]).sum() - min(budget * sum(cells.values()), left)) < 0.01
+    assert abs(got["tokens"][got["kept"]].sum() / sum(cells.values()) - min(budget, left / sum(cells.values()))) < 0.05
+    assert mixing.sample(docs, columns, targets, rounds=20, budget=budget).count() == got["kept"].sum()
+    with pytest.raises(ValueError):
+        mixing.mix(docs, columns, targets, budget=0)
+
+
 # All of them on empty tables
 
 
