@@ -18,6 +18,8 @@ from crawlstrata.session import prepare, stage
 LEAST_LANGUAGE_SCORE = 0.5
 # The mixture keeps this share of the tokens that reach it.
 MIX_BUDGET = 0.5
+# Its targets are those of the catalogue, and one for languages that these do not name.
+MIX = MIX_TARGETS | {"lang": MIX_TARGETS["lang"] | {"other": 0.05}}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with MIX_BUDGET of the tokens, sampled so that these come as close to the target weights as they allow."""
     prepare(spark)
-    return mixing.sample(docs, mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS, budget=MIX_BUDGET)
+    return mixing.sample(docs, mix_columns(), MIX, rounds=MIX_ROUNDS, budget=MIX_BUDGET)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,23 @@
+"""Stages of the corpus pipeline on small tables."""
+
+import random
+
+import corpus_pipeline
+from crawlstrata.llm.catalog import mix_columns
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, rows):
+    """Documents of (doc_id, text, lang), from ten sources."""
+    return spark.createDataFrame([(i, t, lang, f"src{(i or 0) % 10}", t and len(t)) for i, t, lang in rows], SCHEMA).repartition(3)
+
+
+def test_mixture_keeps_languages_without_a_target(spark):
+    rnd = random.Random(4)
+    langs = ["en", "fr", "de", "es", "it", None]
+    rows = [(i, "w " * rnd.randrange(1, 50), langs[i % 6]) for i in range(1200)]
+    kept = corpus_pipeline.mixture(spark, documents(spark, rows), "").collect()
+    share = {lang: sum(r.n_chars for r in kept if r.lang == lang) / sum(r.n_chars for r in kept) for lang in langs}
+    assert share["it"] > 0 and share[None] > 0 and abs(share["it"] + share[None] - 0.05 / 1.05) < 0.03
+    assert set(corpus_pipeline.MIX) == set(mix_columns())
