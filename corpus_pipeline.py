@@ -6,12 +6,15 @@ pieces of token sequences. `run` writes every stage's result as Parquet and read
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlstrata.llm import jaccard, langid, linededup, mixing, packing
 from crawlstrata.llm.catalog import MIX_ROUNDS, MIX_TARGETS, mix_columns
-from crawlstrata.llm.common import fold, table
+from crawlstrata.llm.common import fold, pieces, table
 from crawlstrata.session import prepare, stage
 
 # A document whose likeliest language is less likely than this is rejected.
@@ -22,10 +25,25 @@ MIX_BUDGET = 0.5
 MIX = MIX_TARGETS | {"lang": MIX_TARGETS["lang"] | {"other": 0.05}}
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The documents that have a letter."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in pieces(batches):
+            yield batch.filter(pa.array([any(map(str.isalpha, t)) for t in texts]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; a missing `lang` is filled in. Texts without a letter go."""
+    """Documents whose language is told; a missing `lang` is filled in. Texts without a letter go.
+
+    Where no learning row has a language, none can be told: all documents with a letter stay as they are.
+    """
     prepare(spark)
     model = langid.fit(docs, F.coalesce(fold("doc_id", 5) != 0, F.lit(False)))
+    if model is None:
+        return lettered(docs)
     told = langid.predict(docs, model).filter((F.col("_lang_pred") != langid.UNKNOWN) & (F.col("_score") >= LEAST_LANGUAGE_SCORE))
     return told.withColumn("lang", F.coalesce("lang", "_lang_pred")).select(*docs.columns)
 

@@ -1,6 +1,8 @@
 """Stages of the corpus pipeline on small tables."""
 
 import random
+import zlib
+from collections import Counter
 
 import corpus_pipeline
 from crawlstrata.llm.catalog import mix_columns
@@ -10,7 +12,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 def documents(spark, rows):
     """Documents of (doc_id, text, lang), from ten sources."""
-    return spark.createDataFrame([(i, t, lang, f"src{(i or 0) % 10}", t and len(t)) for i, t, lang in rows], SCHEMA).repartition(3)
+    return spark.createDataFrame([(i, t, lang, f"src{(i or 0) % 10}", None if t is None else len(t)) for i, t, lang in rows], SCHEMA).repartition(3)
 
 
 def test_mixture_keeps_languages_without_a_target(spark):
@@ -21,3 +23,13 @@ def test_mixture_keeps_languages_without_a_target(spark):
     share = {lang: sum(r.n_chars for r in kept if r.lang == lang) / sum(r.n_chars for r in kept) for lang in langs}
     assert share["it"] > 0 and share[None] > 0 and abs(share["it"] + share[None] - 0.05 / 1.05) < 0.03
     assert set(corpus_pipeline.MIX) == set(mix_columns())
+
+
+def test_language_stage_without_labels_keeps_what_has_a_letter(spark):
+    rows = [(1, "some text", None), (1, "some text", None), (2, "12 !?", None), (3, None, None), (4, "", None), (None, "\u00e9", None), (5, "7 \U00010400", None)]
+    got = corpus_pipeline.language_id(spark, documents(spark, rows), "")
+    assert sorted((r.doc_id or 0, r.lang) for r in got.collect()) == [(0, None), (1, None), (1, None), (5, None)]
+    # Rows of the fold that is held out teach nothing.
+    held = [(i, "some text", "en") for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = corpus_pipeline.language_id(spark, documents(spark, [*rows, *held]), "")
+    assert Counter((r.doc_id, r.lang) for r in got.collect() if r.lang) == Counter((i, lang) for i, _, lang in held)
