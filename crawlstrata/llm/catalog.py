@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstrata.llm import exactdedup, jaccard, langid, licenses, linededup, mixing, packing, quality, toxicity, urlfilter
+from crawlstrata.llm import chat, codes, exactdedup, jaccard, langid, licenses, linededup, mixing, packing, quality, spelling, toxicity, urlfilter
 from crawlstrata.llm.common import table
+from crawlstrata.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -179,3 +181,107 @@ def mix_sql(documents: str) -> str:
 def op7_mixing(spark, d):
     """Token weights of all documents raked to source, language and topic, and the documents sampled."""
     return mixing.mix(table(spark, d, "documents"), mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS)
+
+
+# The conversation that the contract adds.
+ADDED_CHAT = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def escape_sql(text: str) -> str:
+    """DuckDB text of `chat.escape`."""
+    for start in "<[":
+        rests = "|".join(re.escape(c[1:]) for c in chat.CONTROLS if c[0] == start)
+        text = f"regexp_replace({text}, '{re.escape(start)}(\\\\*(?:{rests}))', '{start}\\\\\\1', 'g')"
+    return text
+
+
+@query(f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES {', '.join(map(str, ADDED_CHAT))}),
+said AS (
+  SELECT *, length({escape_sql('text')}) + CASE role WHEN 'user' THEN {len(chat.ASK + chat.ASKED)} WHEN 'assistant' THEN {len(chat.DONE)}
+            ELSE {len(chat.ROLE + chat.TEXT + chat.TURN)} + length({escape_sql('role')}) END AS chars FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       ({len(chat.BEGIN)} + sum(chars))::BIGINT AS formatted_chars
+FROM said GROUP BY conv_id""")
+def op11_chat_format(spark, d):
+    """All conversations and the added one, formatted, encoded and masked; read back from that."""
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(ADDED_CHAT, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_chats(rows.unionByName(added)))
+
+
+# Parts of a vector, entries of a codebook, rounds and scale of the contract.
+CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE = 16, 64, 2, 256
+
+
+def codes_sql() -> str:
+    """DuckDB text of the codes: the rounds written out, one after another."""
+    steps = [
+        "kept AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, "
+        f"list_transform(embedding, lambda x: floor({CODE_SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings "
+        "WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"cut AS (SELECT r, p, v[p * (len(v) // {CODE_PARTS}) + 1 : (p + 1) * (len(v) // {CODE_PARTS})] AS x FROM kept, range({CODE_PARTS}) t(p))",
+        f"c0 AS (SELECT p, r - 1 AS j, x AS c FROM cut WHERE r <= {CODE_ENTRIES})",
+    ]
+    far = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT"
+    for k in range(CODE_ROUNDS + 1):
+        steps.append(f"a{k} AS (SELECT r, p, any_value(x) AS x, min({{'d': {far}, 'j': j}}) AS best FROM cut JOIN c{k} USING (p) GROUP BY r, p)")
+        if k < CODE_ROUNDS:
+            steps += [
+                f"s{k} AS (SELECT p, j, i, sum(e)::BIGINT AS s, count(*) AS n FROM (SELECT p, best.j AS j, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM a{k}) GROUP BY ALL)",
+                f"m{k} AS (SELECT p, j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{k} GROUP BY p, j)",
+                f"c{k + 1} AS (SELECT p, j, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (p, j))",
+            ]
+    last = CODE_ROUNDS
+    steps += [
+        f"coded AS (SELECT r, string_agg(lpad(to_hex(best.j), 2, '0'), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM a{last} GROUP BY r)",
+        f"books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM c{last})",
+    ]
+    return ", ".join(steps)
+
+
+@query(f"""
+WITH {codes_sql()}
+SELECT vec_id, lower(code) AS code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r) CROSS JOIN books""")
+def op12_vector_codes(spark, d):
+    """All vectors by 16 codebooks of 64 entries, fitted in two rounds over all of them."""
+    coded, history = codes.compress(
+        table(spark, d, "embeddings"), carry=("label",), parts=CODE_PARTS, entries=CODE_ENTRIES, rounds=CODE_ROUNDS, scale=CODE_SCALE
+    )
+    told = codes.with_label_error(stage(coded))
+    return told.select("vec_id", "code", "error", "label_error", F.lit(codes.codebook_digest(history[-1])).alias("codebooks_sha256"))
+
+
+# Letters over ASCII as single bytes, as DuckDB counts edits in bytes.
+WIDE = "".join(map(chr, range(0xC0, 0x100)))
+NARROW = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c != "'")[: len(WIDE)]
+CRC_TABLE = "(SELECT list(v ORDER BY i) AS crc FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(i)))"
+
+
+@query(f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+bytes AS (SELECT run, hex(encode(doc_id || ':' || run)) AS x FROM runs WHERE length(run) >= 6),
+hashed AS (
+  SELECT run, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda k: ('0x' || substr(x, 2 * k + 1, 2))::BIGINT)),
+                  lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM bytes, {CRC_TABLE}),
+changed AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed),
+words AS (
+  SELECT word, count(*) AS n, translate(word, '{WIDE}', '{NARROW}') AS k FROM changed WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM words a JOIN words b ON abs(length(a.k) - length(b.k)) <= 1 AND a.word <> b.word AND levenshtein(a.k, b.k) = 1),
+best AS (SELECT word, count(*) AS n_near, min({{'less': -near_n, 'near': near}}) AS top FROM pairs GROUP BY word),
+told AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.less >= 5 * n THEN top.near END AS form, CASE WHEN -top.less >= 5 * n THEN -top.less END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, word AS place, 0 AS depth FROM told
+  UNION ALL SELECT s.word, t.form, depth + 1 FROM steps s JOIN told t ON s.place = t.word WHERE t.form IS NOT NULL)
+SELECT word, n, n_near, form, form_n, root FROM told JOIN (SELECT word, arg_max(place, depth) AS root FROM steps GROUP BY word) USING (word)""")
+def op13_spelling_groups(spark, d):
+    """Words of all documents, and the more frequent words that they are one letter away from."""
+    return spelling.group_spellings(spelling.count_words(table(spark, d, "documents")))
