@@ -386,7 +386,7 @@ def test_site_of_key_and_base_paths(spark):
                             ("http://longlonglonglonglonglonglonglong.org/house", 1, "t", b"")])
     ids = spark.createDataFrame([("house",), ("senate",), ("",)], "site_id string")
     assert {r.url_key for r in text.site_of_key(captures, ids, 40).collect()} == {"gov.house.www/a/1", "gov.house.www/a/2", "gov.house.www/b"}
-    assert "org.longlonglonglonglonglonglonglonglong/house" in {r.url_key for r in text.site_of_key(captures, ids).collect()}
+    assert "org.longlonglonglonglonglonglonglong/house" in {r.url_key for r in text.site_of_key(captures, ids).collect()}
     assert [tuple(r) for r in text.site_base_paths(captures, ids, 40).collect()] == [("house", "gov.house.www/a", 2), ("house", "gov.house.www/b", 1)]
 
 
