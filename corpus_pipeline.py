@@ -36,7 +36,8 @@ def lettered(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; a missing `lang` is filled in. Texts without a letter go.
+    """Documents whose language is told; a missing `lang` is filled in. Texts without a letter go, and so do those
+    whose likeliest language has less than LEAST_LANGUAGE_SCORE: with two languages none, as one has half at least.
 
     Where no learning row has a language, none can be told: all documents with a letter stay as they are.
     """
