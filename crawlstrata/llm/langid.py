@@ -82,8 +82,8 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
     counted = docs.select(F.col(text).alias("_text")).mapInArrow(count, "gram long, n long")
     df = np.zeros(DIMENSIONS + 1, np.int64)
-    for row in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # at most DIMENSIONS + 1 rows
-        df[row.gram] = row.n
+    summed = counted.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # at most DIMENSIONS + 1 rows
+    df[summed["gram"].to_numpy()] = summed["n"].to_numpy()
     return df[:DIMENSIONS], int(df[DIMENSIONS])
 
 
@@ -93,9 +93,9 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit_ftrl(
-    rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int, rate: float, l1: float, l2: float
+    rows: list[tuple[np.ndarray, np.ndarray, int]], idf: np.ndarray, classes: int, epochs: int, rate: float, l1: float, l2: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias after passes over `rows` of (n-grams, values, class) in a fixed random order."""
+    """Weights and bias after passes over `rows` of (n-grams, term weights, class) in a fixed random order."""
     z, n = np.zeros((DIMENSIONS + 1, classes)), np.zeros((DIMENSIONS + 1, classes))
     random = np.random.default_rng(SEED)
 
@@ -105,8 +105,9 @@ def fit_ftrl(
 
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
-            at, x, label = rows[i]
-            at, x = np.append(at, DIMENSIONS), np.append(x, 1.0)
+            at, tf, label = rows[i]
+            x = np.append(weighed(at, tf.astype(float), idf), 1.0)
+            at = np.append(at, DIMENSIONS)
             w = weights(at)
             error = softmax(x @ w)
             error[label] -= 1.0
@@ -133,6 +134,7 @@ def fit(
     text: str = "text",
     lang: str = "lang",
     per_language: int = 1200,
+    chars_per_language: int = 1 << 24,
     epochs: int = 3,
     rate: float = 0.5,
     l1: float = 0.02,
@@ -141,17 +143,20 @@ def fit(
     """The model learnt from rows where `learn` holds and `lang` is given; None if there are none.
 
     Document frequencies are counted over all of these. The regression is fitted on about `per_language`
-    documents of each language at most, drawn by id, a fifth of which fits the temperature instead; ids
-    decide on both, so a repeated row falls on the same side.
+    documents and `chars_per_language` characters of each language at most, drawn by id, a fifth of which fits
+    the temperature instead; ids decide on both, so a repeated row falls on the same side. One task fits it, so the
+    driver holds the counts and the weights only.
     """
     usable = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {r[0]: r[1] for r in usable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1))).collect()}
+    chars = F.sum(F.char_length(text)).alias("chars")
+    sizes = {r.lang: (r.n, r.chars) for r in usable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"), chars).collect()}
     if not sizes:
         return None
     languages = sorted(sizes)
     df, n = document_frequencies(usable, text)
     idf = np.log((1 + n) / (1 + df)) + 1
-    share = F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, per_language / sizes[k]))])
+    shares = {k: min(1.0, per_language / count, chars_per_language / max(1, chars)) for k, (count, chars) in sizes.items()}
+    share = F.create_map(*[F.lit(v) for k in languages for v in (k, shares[k])])
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = letter_table()
@@ -165,23 +170,31 @@ def fit(
                 ["lang", "apart", "at", "tf"],
             )
 
+    def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {k: i for i, k in enumerate(languages)}
+        rows, apart = [], []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                at, tf = (batch.column(c)[k].values.to_numpy().copy() for c in (2, 3))
+                (apart if batch.column(1)[k].as_py() else rows).append((at, tf, number[batch.column(0)[k].as_py()]))
+        values = lambda r: weighed(r[0], r[1].astype(float), idf)
+        # In one order, whatever order the tasks gave them.
+        rows.sort(key=lambda r: (r[2], len(r[0]), float((x := values(r)).sum()), float(x.max())))
+        weights, bias = fit_ftrl(rows, idf, len(languages), epochs, rate, l1, l2)
+        logits = np.array([values(r) @ weights[r[0]] + bias for r in apart]).reshape(-1, len(languages))
+        temperature = fit_temperature(logits, np.array([label for *_, label in apart], np.int64))
+        yield pa.RecordBatch.from_pydict(
+            {"weights": [weights.astype(np.float32).tobytes()], "bias": [bias.tobytes()], "temperature": [temperature]}
+        )
+
     drawn = usable.filter(spread(id) < share[F.col(lang)]).select(
         F.col(lang).alias("_lang"), (F.pmod(F.xxhash64(F.lit("apart"), F.col(id)), F.lit(5)) == 0).alias("_apart"),
         F.col(text).alias("_text"),
     )
-    table = drawn.mapInArrow(sample, "lang string, apart boolean, at array<int>, tf array<float>").toArrow()
-    number = {k: i for i, k in enumerate(languages)}
-    rows, apart = [], []
-    for k in range(table.num_rows):
-        at = table["at"][k].values.to_numpy()
-        x = weighed(at, table["tf"][k].values.to_numpy().astype(float), idf)
-        (apart if table["apart"][k].as_py() else rows).append((at, x, number[table["lang"][k].as_py()]))
-    # In one order, whatever order the tasks gave them.
-    rows.sort(key=lambda r: (r[2], len(r[0]), float(r[1].sum()), float(r[1].max())))
-    weights, bias = fit_ftrl(rows, len(languages), epochs, rate, l1, l2)
-    logits = np.array([x @ weights[at] + bias for at, x, _ in apart]).reshape(-1, len(languages))
-    temperature = fit_temperature(logits, np.array([label for *_, label in apart], np.int64))
-    return Model(languages, idf.astype(np.float32), weights.astype(np.float32), bias, temperature)
+    rows = drawn.mapInArrow(sample, "lang string, apart boolean, at array<int>, tf array<float>").repartition(1)
+    fitted = rows.mapInArrow(learnt, "weights binary, bias binary, temperature double").first()
+    weights = np.frombuffer(bytes(fitted.weights), np.float32).reshape(DIMENSIONS, len(languages))
+    return Model(languages, idf.astype(np.float32), weights, np.frombuffer(bytes(fitted.bias)), fitted.temperature)
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

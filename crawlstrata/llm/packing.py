@@ -27,24 +27,44 @@ PER_PARTITION = 1 << 36
 MERGE_FAN = 8
 
 
-def byte_bpe(path: str) -> Callable[[str], np.ndarray]:
-    """The encoder of a byte-level BPE vocabulary given as ranks."""
+def byte_bpe(path: str, ranks_path: str | None = None) -> Callable[[str], np.ndarray]:
+    """The encoder of a byte-level BPE vocabulary in a JSON file.
+
+    With the same vocabulary as ranks, texts are encoded by these, several times as fast, but for texts that the
+    quicker encoder refuses: its pattern cannot go back over a million blanks in a row.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+
+    def whole(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    if ranks_path is None:
+        return whole
     import base64
 
     import public_tokenizers
     import tiktoken
 
-    with open(path, "rb") as lines:
+    with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
+    quick = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return quick.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return whole(text)
+
+    return encode
 
 
 def default_encoder() -> Callable[[str], np.ndarray]:
     """The encoder of the public 50k byte-level vocabulary, found where the task runs."""
     import public_tokenizers
 
-    return byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 class OpenWindows:

@@ -182,6 +182,20 @@ def test_components_of_chains_and_stars(spark):
 # Packing
 
 
+def test_millions_of_blanks_are_packed(spark):
+    """The quicker encoder refuses a million blanks; the ids are those of the JSON file all the same."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, " " * 2_000_000), (2, "a word" + " \t" * 1_000_000 + "b"), (3, "x " * 100_000)]
+    ids = defaultdict(list)
+    for r in sorted(packing.pack(docs_of(spark, rows)).collect(), key=lambda r: (r.doc_id, r.start)):
+        assert r.start == len(ids[r.doc_id])
+        ids[r.doc_id] += r.ids
+    assert ids == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in rows}
+
+
 def packed_rows(df):
     return [r.asDict() for r in df.collect()]
 
@@ -340,7 +354,7 @@ def test_language_without_labels(spark):
 def test_ftrl_leaves_useless_weights_at_zero():
     rnd = np.random.default_rng(0)
     rows = [(np.array([label, 10 + rnd.integers(500)]), np.array([0.7, 0.7]), label) for label in rnd.integers(0, 2, 300)]
-    weights, _ = langid.fit_ftrl(rows, 2, 3, 0.5, 0.5, 0.1)
+    weights, _ = langid.fit_ftrl(rows, np.ones(langid.DIMENSIONS), 2, 3, 0.5, 0.5, 0.1)
     assert (weights[[0, 1]] != 0).any() and (weights[2000:] == 0).all() and (weights[10:510] == 0).mean() > 0.9
     logits = np.array([[4.0, 0.0]] * 90 + [[0.0, 4.0]] * 10)
     assert langid.fit_temperature(logits, np.zeros(100, int)) > 1
