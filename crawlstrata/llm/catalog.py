@@ -211,7 +211,7 @@ def op11_chat_format(spark, d):
     """All conversations and the added one, formatted, encoded and masked; read back from that."""
     rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame(ADDED_CHAT, "conv_id long, turn long, role string, text string")
-    return chat.digests(chat.format_chats(rows.unionByName(added)))
+    return chat.digests(stage(chat.format_chats(rows.unionByName(added))))
 
 
 # Parts of a vector, entries of a codebook, rounds and scale of the contract.
