@@ -10,8 +10,8 @@ from pyspark.sql.types import StringType
 from crawlstrata.functions import content
 from crawlstrata.functions.keys import base_path
 from crawlstrata.operators.markup import replay_copy, text_of
+from crawlstrata.operators.patterns import MAX_AUTOMATON_CHARS, sole_string
 from crawlstrata.operators.search import distinct_urls, html_only
-from crawlstrata.operators.urlids import lengths_of
 from crawlstrata.session import cut_lineage
 
 
@@ -32,28 +32,15 @@ def replay_html(html: pa.Array, url: pa.Array, prefix: pa.Array) -> pa.Array:
     return pa.array([None if h is None else replay_copy(h, u or "", p) for h, u, p in rows], type=pa.string())
 
 
-def site_of_key(keys: DataFrame, site_ids: DataFrame, span: int | None = None) -> DataFrame:
+def site_of_key(
+    keys: DataFrame, site_ids: DataFrame, span: int | None = None, max_chars: int = MAX_AUTOMATON_CHARS
+) -> DataFrame:
     """(url_key, site_id) of distinct keys that hold exactly one of the ids, in their first `span` characters if given.
 
-    The parts of a key that have the length of an id are joined to the ids by equality. With a span, keys that
-    begin alike are searched once.
+    Ids of up to `max_chars` characters in all are an automaton in each task, which reads every key once; of
+    more, only the places of a key where an id may begin are joined to the ids.
     """
-    known = distinct_urls(keys).withColumn("_head", F.col("url_key") if span is None else F.substring("url_key", 1, span))
-    heads = known.select("_head") if span is None else known.select("_head").distinct()
-    head, lengths = F.col("_head"), F.col("_lengths")
-    parts = F.flatten(
-        F.transform(
-            F.filter(lengths, lambda n: n <= F.length(head)),
-            lambda n: F.transform(F.sequence(F.lit(1), F.length(head) - n + 1), lambda i: F.substring(head, i, n)),
-        )
-    )
-    sized = heads.withColumn("_lengths", lengths_of(site_ids, "site_id"))
-    found = sized.select("_head", F.explode(F.array_distinct(parts)).alias("site_id")).join(
-        site_ids.filter(F.col("site_id") != ""), "site_id"
-    )
-    sites = found.groupBy("_head").agg(F.min("site_id").alias("site_id"), F.max("site_id").alias("_other"))
-    sites = sites.filter("site_id = _other").select("_head", "site_id")
-    return sites.withColumnRenamed("_head", "url_key") if span is None else known.join(sites, "_head").select("url_key", "site_id")
+    return sole_string(distinct_urls(keys), site_ids.select("site_id"), span, max_chars)
 
 
 def site_base_paths(captures: DataFrame, site_ids: DataFrame, span: int | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlstrata.functions.keys import url_key
+from crawlstrata.operators.planes import rows_of_keys
+from crawlstrata.session import stage
 
 IDENTITY = ["url_key", "content_type", "capture_ts"]
 
@@ -75,13 +77,13 @@ def capture_span(captures: DataFrame) -> DataFrame:
 def latest_capture(captures: DataFrame) -> DataFrame:
     """The newest capture of every key; of captures at one time the last written.
 
-    It is found on narrow columns, so content is neither sorted nor compared.
+    It is found on narrow columns and written as a table of places. Content is read where it lies and neither
+    sorted, compared nor shuffled: the captures of these places are picked by `rows_of_keys`.
     """
     place = ["url_key", "capture_ts", "source_file", "source_offset"]
     known = captures.filter(F.col("url_key").isNotNull())
     newest = known.groupBy("url_key").agg(F.max(F.struct(*place[1:])).alias("_newest")).select("url_key", "_newest.*")
-    same = [known[c].eqNullSafe(newest[c]) for c in place]
-    return known.join(newest, same, "left_semi")
+    return rows_of_keys(known, stage(newest))
 
 
 def as_of(requests: DataFrame, captures: DataFrame) -> DataFrame:
