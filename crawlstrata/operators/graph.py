@@ -9,7 +9,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from crawlstrata.functions.content import DEFAULT_CHARSET, decode_as
 from crawlstrata.functions.keys import collapse_dot_segments, strip_blanks
-from crawlstrata.operators.markup import LINK_SCHEMES, links_of
+from crawlstrata.operators.markup import BLOCKS, LINK_SCHEMES, links_of
 from crawlstrata.operators.search import html_only
 from crawlstrata.session import cut_lineage
 
@@ -64,24 +64,60 @@ def resolve_url(base: Column, link: Column) -> Column:
     )
 
 
+# A tag ends at the first > that is in no quoted value. Every loop is possessive and every tag is consumed, at the
+# worst up to the end of the page, so that no part of a page is searched more than a few times.
+_ATTRIBUTES = r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)|[\"'])*+"
+_ANCHOR_TEXT = rf"[^<]*+(?:(?!</?a[\s/>])(?:<[a-z]{_ATTRIBUTES}(?:>|\z)|<)[^<]*+)*+"
+_TAGS = rf"(?is)<a(?=[\s/>]){_ATTRIBUTES}(?:>{_ANCHOR_TEXT}|\z)|<[a-z]{_ATTRIBUTES}(?:>|\z)|<[!?/][^>]*+>?"
+_UNQUOTED = rf"(?is)<a(?=[\s/>])[^>]*+(?:>{_ANCHOR_TEXT}|\z)"
+_NAME, _VALUE = r"[^\s=>\"'/]++", r"(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)"
+_HREF = rf"(?is)^<a(?:(?!href(?:[\s=>\"'/]|\z)){_NAME}(?:\s*+=\s*+{_VALUE})?+|[\s=>\"'/])*+href(?:\s*+=\s*+({_VALUE}))?+"
+# Entities that plain markup may hold; the last one ends the decoding.
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def _decoded(text: Column) -> Column:
+    for entity, character in _ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
+
+
+def _said(markup: Column) -> Column:
+    """The text of an anchor: blocks part words, other tags do not."""
+    block = rf"(?is)</?(?:{'|'.join(sorted(BLOCKS))})(?=[\s/>]){_ATTRIBUTES}>"
+    text = F.regexp_replace(F.regexp_replace(markup, block, " "), rf"(?is)<[a-z]{_ATTRIBUTES}>|<[!?/][^>]*+>", "")
+    return F.btrim(F.regexp_replace(_decoded(text), r"[ \t\n\r\f\x0B\xA0]+", " "), F.lit(" "))
+
+
 def plain_links(html: Column, url: Column) -> Column:
-    """Anchors of plain markup without Python: no base element, no entity but &amp; in addresses.
+    """Anchors of plain markup as (target, anchor) without Python, as the HTML parser finds them.
 
-    Anchor text is not read.
+    Plain markup has no base element, no entity but those of _ENTITIES, no tag inside a title or text area and
+    none that the end of the page cuts off.
+    Where the quotes of a tag swallow the rest of the page, quotes count for nothing in that rest.
     """
     # What is never closed goes on to the end, so that no part of a page is searched more than once.
     unseen = "|".join(rf"<{name}\b(?:.*?</{name}\s*>|.*)" for name in ("script", "style"))
     visible = F.regexp_replace(html, rf"(?is)<!--(?:.*?-->|.*)|{unseen}", "")
-    pattern = r"(?is)<a\s(?:[^<>]*?\s)?href\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>\"']++)"
-    hrefs = F.regexp_extract_all(visible, F.lit(pattern), 1)
-
-    bare = F.transform(
-        hrefs,
-        lambda raw: strip_blanks(F.replace(F.regexp_replace(raw, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&"))),
-    )
+    tags = F.regexp_extract_all(visible, F.lit(_TAGS), F.lit(0))
+    is_anchor, no_links = r"(?i)^<a[\s/>]", F.array().cast("array<struct<tag:string,text:string>>")
+
+    def parted(elements: Column, tag: str) -> Column:
+        """The tag and the text of those that have an end."""
+        whole = F.filter(elements, lambda e: F.rlike(e, F.lit(is_anchor)) & F.rlike(e, F.lit(f"{tag}>")))
+        head = lambda e: F.regexp_extract(e, tag, 0)
+        return F.transform(whole, lambda e: F.struct(head(e).alias("tag"), F.substr(e, F.length(head(e)) + 2).alias("text")))
+
+    last = F.try_element_at(tags, F.lit(-1))
+    rest = F.regexp_extract_all(F.when(F.rlike(last, F.lit(rf"(?is)^<[a-z]{_ATTRIBUTES}\z")), last), F.lit(_UNQUOTED), F.lit(0))
+    found = F.concat(parted(tags, f"(?is)^<a{_ATTRIBUTES}"), F.coalesce(parted(rest, "(?is)^<a[^>]*+"), no_links))
+    named = F.filter(found, lambda link: F.rlike(link["tag"], F.lit(_HREF)))
+    value = lambda link: F.regexp_replace(F.regexp_extract(link["tag"], _HREF, 1), "^[\"']|[\"']$", "")
     return F.transform(
-        bare,
-        lambda link: F.struct(resolve_url(url, link).alias("target"), F.lit(None).cast("string").alias("anchor")),
+        named,
+        lambda link: F.struct(
+            resolve_url(url, strip_blanks(_decoded(value(link)))).alias("target"), _said(link["text"]).alias("anchor")
+        ),
     )
 
 

@@ -356,7 +356,7 @@ def _daily(rows: DataFrame) -> DataFrame:
 
 @query(over_captures(WRITTEN_SQL, LOADABLE_SQL))
 def ingest_rows(spark, d):
-    kept = versions.latest_write(ingest.loadable(_daily(captures(spark, d))))
+    kept = ingest.one_per_identity(ingest.loadable(_daily(captures(spark, d))))
     return kept.select(
         "source_file", "source_offset", "url_key", "content_type", stamp("capture_ts").alias("capture_date"), "content_length"
     )
@@ -371,7 +371,9 @@ def ingest_report(spark, d):
 
 @query(over_captures(WRITTEN_SQL, LOADABLE_SQL))
 def bulk_load_rows(spark, d):
-    kept = ingest.sorted_by_key(versions.latest_write(ingest.loadable(_daily(captures(spark, d)))))
+    path = scratch(spark, "bulk")
+    ingest.bulk_load(_daily(captures(spark, d)), path)
+    kept = ingest.read_table(spark, path)
     return kept.select(
         "source_file", "source_offset", "url_key", "content_type", stamp("capture_ts").alias("capture_date"), "content_length"
     )

@@ -5,6 +5,7 @@ import itertools
 import os
 import random
 import time
+from collections import Counter
 
 import pytest
 from archive_files import arc_file, arc_record, http
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from crawlstrata.functions.keys import url_key
 from crawlstrata.operators import counts, graph, ingest, numbering, outlinks, search, text, urlids, versions
+from crawlstrata.session import stage as cut
 from crawlstrata.streaming.increment import ingest_increment
 
 T0 = dt.datetime(2004, 1, 24, 3, 43)
@@ -178,6 +180,77 @@ def test_load_modes_order_and_identity(spark, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) == 3
 
 
+def test_loads_made_at_once_keep_apart(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    real = ingest._names
+    monkeypatch.setattr(ingest, "_names", lambda spark, path: [])
+    for content in (b"one", b"two", b"three"):
+        ingest.append_load(make(spark, [("http://a.com/", 1, "t", content), (f"http://{content.decode()}.com/", 1, "t", content)]), table)
+    monkeypatch.setattr(ingest, "_names", real)
+    loads = ingest.loads_of(spark, table)
+    assert len(loads) == 3 and {n[:10] for n in loads} == {"n000000001"}
+    rows = {r.url_key: bytes(r.content) for r in ingest.read_table(spark, table).collect()}
+    last = spark.read.parquet(f"{table}/load={loads[-1]}").filter("url_key = 'com.a/'").first()
+    assert rows["com.a/"] == bytes(last.content) and len(rows) == 4
+
+
+def test_a_replaced_table_is_never_seen_half(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    ingest.ingest(make(spark, [("http://old.com/", 1, "t", b"old")]), table, "create")
+    ingest.append_load(make(spark, [("http://old.com/2", 1, "t", b"old")]), table)
+    seen = []
+    real = ingest._put
+
+    def watched(spark, path, text=""):
+        keys = lambda: sorted(r.url_key for r in ingest.read_table(spark, table).collect())
+        if ingest.FIRST in path:
+            seen.append(len(ingest._names(spark, table)))
+        real(spark, path, text)
+        if ingest.FIRST in path:
+            seen.append(keys())
+
+    monkeypatch.setattr(ingest, "_put", watched)
+    ingest.bulk_load(make(spark, [("http://new.com/", 1, "t", b"new")]), table)
+    # Once the mark is there, the old loads do not count, though they are still there.
+    assert seen[1] == ["com.new/"] and [r.url_key for r in ingest.read_table(spark, table).collect()] == ["com.new/"]
+    assert len(ingest.loads_of(spark, table)) == 1
+
+
+def test_loads_apart_are_read_without_an_exchange(spark, tmp_path):
+    table = str(tmp_path / "t")
+    days = [[(f"http://a{i}.com/", 86400 * day + i, "t", str(day).encode()) for i in range(20)] for day in range(3)]
+    for day in days:
+        ingest.append_load(make(spark, day), table)
+    read = ingest.read_table(spark, table)
+    assert read.count() == 60
+    read.collect()
+    assert "Exchange" not in read._jdf.queryExecution().executedPlan().toString()
+    # A load over the last day's times: that day and it are compared, the other days are not.
+    again = [(u, s, k, b"again") for u, s, k, _ in days[2][5:9]]
+    ingest.append_load(make(spark, [*again, ("http://a3.com/", 86400 * 2 + 7, "t", b"new")]), table)
+    rows = Counter(bytes(r.content) for r in ingest.read_table(spark, table).collect())
+    assert rows == {b"0": 20, b"1": 20, b"2": 16, b"again": 4, b"new": 1}
+    # Without its bounds a load counts as one that may meet all others.
+    for name in ingest._names(spark, table):
+        if name.startswith(ingest.BOUNDS):
+            (tmp_path / "t" / name).unlink()
+    assert Counter(bytes(r.content) for r in ingest.read_table(spark, table).collect()) == rows
+
+
+def test_captures_are_shuffled_once_when_they_are_loaded(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "FREQUENT", 50)
+    rows = [(f"http://a{i % 30}.com/", i % 7, ["t", None][i % 2], str(i).encode()) for i in range(900)] + [("http://hot.com/", 1, "t", str(i).encode()) for i in range(700)]
+    captures = cut(make(spark, rows))
+    for some in (captures, captures.filter("url_key <> 'com.hot/'")):
+        kept = ingest.one_per_identity(some)
+        want = {tuple(r) for r in versions.latest_write(some).select("url_key", "capture_ts", "content_type", "source_offset", "content").collect()}
+        assert {tuple(r) for r in kept.select("url_key", "capture_ts", "content_type", "source_offset", "content").collect()} == want
+        plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+    # What is frequent is thinned out before the shuffle.
+    assert ingest.last_of_frequent(captures).filter("url_key = 'com.hot/'").count() == 1
+
+
 def test_append_counts_last_write_and_compacts(spark, tmp_path):
     table = str(tmp_path / "t")
     ingest.ingest(make(spark, [("http://a.com/", 1, "t", b"first"), ("http://b.com/", 1, "t", b"b")]), table, "create")
@@ -232,7 +305,7 @@ def test_ids_meet_only_ranges_like_their_block(spark):
     assert asked.join(pairs, ["l", "b"]).count() < 4 * len(want)
 
 
-@pytest.mark.parametrize("junk", ["<a ", "</a", "<!--", "<script ", "<a href=", "<a b=\""])
+@pytest.mark.parametrize("junk", ["<a ", "</a", "<!--", "<script ", "<a href=", "<a b=\"", "<a x='>", "<a \"", "<b c=\"<a>", "<a href=x>", "<a =", "<p>"])
 def test_plain_links_take_time_by_length(spark, junk):
     page = spark.createDataFrame([(junk * ((1 << 20) // len(junk)), "http://a.com/")], "html string, url string")
     start = time.time()
@@ -322,6 +395,26 @@ def test_plain_links_agree_with_parser(spark):
     assert full == plain and len(full) == len(bases) * (len(HREFS) - 1)
 
 
+ODD_MARKUP = [
+    '<a title="a<b" href="/x">t</a>', "<a title='a>b' href='/x'>t<b>u</b></a>v", "<a href=/x title=\"<a href='/no'>\">one", "<A HREF = '/x' >A<br>b &amp;amp; c</A>",
+    '<img alt="<a href=/no>"><a href="/x">y</a>', "<a data-href=/no>n</a><a href>empty</a>", "<a name=n>t</a><a\nhref='/x'\n>a\n\tb</a>", "<a href='/x'>one<a href=\"/y\">two</a>",
+    "<a href='/x'><p>a</p><p>b</p></a>", "<a hrefs=1 href=2 href=3>t</a>", "<a/href=/x>t</a>", "<abbr href=/no>t</abbr>", "<a href=/x>a&lt;b&gt;&nbsp;&quot;c&#39;", "<a href='/x' <b>t</b>",
+    'x <a href="/y"> z <a x="> <a href=/p>in</a> <a href=\'/q\'>rest', "<a href=/x", "<a", "<", "", "<!DOCTYPE a><a href=/x>t</a>", "<a href=/x>unclosed <i>t", "<a =\"/no\" href=/x>t</a>",
+    "<a title=x'y href=/x>t</a>", "<a href=\"/x\"title='t'>t</a>", "</a><a href='/x'>t</div>u</a>", "<a onclick=\"if (a<b) go('c>d')\" href=/x>s</a>", "<ul><li><a href=/x>a</a></li></ul>",
+]
+
+
+def test_plain_links_and_their_texts_agree_with_the_parser_on_odd_markup(spark):
+    rnd = random.Random(8)
+    # A tag that the end of the page cuts off is text to the parser and nothing here.
+    whole = [m for m in ODD_MARKUP if m.rfind("<") <= m.rfind(">")]
+    pages = [*ODD_MARKUP, *("".join(rnd.choice(whole) for _ in range(3)) for _ in range(300))]
+    rows = spark.createDataFrame([(i, p, "http://a.com/d/") for i, p in enumerate(pages)], "i long, html string, url string")
+    both = rows.select("i", "html", graph.plain_links("html", F.col("url")).alias("plain"), graph.parsed_links("html", "url").alias("parsed")).collect()
+    for r in both:
+        assert [(x.target, x.anchor) for x in r.plain] == [(x.target, x.anchor) for x in r.parsed], r.html
+
+
 def test_site_graph_matches_brute_force(spark):
     rnd = random.Random(8)
     prefixes = [(1, "a/", 1, 200_000), (2, "a/b/", 1000, 90_000), (3, "c/", 250_000, 300_000), (4, "none/", None, None)]
