@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # The exact type of the graph's pages, the text that marks HTML for the other jobs.
@@ -15,8 +15,13 @@ def list_arc(captures: DataFrame) -> DataFrame:
     return captures.select(F.concat_ws(" ", "url", "content_type").alias("url_type"), "capture_date")
 
 
-def list_warc(captures: DataFrame) -> DataFrame:
-    """(url, date) of every record that has a URL, whatever its type."""
+def list_warc(captures: DataFrame, totals: Observation | None = None) -> DataFrame:
+    """(url, date) of every record that has a URL, whatever its type.
+
+    `totals` then has the records `read` and `listed` once the listing has been written: one pass gives both.
+    """
+    if totals is not None:
+        captures = captures.observe(totals, F.count(F.lit(1)).alias("read"), F.count("url").alias("listed"))
     return captures.filter(F.col("url").isNotNull()).select("url", "capture_date")
 
 

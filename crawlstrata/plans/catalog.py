@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from crawlstrata.functions import content as C
 from crawlstrata.functions import dates as D
 from crawlstrata.functions import keys as K
-from crawlstrata.functions.register import register_functions
+from crawlstrata.functions.register import register_functions, register_site_codes
 from crawlstrata.operators.numbering import running_totals
 from crawlstrata.operators import counts, graph, ingest, outlinks, search, text, urlids, versions
 from crawlstrata.plans.views import (
@@ -618,6 +618,24 @@ def warc_files(spark, d):
     return archives.read_warc(spark, folder).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
 
 
+@query(f"""SELECT * EXCLUDE (source_file) FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL})""")
+def warc_in_splits(spark, d):
+    """All pages in one compressed WARC file, read by as many tasks as it has splits of 64 KB."""
+    folder, pages = scratch(spark, "warc"), page_captures(spark, d)
+    write_archives(pages.select(_warc_bytes(pages).alias("record")).coalesce(1), folder, "crawl", "warc.gz")
+    return archives.read_warc(spark, folder, split_bytes=1 << 16).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
+
+
+@query(over_captures("SELECT count(*) AS read, count(url) AS listed FROM caps"))
+def list_warc_observed(spark, d):
+    """What the listing itself says of the records that it read, in the one pass that writes it."""
+    totals = Observation()
+    listed = cut_lineage(search.list_warc(capture_index(spark, d), totals))
+    return spark.createDataFrame([(totals.get["read"], totals.get["listed"], listed.count())], "read long, listed long, written long").filter(
+        "listed = written"
+    ).drop("written")
+
+
 @query(over_captures("SELECT count(*) AS read, count(url) AS listed FROM caps"))
 def list_warc_totals(spark, d):
     return search.list_warc_totals(capture_index(spark, d))
@@ -937,6 +955,15 @@ def code_by_label(spark, d):
     return outlinks.code_by_label(labels, _meta(spark, d))
 
 
+@query(f"""WITH {META_SQL}, codes AS (SELECT string_split(lower({HOST_SQL.format('url')}), '.')[-2] AS label, arg_max(code, line_no) AS code FROM meta GROUP BY 1)
+SELECT page_id, code FROM pages LEFT JOIN codes ON label = string_split(lower({HOST_SQL.format('pages.url')}), '.')[-2]""")
+def site_code_in_sql(spark, d):
+    """The code of each page's site by its label, looked up by a function inside a SQL text."""
+    register_site_codes(spark, _meta(spark, d))
+    labelled = table(spark, d, "pages").select("page_id", K.site_label("url").alias("label"))
+    return spark.sql("SELECT page_id, site_code(label) AS code FROM {labelled}", labelled=labelled)
+
+
 def _outlink_captures(spark, d) -> DataFrame:
     named = F.create_map(F.lit("content-type"), F.lit("text/html; charset=utf-8"))
     return captures(spark, d).withColumn("http_headers", named)

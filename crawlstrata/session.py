@@ -28,13 +28,19 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: `spark.checkpoint.dir`, or one in the warehouse if unset."""
+    """The shared folder for intermediate tables: `spark.checkpoint.dir`.
+
+    Where it is unset and all runs on one machine, a folder in the warehouse; on a cluster nothing says that
+    executors share one, so that is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_crawlstrata"
     sc.setCheckpointDir(configured)
     return configured

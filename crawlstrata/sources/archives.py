@@ -14,13 +14,16 @@ from crawlstrata.functions.content import parse_http
 from crawlstrata.functions.dates import capture_ts
 from crawlstrata.functions.keys import url_key
 from crawlstrata.schema import CAPTURES, RECORDS
-from crawlstrata.sources.records import read_records
+from crawlstrata.sources.records import first_member, read_records
 
 # Which files are archives.
 ARCHIVE_FILES = "*.{arc,warc,arc.gz,warc.gz}"
 # A batch handed to the JVM is closed at either size; one record may exceed the byte size alone.
 BATCH_ROWS = 2048
 BATCH_BYTES = 32 << 20
+# Bytes of a compressed archive that one task reads, and how far apart the offsets of two splits are at least.
+SPLIT_BYTES = 128 << 20
+SPLIT_SPAN = 1 << 44
 
 _ARROW = pa.schema([
     ("source_file", pa.string()),
@@ -57,6 +60,18 @@ def _batch(rows):
     return pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
 
+def _batches(rows):
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row["payload"] or b"")
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
+
+
 def _decoder(keep_limit, version: bytes):
     def rows_of(batch):
         held = batch.column("content") if "content" in batch.schema.names else None
@@ -65,21 +80,71 @@ def _decoder(keep_limit, version: bytes):
             with raw as stream:
                 yield from read_records(stream, path, keep_limit, version)
 
+    return lambda batches: _batches(row for batch in batches for row in rows_of(batch))
+
+
+def _split_decoder(keep_limit, version: bytes):
+    def rows_of(path: str, start: int, end: int, number: int):
+        system, inside = file_system(path)
+        with system.open_input_file(inside) as file:
+
+            def member_from(at: int) -> int | None:
+                file.seek(at)
+                return first_member(file, at)
+
+            first = start if start == 0 else member_from(start)
+            if first is None or first >= end and start > 0:
+                return
+            # The next split's first member, by the same search: what lies before it is read here.
+            stop = member_from(end) if end < file.size() else None
+            file.seek(first)
+            raw = io.BufferedReader(_Plain(file), 1 << 20)
+            yield from read_records(raw, path, keep_limit, version, first, stop, number * SPLIT_SPAN)
+
     def decode(batches):
-        rows, size = [], 0
-        for batch in batches:
-            for row in rows_of(batch):
-                rows.append(row)
-                size += len(row["payload"] or b"")
-                if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
-                    yield _batch(rows)
-                    rows, size = [], 0
-        if rows:
-            yield _batch(rows)
+        yield from _batches(row for batch in batches for split in zip(*(c.to_pylist() for c in batch.columns)) for row in rows_of(*split))
 
     return decode
 
 
+class _Plain(io.RawIOBase):
+    """An Arrow file as Python's buffers want it; it stays open when they close."""
+
+    def __init__(self, file):
+        self.file = file
+
+    def readable(self):
+        return True
+
+    def readinto(self, into) -> int:
+        data = self.file.read(len(into))
+        into[: len(data)] = data
+        return len(data)
+
+
+def archive_splits(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(path, start, end, number) of the parts that `decode_splits` reads.
+
+    Compressed archives are cut every `split_bytes` bytes, others are one split: nothing in them tells where a
+    record begins.
+    """
+    size = F.when(F.col("path").endswith(".gz"), F.lit(split_bytes)).otherwise(F.greatest("length", F.lit(1)))
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), size.cast("long"))
+    cut = files.select("path", "length", size.alias("_size"), F.posexplode(starts).alias("number", "start"))
+    end = F.least(F.col("start") + F.col("_size"), F.greatest("length", F.lit(1)))
+    return cut.select("path", "start", end.cast("long").alias("end"), F.col("number").cast("long").alias("number"))
+
+
+def decode_splits(splits: DataFrame, max_bytes: int | None = None, version: str = "WARC/") -> DataFrame:
+    """Records of the archives' `splits`, each once: a split has the members that begin in it.
+
+    Where a member begins is found from the split's own first byte on, so no split waits for another. A file that
+    is one member, or whose records do not begin with members, is read by its first split. `source_offset` is the
+    decoded offset in the split, from number * SPLIT_SPAN on: unique and in the order of the file.
+    """
+    return splits.mapInArrow(_split_decoder(max_bytes, version.encode()), RECORDS)
+
+
 def decode_files(files: DataFrame, max_bytes: int | None = None, version: str = "WARC/") -> DataFrame:
     """Records of the archives in `files`.
 
@@ -105,14 +170,26 @@ def archive_files(spark: SparkSession, path: str, with_bytes: bool = False) -> D
 
 
 def read_records_of(
-    spark: SparkSession, path: str, max_bytes: int | None = None, version: str = "WARC/", with_bytes: bool = False
+    spark: SparkSession,
+    path: str,
+    max_bytes: int | None = None,
+    version: str = "WARC/",
+    with_bytes: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Raw records of every archive below a folder.
 
     `with_bytes` lets Spark's own file systems read whole files (below 2 GiB each) instead of Arrow's
-    streaming them, for clusters where Arrow has no client for the storage.
+    streaming them, for clusters where Arrow has no client for the storage. With `split_bytes`, a compressed
+    archive is read by as many tasks as it has splits of that size.
     """
-    return decode_files(archive_files(spark, path, with_bytes), max_bytes, version)
+    if split_bytes is None:
+        return decode_files(archive_files(spark, path, with_bytes), max_bytes, version)
+    if with_bytes:
+        raise ValueError("splits are read from the storage, not from bytes at hand")
+    splits = archive_splits(archive_files(spark, path), split_bytes)
+    size = splits.agg(F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0))).first()[0]
+    return decode_splits(splits.repartition(max(1, -(-size // split_bytes))), max_bytes, version)
 
 
 def to_captures(records: DataFrame) -> DataFrame:
@@ -144,19 +221,19 @@ def to_captures(records: DataFrame) -> DataFrame:
     ).select(*CAPTURES.names)
 
 
-def read_archives(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, max_bytes: int | None = None, split_bytes: int | None = None) -> DataFrame:
     """Captures of every ARC and WARC file below a folder, told apart by content."""
-    return to_captures(read_records_of(spark, path, max_bytes))
+    return to_captures(read_records_of(spark, path, max_bytes, split_bytes=split_bytes))
 
 
-def read_arc(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+def read_arc(spark: SparkSession, path: str, max_bytes: int | None = None, split_bytes: int | None = None) -> DataFrame:
     """Captures of the ARC files below a folder."""
-    return to_captures(read_records_of(spark, path, max_bytes).filter(F.col("format") == "arc"))
+    return to_captures(read_records_of(spark, path, max_bytes, split_bytes=split_bytes).filter(F.col("format") == "arc"))
 
 
-def read_warc(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, max_bytes: int | None = None, split_bytes: int | None = None) -> DataFrame:
     """Captures of the WARC files below a folder, every record type."""
-    return to_captures(read_records_of(spark, path, max_bytes).filter(F.col("format") == "warc"))
+    return to_captures(read_records_of(spark, path, max_bytes, split_bytes=split_bytes).filter(F.col("format") == "warc"))
 
 
 def read_clueweb(spark: SparkSession, path: str, max_bytes: int | None = None, version: str = "WARC/0.18") -> DataFrame:

@@ -24,11 +24,15 @@ class Damaged(OSError):
 
 
 class Members(io.RawIOBase):
-    """The decoded bytes of a file of gzip members, which can go on behind a damaged one."""
+    """The decoded bytes of a file of gzip members, which can go on behind a damaged one.
 
-    def __init__(self, raw):
+    `raw` stands at byte `at` of the file; members that begin at byte `stop` or later are not read.
+    """
+
+    def __init__(self, raw, at: int = 0, stop: int | None = None):
         self.raw, self.held = raw, b""
         self.decoder, self.used = None, b""
+        self.at, self.stop = at, stop
 
     def readable(self):
         return True
@@ -36,6 +40,7 @@ class Members(io.RawIOBase):
     def _more(self) -> bool:
         more = self.raw.read(STEP)
         self.held += more
+        self.at += len(more)
         return bool(more)
 
     def readinto(self, into) -> int:
@@ -43,7 +48,7 @@ class Members(io.RawIOBase):
             if self.decoder is None:
                 if len(self.held) < 2 and self._more():
                     continue
-                if not self.held.strip(b"\0"):
+                if not self.held.strip(b"\0") or (self.stop is not None and self.at - len(self.held) >= self.stop):
                     return 0
                 self.decoder, self.used = zlib.decompressobj(31), b""
             if not self.held and not self._more():
@@ -77,9 +82,9 @@ class Members(io.RawIOBase):
 class Counted:
     """A readable stream that knows how many decoded bytes were taken from it."""
 
-    def __init__(self, raw):
+    def __init__(self, raw, at: int = 0, stop: int | None = None):
         head = raw.peek(2)[:2]
-        self.members = Members(raw) if head == GZIP_MAGIC else None
+        self.members = Members(raw, at, stop) if head == GZIP_MAGIC else None
         self.stream = io.BufferedReader(self.members) if self.members else raw
         self.taken = 0
 
@@ -151,7 +156,7 @@ def _payload_error(length: int, found: int) -> str | None:
 
 def _arc(stream: Counted, source_file: str, first: bytes, keep_limit):
     """ARC records; a bad header line gives one error row, then the next good header is sought."""
-    line, offset, lost = first, 0, False
+    line, offset, lost = first, stream.taken - len(first), False
     while line:
         header = _arc_header(line)
         if header is None:
@@ -194,7 +199,7 @@ def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version:
 
     A record of another version is read too, and marked. What lies between records is one error row.
     """
-    line, offset, lost = first, 0, False
+    line, offset, lost = first, stream.taken - len(first), False
     while line:
         if line.startswith(WARC_MAGIC):
             other, lost = not line.startswith(version), False
@@ -238,29 +243,104 @@ def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version:
         line = stream.line()
 
 
-def read_records(raw, source_file: str, keep_limit=None, version: bytes = WARC_MAGIC):
+def _kind_of(first: bytes, inside: bool) -> str | None:
+    """The format that a file, or a member `inside` one, begins with."""
+    if first.startswith(WARC_MAGIC):
+        return "warc"
+    return "arc" if first.startswith(ARC_MAGIC) or (inside and _arc_header(first)) else None
+
+
+def read_records(raw, source_file: str, keep_limit=None, version: bytes = WARC_MAGIC, at: int = 0, stop: int | None = None, first_offset: int = 0):
     """Rows of one archive file, its format told by its first bytes.
 
     A gzip member that cannot be decoded gives an error row, and reading goes on with the next member; any
-    other failure to read ends the file with an error row.
+    other failure to read ends the file with an error row. Of a split, `raw` stands at a member that begins at byte
+    `at`, `stop` is where the members of the next one begin, and offsets count from `first_offset`.
     """
     stream, kind = None, None
     try:
-        stream = Counted(raw if hasattr(raw, "peek") else io.BufferedReader(raw))
+        stream = Counted(raw if hasattr(raw, "peek") else io.BufferedReader(raw), at, stop)
+        stream.taken = first_offset
         while True:
             try:
                 first = stream.line()
-                kind = kind or ("arc" if first.startswith(ARC_MAGIC) else "warc" if first.startswith(WARC_MAGIC) else None)
+                kind = kind or _kind_of(first, at > 0)
                 if kind == "arc":
                     yield from _arc(stream, source_file, first, keep_limit)
                 elif kind == "warc":
                     yield from _warc(stream, source_file, first, keep_limit, version)
                 elif first:
-                    yield _row(source_file, 0, None, error="unknown format")
+                    yield _row(source_file, first_offset, None, error="unknown format")
                 return
             except Damaged as problem:
                 yield _row(source_file, stream.taken, kind, error=f"unreadable: {problem}")
                 if not stream.skip():
                     return
     except (OSError, EOFError, zlib.error) as problem:
-        yield _row(source_file, stream.taken if stream else 0, None, error=f"unreadable: {type(problem).__name__}")
+        yield _row(source_file, stream.taken if stream else first_offset, None, error=f"unreadable: {type(problem).__name__}")
+
+
+# A gzip file inside a payload may stand in the archive byte by byte, but not for longer than a stored block of deflate,
+# as the next block begins with five bytes of its own. What can be decoded for longer is a member of the archive.
+TELLING = 2 << 16
+
+
+def _follows(held: bytes, at: int, ended: bool) -> bool | None:
+    """Whether members with records can be decoded from `at` on for TELLING bytes, or to the end of the file.
+
+    None: more bytes are needed to tell.
+    """
+    first = at
+    while at - first <= TELLING:
+        if held[at : at + 1] in (b"", b"\0") and not held[at:].strip(b"\0"):
+            return at > first if ended else None
+        decoder, head, step = zlib.decompressobj(31), b"", at
+        while not decoder.eof:
+            if step - first > TELLING and head:
+                return True
+            part = held[step : step + (1 << 14)]
+            if not part:
+                return False if ended else None
+            step += len(part)
+            try:
+                while part and not decoder.eof:
+                    data = decoder.decompress(part, 1 << 16)
+                    if data and not head:
+                        head = data[: 1 << 12]
+                        if _kind_of(head.split(b"\n", 1)[0], True) is None:
+                            return False
+                    part = decoder.unconsumed_tail
+            except zlib.error:
+                return False
+        if not head:
+            return False
+        at = step - len(decoder.unused_data)
+    return True
+
+
+def first_member(raw, at: int) -> int | None:
+    """Where the first member that begins at byte `at` or later begins, where `raw` stands at `at`; None if there is none.
+
+    A member of the archive itself is told from bytes that only look like one by the members that follow it.
+    Only the bytes that tell are held.
+    """
+    held, base, ended, seen = b"", at, False, 0
+    while True:
+        found = held.find(MEMBER, seen)
+        if found < 0:
+            keep = max(0, len(held) - len(MEMBER) + 1)
+            held, base, seen = held[keep:], base + keep, 0
+            told: bool | None = None
+        else:
+            told = _follows(held, found, ended)
+            if told:
+                return base + found
+        if told is False:
+            seen = found + 1
+        elif ended:
+            return None
+        else:
+            if found > 0:
+                held, base, seen = held[found:], base + found, 0
+            more = raw.read(STEP)
+            held, ended = held + more, not more

@@ -201,3 +201,74 @@ def test_limit_is_that_of_the_body():
     got = list(read_records(io.BufferedReader(io.BytesIO(arc_file(records))), "x", 1000))
     assert [r["payload"] is not None for r in got[1:]] == [True, False]
     assert [r["payload_length"] for r in got[1:]] == [len(body), len(body) + 1]
+
+
+# Splits of one archive
+
+
+def split_archive(seed, kind):
+    """An archive of small, large, empty and nested records, and the payloads in it."""
+    import random
+
+    rnd = random.Random(seed)
+    noise = lambda n: rnd.randbytes(n)
+    nested = members([warc_record("response", [*WARC_FIELDS], noise(rnd.randrange(10, 3000))) for _ in range(30)])
+    arcs = arc_file([arc_record(f"http://n{i}.com/", DATE, "text/html", noise(500)) for i in range(20)])
+    bodies = [nested, arcs, nested + noise(70_000), noise(300_000), b"", b"\x1f\x8b\x08\x00" * 500, b"a" * 2_000_000]
+    bodies += [noise(rnd.randrange(0, 5000)) for _ in range(120)] + [nested, arcs]
+    rnd.shuffle(bodies)
+    if kind == "arc":
+        return arc_file([arc_record(f"http://a.com/{i}", DATE, "application/gzip", b) for i, b in enumerate(bodies)]), bodies
+    return members([warc_record("response", [("WARC-Target-URI", f"http://a.com/{i}")], b) for i, b in enumerate(bodies)]), bodies
+
+
+@pytest.mark.parametrize("kind", ["arc", "warc"])
+@pytest.mark.parametrize("split_bytes", [100_000, 400_000, 1 << 30])
+def test_an_archive_in_splits_gives_each_record_once(spark, tmp_path, kind, split_bytes):
+    data, bodies = split_archive(1, kind)
+    (tmp_path / f"one.{kind}.gz").write_bytes(data + b"\0" * 7)
+    records = archives.read_records_of(spark, str(tmp_path), split_bytes=split_bytes)
+    found = sorted((r for r in records.collect() if r.record_type == "response"), key=lambda r: r.source_offset)
+    assert [r.url for r in found] == [f"http://a.com/{i}" for i in range(len(bodies))]
+    assert [bytes(r.payload) for r in found] == bodies and not any(r.error for r in found)
+    assert len({r.source_offset for r in found}) == len(bodies)
+    assert records.rdd.getNumPartitions() == -(-len(data + b"\0" * 7) // split_bytes) and (split_bytes > 100_000 or len(data) > 400_000)
+
+
+@pytest.mark.parametrize("kind", ["arc", "warc"])
+def test_members_are_found_from_any_byte(kind):
+    import random
+    import zlib
+
+    from crawlstrata.sources.records import first_member
+
+    data, _ = split_archive(3, kind)
+    starts, at = [], 0
+    while at < len(data):
+        starts.append(at)
+        decoder = zlib.decompressobj(31)
+        decoder.decompress(data[at:])
+        at = len(data) - len(decoder.unused_data)
+    some = random.Random(4)
+    for begin in [0, 1, len(data) - 5, *starts[1::9], *(s + 1 for s in starts[1::9]), *(some.randrange(len(data)) for _ in range(60))]:
+        assert first_member(io.BytesIO(data[begin:]), begin) == next((s for s in starts if s >= begin), None)
+
+
+def test_splits_of_damaged_and_odd_files(spark, tmp_path):
+    import gzip
+
+    data, bodies = split_archive(2, "warc")
+    hurt = bytearray(data)
+    at = data.index(members([warc_record("response", [("WARC-Target-URI", "http://a.com/60")], bodies[60])]))
+    hurt[at + 40 : at + 44] = b"\xff\xff\xff\xff"
+    (tmp_path / "hurt.warc.gz").write_bytes(bytes(hurt))
+    plain = b"".join(warc_record("response", [("WARC-Target-URI", f"http://p.com/{i}")], b"x" * 900) for i in range(300))
+    (tmp_path / "plain.warc").write_bytes(plain)
+    (tmp_path / "member.warc.gz").write_bytes(gzip.compress(plain.replace(b"http://p", b"http://m"), 1))
+    (tmp_path / "empty.warc.gz").write_bytes(b"")
+    whole = {r.url for r in archives.read_records_of(spark, str(tmp_path)).collect() if r.error is None}
+    for split_bytes in (60_000, 250_000):
+        records = archives.read_records_of(spark, str(tmp_path), split_bytes=split_bytes).collect()
+        urls = [r.url for r in records if r.error is None]
+        assert len(urls) == len(set(urls)) and set(urls) >= whole - {"http://a.com/60"}
+        assert any("hurt" in r.source_file and r.error for r in records)
