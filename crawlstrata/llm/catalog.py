@@ -61,12 +61,10 @@ def op8_exact_dedup(spark, d):
     return exactdedup.exact_copies(table(spark, d, "documents"))
 
 
-# The rules of the contract, and a list of unwanted hosts as canonical URLs.
+# The rules of the contract, and unwanted hosts, each name under each top domain and with any path.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-UNWANTED_HOSTS = [
-    "adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net",
-    "free-bets.example.net", "spam-farm.example.org",
-]
+UNWANTED_NAMES = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+UNWANTED_HOSTS = [f"{name}.example.{top}" for name in UNWANTED_NAMES for top in ("com", "net", "org")]
 
 
 def _fits(host: str, path: str) -> str:
@@ -83,11 +81,11 @@ ruled AS (
   FROM parts)
 SELECT page_id, host, path, rule,
        CASE {' '.join(f"WHEN rule = '{h}{p}' THEN '{v}'" for h, p, v in URL_RULES)}
-            WHEN {' OR '.join(_fits(h, '/') for h in UNWANTED_HOSTS)} THEN 'block' ELSE 'allow' END AS verdict
+            WHEN {' OR '.join(_fits(h, '') for h in UNWANTED_HOSTS)} THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled""")
 def op3_url_filter(spark, d):
     """The rules and the list of unwanted hosts over all pages."""
-    entries = [(h, p, v, True) for h, p, v in URL_RULES] + [(h, "/", "block", False) for h in UNWANTED_HOSTS]
+    entries = [(h, p, v, True) for h, p, v in URL_RULES] + [(h, "", "block", False) for h in UNWANTED_HOSTS]
     listed = spark.createDataFrame(entries, "host string, path string, verdict string, rule boolean")
     return urlfilter.judge_urls(table(spark, d, "pages"), listed).drop("entry")
 

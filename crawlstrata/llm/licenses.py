@@ -34,11 +34,25 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
      "the following conditions are met"),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2"),
+    ("lgpl", "This work is licensed under the GNU Lesser General Public License"),
+    ("agpl-3", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
      "Public License as published by the Free Software Foundation"),
+    ("lgpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+     "General Public License as published by the Free Software Foundation"),
+    ("agpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+     "General Public License as published by the Free Software Foundation"),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
 ]
 # Bytes that belong to tokens, in lower case; all others are spaces.
 TOKEN_BYTES = bytes(
@@ -163,28 +177,56 @@ def statistics(automaton: Automaton, words: list[bytes], sizes: list[int], min_m
 
 
 def chain(matches: list[Match], sizes: list[int], max_gap: int) -> list[tuple[int, int, int, float]]:
-    """Spans (text, first word, end word, share of the text covered), the best chain of each template first.
+    """Spans (text, first word, end word, share of the text covered) of disjoint chains, the best chain first.
 
-    Matches follow one another in a chain when both their words and their places in the template rise and
-    at most `max_gap` words of the document lie between them; a chain is closed by the next larger gap or
-    by a match that leads back in the template, so its length is bounded by the template's.
+    Matches follow one another in a chain when both their words and their places in the template rise and at
+    most `max_gap` words of the document lie between them. For each match, in the order of their ends, the best
+    chain that ends with it is found among the matches close before it; then chains are taken from the best on,
+    without those that share a match with a better one. Two copies that interleave are two chains.
     """
     spans, by_text = [], {}
     for m in matches:
         by_text.setdefault(m.text, []).append(m)
     for text, found in by_text.items():
-        first, last, place, covered = -1, -1, -1, 0
-        for m in sorted(found, key=lambda m: (m.end, m.place)):
-            start = m.end - m.size + 1
-            if first >= 0 and start - last <= max_gap and m.place > place and m.end > last:
-                covered += min(m.size, m.place - place, m.end - last)
-                last, place = m.end, m.place
-                continue
-            if first >= 0:
-                spans.append((text, first, last + 1, covered / sizes[text]))
-            first, last, place, covered = start, m.end, m.place, m.size
-        spans.append((text, first, last + 1, covered / sizes[text]))
-    return sorted(spans, key=lambda s: (-s[3], s[0], s[1]))
+        found.sort(key=lambda m: (m.end, m.place))
+        covered, before = [m.size for m in found], [-1] * len(found)
+        for i, m in enumerate(found):
+            nearest = m.end - m.size + 1 - max_gap
+            for j in range(i - 1, -1, -1):
+                k = found[j]
+                if k.end < nearest:
+                    break
+                if k.end < m.end and k.place < m.place:
+                    sum_of = covered[j] + min(m.size, m.place - k.place, m.end - k.end)
+                    # Of equal ones the earliest, which leaves the later ones to the other copy.
+                    if sum_of > covered[i] or (sum_of == covered[i] and before[i] >= 0):
+                        covered[i], before[i] = sum_of, j
+        used = [False] * len(found)
+        for i in sorted(range(len(found)), key=lambda i: (-covered[i], found[i].end)):
+            path, at = [], i
+            while at >= 0 and not used[at]:
+                path.append(at)
+                at = before[at]
+            if at < 0:
+                for at in path:
+                    used[at] = True
+                first = found[path[-1]]
+                spans.append((text, first.end - first.size + 1, found[i].end + 1, min(1.0, covered[i] / sizes[text])))
+    return sorted(spans, key=lambda s: (-s[3], -sizes[s[0]], s[1], s[0]))
+
+
+def best_spans(spans: list[tuple[int, int, int, float]], min_cover: float) -> list[tuple[int, int, int, float]]:
+    """Of spans that lie over one another by more than half, in the order of `chain`, the first only.
+
+    Licences that differ in a word or a number cover each other's notices nearly whole; what a notice says whole,
+    and at greatest length, is what it is.
+    """
+    out: list[tuple[int, int, int, float]] = []
+    for span in spans:
+        _, a, b, cover = span
+        if cover >= min_cover and all(2 * (min(b, d) - max(a, c)) <= min(b - a, d - c) for _, c, d, _ in out):
+            out.append(span)
+    return out
 
 
 def scan(
@@ -202,8 +244,8 @@ def scan(
 
     `n_base` counts all places, overlapping ones too, where a phrase's words stand one after another;
     `first_word` and `last_word` are the smallest and largest start, null without a place. `labels` adds
-    those of templates of which a chain of matches of `min_match` tokens or more covers `min_cover`; `spans` has these
-    chains. `score` is 1 with a base place, else the largest cover of any chain, else 0. A null or empty
+    those of templates of which a chain of matches of `min_match` tokens or more covers `min_cover`, the best of those
+    over the same words; `spans` has these chains. `score` is 1 with a base place, else the largest cover of any chain, else 0. A null or empty
     text has no words. Every row is scanned whole and alone, in one pass without a shuffle: repeated rows
     and null ids are scanned like others, an empty table gives no rows, other columns are not read.
     The automaton is made from the given phrases and templates and travels with the tasks.
@@ -221,7 +263,7 @@ def scan(
         places, matches = statistics(automaton, words, sizes, min_match)
         chains = chain([m for m in matches if m.text >= len(phrases)], sizes, max_gap)
         base = {labels[p] for p, _ in places}
-        spans = [{"label": labels[t], "first": a, "end": b, "cover": c} for t, a, b, c in chains if c >= min_cover]
+        spans = [{"label": labels[t], "first": a, "end": b, "cover": c} for t, a, b, c in best_spans(chains, min_cover)]
         starts = [s for _, s in places]
         return (
             len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
