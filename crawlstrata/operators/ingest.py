@@ -27,6 +27,10 @@ MAX_CONTENT_BYTES = 1024 * 1024
 DEFAULT_TYPE = "text/plain"
 LOADED_RECORD_TYPE = "response"
 
+# The Parquet writer's names for a filter of a column's values in each row group, sized by what is there.
+FILTERED = {"parquet.bloom.filter.enabled#url": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+GROUP_SIZE = "parquet.block.size"
+
 # An identity with more captures than this in one load is thinned out before it is shuffled.
 FREQUENT = 1000
 # Files beside the loads, and characters of a key that a bound keeps.
@@ -129,10 +133,13 @@ def one_per_identity(captures: DataFrame, partitions: int | None = None) -> Data
     return ranged.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
 
-def _write_load(captures: DataFrame, path: str, partitions: int | None = None, tag: str | None = None) -> str:
+def _write_load(
+    captures: DataFrame, path: str, partitions: int | None = None, tag: str | None = None, group_bytes: int | None = None
+) -> str:
     """Write loadable captures as the next load. A load with the same `tag` is written again in its place.
 
-    The bounds are taken as the rows are written. Until they are there, the load counts as unbounded.
+    The bounds are taken as the rows are written. Until they are there, the load counts as unbounded. Keys are in
+    order, so their row groups are told by first and last key; of URLs each row group has a filter.
     """
     spark = captures.sparkSession
     names = [n.removeprefix("load=") for n in _names(spark, path) if n.startswith("load=")]
@@ -146,7 +153,8 @@ def _write_load(captures: DataFrame, path: str, partitions: int | None = None, t
     millis = F.unix_millis("capture_ts")
     ends = [F.min("url_key").alias("k0"), F.max("url_key").alias("k1"), F.min(millis).alias("t0"), F.max(millis).alias("t1")]
     rows = one_per_identity(stage(captures), partitions).observe(seen, *ends)
-    rows.write.mode("overwrite" if again else "errorifexists").parquet(f"{path}/load={name}")
+    sized = {} if group_bytes is None else {GROUP_SIZE: str(group_bytes)}
+    rows.write.options(**FILTERED, **sized).mode("overwrite" if again else "errorifexists").parquet(f"{path}/load={name}")
     low, high = seen.get["k0"], seen.get["k1"]
     if low is not None:
         cut = high if len(high) <= BOUND_CHARS else high[:BOUND_CHARS] + "\U0010ffff"
@@ -154,10 +162,10 @@ def _write_load(captures: DataFrame, path: str, partitions: int | None = None, t
     return name
 
 
-def _replace(captures: DataFrame, path: str, partitions: int | None = None) -> None:
+def _replace(captures: DataFrame, path: str, partitions: int | None = None, group_bytes: int | None = None) -> None:
     """Write a load and let it be the first that counts, in one step; then delete what is older."""
     spark = captures.sparkSession
-    first = _write_load(captures, path, partitions)
+    first = _write_load(captures, path, partitions, group_bytes=group_bytes)
     _put(spark, f"{path}/{FIRST}{first}")
     files, folder = _folder(spark, path)
     for status in files.listStatus(folder):
@@ -166,9 +174,14 @@ def _replace(captures: DataFrame, path: str, partitions: int | None = None) -> N
             files.delete(status.getPath(), True)
 
 
-def bulk_load(captures: DataFrame, path: str, partitions: int | None = None, max_bytes: int | None = None) -> None:
-    """Write loadable captures, one per identity, as Parquet in `partitions` ranges of keys; replaces the table."""
-    _replace(loadable(captures, max_bytes), path, partitions)
+def bulk_load(
+    captures: DataFrame, path: str, partitions: int | None = None, max_bytes: int | None = None, group_bytes: int | None = None
+) -> None:
+    """Write loadable captures, one per identity, as Parquet in `partitions` ranges of keys; replaces the table.
+
+    Row groups of about `group_bytes` (the writer's own size if None) are what a look-up of one URL reads.
+    """
+    _replace(loadable(captures, max_bytes), path, partitions, group_bytes)
 
 
 def append_load(captures: DataFrame, path: str, max_bytes: int | None = None, tag: str | None = None) -> None:

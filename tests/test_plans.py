@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from crawlstrata.operators import patterns, planes, text, urlids, versions
+from crawlstrata.functions.keys import url_key
+from crawlstrata.operators import ingest, patterns, planes, search, text, urlids, versions
 from crawlstrata.operators.numbering import running_totals
 
 
@@ -139,3 +140,33 @@ def test_running_totals_add_one_exchange(spark, n):
         before += weights[r.key]
     # The rows are written in their ranges; only the ranges' sums are exchanged after that.
     assert executed(placed).count("Exchange hashpartitioning(_range") <= 2 and "SortMergeJoin" not in executed(placed)
+
+
+def rows_scanned(df):
+    """Rows that the scan of the executed plan gave on."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plan = leaves.apply(0)
+    while "QueryStage" in plan.getClass().getSimpleName() or "Adaptive" in plan.getClass().getSimpleName():
+        plan = (plan.executedPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan.plan()).collectLeaves().apply(0)
+    return plan.metrics().get("numOutputRows").get().value()
+
+
+def test_a_look_up_of_one_url_reads_few_row_groups(spark, tmp_path):
+    rnd = random.Random(10)
+    # URLs in another order than their keys, so that first and last URL of a row group tell nothing.
+    rows = [(f"http://h{rnd.randrange(10**6):06d}.com/{i}", bytearray(rnd.randbytes(300)), i) for i in range(20_000)]
+    captures = spark.createDataFrame(rows, "url string, content binary, source_offset long").select(
+        "*", url_key("url").alias("url_key"), F.lit("f").alias("source_file"), F.lit("t").alias("content_type"), F.lit("response").alias("record_type"),
+        F.lit("20040124").alias("capture_date"), F.timestamp_seconds(F.lit(0)).alias("capture_ts"), F.lit(300).cast("long").alias("content_length"),
+    )
+    table = str(tmp_path / "t")
+    ingest.bulk_load(captures, table, partitions=2, group_bytes=100_000)
+    read = ingest.read_table(spark, table)
+    assert read.count() == len(rows)
+    wanted = rows[777]
+    by_url = search.find_url(read, wanted[0])
+    by_key = read.filter(F.col("url_key") == url_key(F.lit(wanted[0])))
+    assert by_url.count() == 1 and by_key.count() == 1
+    assert rows_scanned(by_url) < 2000 and rows_scanned(by_key) < 2000
+    assert rows_scanned(search.find_url(read, "http://h0.com/none")) < 1000
