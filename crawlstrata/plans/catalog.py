@@ -26,7 +26,7 @@ from crawlstrata.plans.views import (
 )
 from crawlstrata.plans.written import ARC_HEAD, write_archives
 from crawlstrata.session import cut_lineage, scratch
-from crawlstrata.sources import archives, sinks, textfiles
+from crawlstrata.sources import archives, datasource, sinks, textfiles
 from crawlstrata.streaming.increment import ingest_increment as load_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,6 +626,34 @@ def warc_in_splits(spark, d):
     return archives.read_warc(spark, folder, split_bytes=1 << 16).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
 
 
+def _web_archive(spark, d, files: int | None = None):
+    """The pages as compressed WARC files, ready to be read by format."""
+    folder, pages = scratch(spark, "warc"), page_captures(spark, d)
+    records = pages.select(_warc_bytes(pages).alias("record"))
+    write_archives(records.coalesce(files) if files else records, folder, "crawl", "warc.gz")
+    return datasource.register(spark).read.format(datasource.FORMAT).option("path", folder)
+
+
+@query(f"""SELECT * EXCLUDE (source_file) FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL})""")
+def webarchive_captures(spark, d):
+    """All pages in one compressed WARC file, read through the data source in splits of 64 KB."""
+    read = archives.to_captures(_web_archive(spark, d, 1).option("splitBytes", 1 << 16).load())
+    return read.select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
+
+
+@query(f"""SELECT url, capture_date FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL})""")
+def webarchive_listing(spark, d):
+    """The listing through the data source, which holds and sends no payload for it."""
+    return search.list_warc(_web_archive(spark, d).schema("url string, capture_date string").load())
+
+
+@query(f"""SELECT url, content_length FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL}) WHERE record_type = 'response' AND starts_with(url, 'https:')""")
+def webarchive_filtered(spark, d):
+    """Filters taken over by the data source: the payloads of other records are passed over."""
+    wanted = _web_archive(spark, d).load().filter((F.col("record_type") == "response") & F.col("url").startswith("https:"))
+    return archives.to_captures(wanted).select("url", "content_length")
+
+
 @query(over_captures("SELECT count(*) AS read, count(url) AS listed FROM caps"))
 def list_warc_observed(spark, d):
     """What the listing itself says of the records that it read, in the one pass that writes it."""

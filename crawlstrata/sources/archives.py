@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyarrow import fs
@@ -25,7 +24,7 @@ BATCH_BYTES = 32 << 20
 SPLIT_BYTES = 128 << 20
 SPLIT_SPAN = 1 << 44
 
-_ARROW = pa.schema([
+ARROW_RECORDS = pa.schema([
     ("source_file", pa.string()),
     ("source_offset", pa.int64()),
     ("format", pa.string()),
@@ -42,9 +41,12 @@ _ARROW = pa.schema([
 
 
 def file_system(path: str):
-    """The Arrow file system of a path or URI (local, HDFS, S3, GCS) and the path inside it."""
+    """The Arrow file system of a path or URI (local, HDFS, S3, GCS) and the path inside it.
+
+    Local paths are taken as Spark writes them: nothing in them is escaped.
+    """
     if path.startswith("file:") or "://" not in path:
-        return fs.LocalFileSystem(), unquote(urlparse(path).path) if path.startswith("file:") else path
+        return fs.LocalFileSystem(), path.removeprefix("file:").replace("///", "/", 1) if path.startswith("file:") else path
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
 
 
@@ -57,10 +59,11 @@ def _batch(rows):
     for row in rows:
         if row["headers"] is not None:
             row["headers"] = list(row["headers"].items())
-    return pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+    return pa.RecordBatch.from_pylist(rows, schema=ARROW_RECORDS)
 
 
-def _batches(rows):
+def batches_of(rows):
+    """The rows as Arrow batches, none of them over the sizes by more than one record."""
     held, size = [], 0
     for row in rows:
         held.append(row)
@@ -72,37 +75,44 @@ def _batches(rows):
         yield _batch(held)
 
 
+def rows_of_file(path: str, keep_limit, version: bytes, wants=None, data: bytes | None = None):
+    """Rows of one archive, streamed from its storage or read from the `data` at hand."""
+    with _open(path) if data is None else io.BufferedReader(io.BytesIO(data)) as stream:
+        yield from read_records(stream, path, keep_limit, version, wants=wants)
+
+
+def rows_of_split(path: str, start: int, end: int, number: int, keep_limit, version: bytes, wants=None):
+    """Rows of the members that begin in one split of an archive."""
+    system, inside = file_system(path)
+    with system.open_input_file(inside) as file:
+
+        def member_from(at: int) -> int | None:
+            file.seek(at)
+            return first_member(file, at)
+
+        first = start if start == 0 else member_from(start)
+        if first is None or first >= end and start > 0:
+            return
+        # The next split's first member, by the same search: what lies before it is read here.
+        stop = member_from(end) if end < file.size() else None
+        file.seek(first)
+        raw = io.BufferedReader(_Plain(file), 1 << 20)
+        yield from read_records(raw, path, keep_limit, version, first, stop, number * SPLIT_SPAN, wants)
+
+
 def _decoder(keep_limit, version: bytes):
     def rows_of(batch):
         held = batch.column("content") if "content" in batch.schema.names else None
         for i, path in enumerate(batch.column("path").to_pylist()):
-            raw = _open(path) if held is None else io.BufferedReader(io.BytesIO(held[i].as_py()))
-            with raw as stream:
-                yield from read_records(stream, path, keep_limit, version)
+            yield from rows_of_file(path, keep_limit, version, data=None if held is None else held[i].as_py())
 
-    return lambda batches: _batches(row for batch in batches for row in rows_of(batch))
+    return lambda batches: batches_of(row for batch in batches for row in rows_of(batch))
 
 
 def _split_decoder(keep_limit, version: bytes):
-    def rows_of(path: str, start: int, end: int, number: int):
-        system, inside = file_system(path)
-        with system.open_input_file(inside) as file:
-
-            def member_from(at: int) -> int | None:
-                file.seek(at)
-                return first_member(file, at)
-
-            first = start if start == 0 else member_from(start)
-            if first is None or first >= end and start > 0:
-                return
-            # The next split's first member, by the same search: what lies before it is read here.
-            stop = member_from(end) if end < file.size() else None
-            file.seek(first)
-            raw = io.BufferedReader(_Plain(file), 1 << 20)
-            yield from read_records(raw, path, keep_limit, version, first, stop, number * SPLIT_SPAN)
-
     def decode(batches):
-        yield from _batches(row for batch in batches for split in zip(*(c.to_pylist() for c in batch.columns)) for row in rows_of(*split))
+        splits = (split for batch in batches for split in zip(*(c.to_pylist() for c in batch.columns)))
+        yield from batches_of(row for split in splits for row in rows_of_split(*split, keep_limit, version))
 
     return decode
 

@@ -104,9 +104,11 @@ class Counted:
     def block(self, length: int, limit: int | None):
         """The next `length` bytes (None if what they hold is over the limit) and how many there were.
 
-        The limit is that of the body: the head of an HTTP message does not count.
+        The limit is that of the body: the head of an HTTP message does not count. Below 0 nothing is kept.
         """
         limit = LARGEST if limit is None else min(limit, LARGEST)
+        if limit < 0:
+            return None, self._pass(length, 0)
         head = self.stream.read(min(length, limit if length <= limit else HEAD))
         body = length
         if length > limit and head.startswith(b"HTTP/"):
@@ -116,14 +118,17 @@ class Counted:
             data = head + self.stream.read(length - len(head))
             self.taken += len(data)
             return data, len(data)
-        found = len(head)
+        return None, self._pass(length, len(head))
+
+    def _pass(self, length: int, found: int) -> int:
+        """Read over what follows the `found` bytes of a payload; how many there were in all."""
         while found < length:
             data = self.stream.read(min(STEP, length - found))
             if not data:
                 break
             found += len(data)
         self.taken += found
-        return None, found
+        return found
 
 
 def _text(raw: bytes) -> str:
@@ -141,6 +146,11 @@ def _row(source_file, offset, kind, **fields):
     return row
 
 
+def _limit(row: dict, keep_limit, wants):
+    """The limit of a record's body: none of it is kept where the head already tells that the record is not wanted."""
+    return keep_limit if wants is None or wants(row) else -1
+
+
 def _arc_header(line: bytes):
     parts = line.split()
     if len(parts) in (5, 10) and ARC_DATE.match(parts[2]) and parts[-1].isdigit():
@@ -154,7 +164,7 @@ def _payload_error(length: int, found: int) -> str | None:
     return "too large to hold" if length > LARGEST else None
 
 
-def _arc(stream: Counted, source_file: str, first: bytes, keep_limit):
+def _arc(stream: Counted, source_file: str, first: bytes, keep_limit, wants):
     """ARC records; a bad header line gives one error row, then the next good header is sought."""
     line, offset, lost = first, stream.taken - len(first), False
     while line:
@@ -166,8 +176,7 @@ def _arc(stream: Counted, source_file: str, first: bytes, keep_limit):
         else:
             lost = False
             length = int(header[-1])
-            payload, found = stream.block(length, keep_limit)
-            yield _row(
+            row = _row(
                 source_file,
                 offset,
                 "arc",
@@ -177,9 +186,9 @@ def _arc(stream: Counted, source_file: str, first: bytes, keep_limit):
                 capture_date=_text(header[2]),
                 content_type=_text(header[3]),
                 payload_length=length,
-                payload=payload,
-                error=_payload_error(length, found),
             )
+            row["payload"], found = stream.block(length, _limit(row, keep_limit, wants))
+            yield row | {"error": _payload_error(length, found)}
         offset = stream.taken
         line = stream.line()
 
@@ -194,7 +203,7 @@ WARC_FIELDS = {
 }
 
 
-def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version: bytes):
+def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version: bytes, wants):
     """WARC records of every type; headers end at the first blank line.
 
     A record of another version is read too, and marked. What lies between records is one error row.
@@ -225,17 +234,9 @@ def _warc(stream: Counted, source_file: str, first: bytes, keep_limit, version:
             if length is None:
                 yield _row(source_file, offset, "warc", headers=headers, error="bad header", **fields)
             else:
-                payload, found = stream.block(length, keep_limit)
-                yield _row(
-                    source_file,
-                    offset,
-                    "warc",
-                    headers=headers,
-                    payload_length=length,
-                    payload=payload,
-                    error="other version" if other else _payload_error(length, found),
-                    **fields,
-                )
+                row = _row(source_file, offset, "warc", headers=headers, payload_length=length, **fields)
+                row["payload"], found = stream.block(length, _limit(row, keep_limit, wants))
+                yield row | {"error": "other version" if other else _payload_error(length, found)}
         elif line.strip() and not lost:
             lost = True
             yield _row(source_file, offset, "warc", error="bad header")
@@ -250,7 +251,9 @@ def _kind_of(first: bytes, inside: bool) -> str | None:
     return "arc" if first.startswith(ARC_MAGIC) or (inside and _arc_header(first)) else None
 
 
-def read_records(raw, source_file: str, keep_limit=None, version: bytes = WARC_MAGIC, at: int = 0, stop: int | None = None, first_offset: int = 0):
+def read_records(
+    raw, source_file: str, keep_limit=None, version: bytes = WARC_MAGIC, at: int = 0, stop: int | None = None, first_offset: int = 0, wants=None
+):
     """Rows of one archive file, its format told by its first bytes.
 
     A gzip member that cannot be decoded gives an error row, and reading goes on with the next member; any
@@ -266,9 +269,9 @@ def read_records(raw, source_file: str, keep_limit=None, version: bytes = WARC_M
                 first = stream.line()
                 kind = kind or _kind_of(first, at > 0)
                 if kind == "arc":
-                    yield from _arc(stream, source_file, first, keep_limit)
+                    yield from _arc(stream, source_file, first, keep_limit, wants)
                 elif kind == "warc":
-                    yield from _warc(stream, source_file, first, keep_limit, version)
+                    yield from _warc(stream, source_file, first, keep_limit, version, wants)
                 elif first:
                     yield _row(source_file, first_offset, None, error="unknown format")
                 return
