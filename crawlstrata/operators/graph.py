@@ -191,6 +191,11 @@ def page_graph(pages: DataFrame, url_ids: DataFrame) -> DataFrame:
     )
 
 
+def linked_urls(pages: DataFrame) -> DataFrame:
+    """`url` of every page of `page_links` and of each of its targets, as often as they are named."""
+    return pages.select("url").unionByName(pages.select(F.explode(page_targets(F.col("links"))).alias("url")))
+
+
 def link_stats(captures: DataFrame, graph: DataFrame) -> DataFrame:
     """One row: records read, and links, where a page without any counts as one."""
     links = graph.agg(F.coalesce(F.sum(F.greatest(F.size("dst"), F.lit(1))), F.lit(0).cast("long"))).scalar()

@@ -27,6 +27,30 @@ def build_url_ids(urls: DataFrame, dense: bool = False) -> DataFrame:
     return running_totals(counts, "url", "_count").select("url", (F.col("before") + 1).alias("id"))
 
 
+def save_url_ids(url_ids: DataFrame, table: str, buckets: int, by: str = "url", path: str | None = None) -> DataFrame:
+    """The ids as a table of `buckets` files by the hash of `by`, read back: joins on `by` leave it where it lies.
+
+    For numbers that many jobs look up: they shuffle their own rows to the buckets and not the table. A `path` says where
+    it lies, if not in the warehouse. With about 128 MB a bucket, a bucket is what one task of such a join reads.
+    """
+    rows = url_ids.select("url", "id").repartition(buckets, by)
+    writer = rows.write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return url_ids.sparkSession.table(table)
+
+
+def ids_in_use(urls: DataFrame, saved: DataFrame, buckets: int) -> DataFrame:
+    """(url, id) of the distinct `urls` that have an id in a table of `save_url_ids`, which does not move.
+
+    URLs are made distinct before they go to the buckets, as no bucket can be split: a URL that a third of all rows
+    name comes there once. What is found is the table to look up in; write it first (`session.stage`), so that
+    the look-up's own skewed keys can be split.
+    """
+    named = urls.select("url").filter(F.col("url").isNotNull()).distinct().repartition(buckets, "url")
+    # A sort merge join, as a broadcast of the few that are asked for would read each bucket's file in any task.
+    return saved.hint("merge").join(named, "url").select("url", "id")
+
+
 def lookup_ids(urls: DataFrame, url_ids: DataFrame) -> DataFrame:
     """Adds id to urls, -1 where a URL has none."""
     return urls.join(url_ids.select("url", "id"), "url", "left").withColumn("id", F.coalesce("id", F.lit(NO_ID).cast("long")))

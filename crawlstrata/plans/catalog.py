@@ -882,6 +882,16 @@ def page_graph(spark, d):
     return _page_graph(spark, d).select("source_offset", "src", F.array_join("dst", ",").alias("dst"))
 
 
+@query(f"WITH {PAGE_GRAPH_SQL} SELECT source_offset, src, array_to_string(dst, ',') AS dst FROM graph")
+def page_graph_of_saved_ids(spark, d):
+    """The page graph over ids kept in a bucketed table, of which only the ids in use are moved."""
+    folder = scratch(spark, "url_ids")
+    saved = urlids.save_url_ids(urlids.build_url_ids(_urls(spark, d)), folder.rsplit("/", 1)[1].replace("-", "_"), 8, path=folder)
+    pages = cut_lineage(graph.page_links(captures(spark, d), "UTF-8"))
+    used = cut_lineage(urlids.ids_in_use(graph.linked_urls(pages), saved, 8))
+    return graph.page_graph(pages, used).select("source_offset", "src", F.array_join("dst", ",").alias("dst"))
+
+
 @query(f"""WITH {PAGE_GRAPH_SQL} SELECT (SELECT count(*) FROM caps) AS records,
   (SELECT CAST(sum(greatest(len(dst), 1)) AS BIGINT) FROM graph) AS links""")
 def link_stats(spark, d):

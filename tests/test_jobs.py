@@ -496,7 +496,8 @@ def test_text_and_replay(spark, tmp_path):
     assert [r.html for r in copy] == ["<p>Hi</p><p>you</p><a href='http://s/arch/1074915781000/http://www.house.gov/b'>"]
 
 
-def test_increment(spark, tmp_path):
+@pytest.mark.parametrize("with_bytes", [False, True])
+def test_increment(spark, tmp_path, with_bytes):
     files, table, checkpoint = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "cp")
     files.mkdir()
 
@@ -504,7 +505,7 @@ def test_increment(spark, tmp_path):
         (files / name).write_bytes(arc_file([arc_record(u, "20040124034300", "text/html", http(b)) for u, b in bodies]))
 
     def run():
-        ingest_increment(spark, str(files), table, checkpoint).awaitTermination()
+        ingest_increment(spark, str(files), table, checkpoint, with_bytes=with_bytes).awaitTermination()
         loaded = ingest.read_table(spark, table)
         return {(r.url_key, bytes(r.content)) for r in loaded.collect()}, loaded.count()
 

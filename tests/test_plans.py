@@ -170,3 +170,37 @@ def test_a_look_up_of_one_url_reads_few_row_groups(spark, tmp_path):
     assert by_url.count() == 1 and by_key.count() == 1
     assert rows_scanned(by_url) < 2000 and rows_scanned(by_key) < 2000
     assert rows_scanned(search.find_url(read, "http://h0.com/none")) < 1000
+
+
+# Ids in buckets
+
+
+@pytest.mark.parametrize("buckets", [2, 4, 7])
+def test_saved_ids_stay_where_they_lie(spark, tmp_path, buckets):
+    urls = [f"http://{i % 37}.com/{i}" for i in range(500)]
+    ids = urlids.build_url_ids(spark.createDataFrame([(u,) for u in urls], "url string"))
+    saved = urlids.save_url_ids(ids, f"saved_{buckets}", buckets, path=str(tmp_path / "ids"))
+    assert saved.exceptAll(ids).count() == 0 and saved.count() == 500
+    asked = [*urls[::3], *["http://1.com/1"] * 2000, "http://none.com/", None]
+    used = urlids.ids_in_use(spark.createDataFrame([(u,) for u in asked], "url string").repartition(3), saved, buckets)
+    place = {u: i + 1 for i, u in enumerate(sorted(urls, key=str.encode))}
+    assert sorted(map(tuple, used.collect())) == sorted((u, place[u]) for u in {*urls[::3], "http://1.com/1"})
+    plan = executed(used).split("== Initial Plan ==")[0]
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "FileScan parquet" in line or "Scan parquet" in line)
+    lines, depth = plan.splitlines(), lambda line: len(line) - len(line.lstrip(" :+-*("))
+    above, level = [], depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < level:
+            above, level = [*above, line], depth(line)
+    assert not any("Exchange" in line for line in above) and any("Join" in line for line in above) and "Bucketed: true" in lines[scan]
+    spark.sql(f"DROP TABLE saved_{buckets}")
+
+
+def test_saved_ids_by_id_and_replaced(spark, tmp_path):
+    for n in (5, 3):
+        ids = urlids.build_url_ids(spark.createDataFrame([(f"http://a.com/{i}",) for i in range(n)], "url string"))
+        saved = urlids.save_url_ids(ids, "saved_by_id", 3, by="id", path=str(tmp_path / "ids"))
+        assert urlids.lookup_urls(spark.range(10), saved).count() == n
+    none = urlids.ids_in_use(spark.createDataFrame([], "url string"), saved, 3)
+    assert none.count() == 0 and none.columns == ["url", "id"]
+    spark.sql("DROP TABLE saved_by_id")
