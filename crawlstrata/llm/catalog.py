@@ -128,9 +128,10 @@ def op5_jaccard_join(spark, d):
 
 # The production mixture.
 MIX_ROUNDS = 10
+MIX_BUDGET = 0.5
 MIX_TARGETS = {
     "source": {"src0": 0.25, "src1": 0.04, "src2": 0.04, "src3": 0.04, "src4": 0.04, "other": 0.59},
-    "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14},
+    "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14, "other": 0.05},
     "topic": {"prose": 0.93, "tabular": 0.03, "contact": 0.04},
 }
 
@@ -155,19 +156,32 @@ def mix_sql(documents: str) -> str:
     steps = [
         f"rows AS (SELECT *, {group}, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM {documents})",
         f"cells AS (SELECT {keys}, sum(tokens)::BIGINT AS tokens, sum(tokens)::DOUBLE AS weight FROM rows GROUP BY ALL)",
-        *(f"goals_{d} AS (SELECT m_{d}, {goal[d]} / sum({goal[d]}) OVER () AS goal FROM (SELECT DISTINCT m_{d} FROM cells))" for d in dims),
+        f"room AS (SELECT {MIX_BUDGET}::DOUBLE * sum(weight) AS room FROM cells)",
     ]
+
+    def factor(ask: str, most: str, order: str, table: str) -> str:
+        """The factor by which `ask` fills the room where no row gets more than its `most`."""
+        by = f"ORDER BY CASE WHEN {ask} > 0 THEN {ask} / {most} ELSE 0 END DESC, {order} ROWS BETWEEN"
+        ahead, left = f"sum({most}) OVER ({by} UNBOUNDED PRECEDING AND 1 PRECEDING)", f"sum({ask}) OVER ({by} CURRENT ROW AND UNBOUNDED FOLLOWING)"
+        each = f"SELECT CASE WHEN {left} > 0 THEN (room - coalesce({ahead}, 0)) / {left} END AS f FROM {table}, room"
+        return f"(SELECT coalesce(max(f), 0) FROM ({each}))"
+
+    for d in dims:
+        steps.append(
+            f"asked_{d} AS (SELECT m_{d}, held, {goal[d]} AS target, CASE WHEN held > 0 THEN {goal[d]} ELSE 0 END AS ask "
+            f"FROM (SELECT m_{d}, sum(weight) AS held FROM cells GROUP BY ALL))"
+        )
+        steps.append(f"goals_{d} AS (SELECT m_{d}, least(target * {factor('ask', 'held', f'm_{d}', f'asked_{d}')}, held) AS goal FROM asked_{d})")
     last = "cells"
     for i in range(MIX_ROUNDS):
         for d in dims:
             steps.append(
-                f"r{i}_{d} AS (SELECT {keys}, tokens, CASE WHEN sum(weight) OVER (PARTITION BY m_{d}) > 0 THEN weight * goal / "
-                f"sum(weight) OVER (PARTITION BY m_{d}) ELSE 0 END AS weight FROM {last} JOIN goals_{d} USING (m_{d}))"
+                f"r{i}_{d} AS (SELECT {keys}, tokens, CASE WHEN sum(weight) OVER (PARTITION BY m_{d}) > 0 THEN least(tokens::DOUBLE, weight * goal / "
+                f"sum(weight) OVER (PARTITION BY m_{d})) ELSE 0 END AS weight FROM {last} JOIN goals_{d} USING (m_{d}))"
             )
             last = f"r{i}_{d}"
-    ratio = "CASE WHEN tokens > 0 THEN weight / sum(weight) OVER () / tokens ELSE 0 END"
-    steps.append(f"ratios AS (SELECT {keys}, {ratio} AS ratio FROM {last})")
-    steps.append(f"chances AS (SELECT {keys}, round(CASE WHEN max(ratio) OVER () > 0 THEN ratio / max(ratio) OVER () ELSE 0 END, 9) AS probability FROM ratios)")
+    made = f"least(tokens::DOUBLE, weight * {factor('weight', 'tokens', keys, last)})"
+    steps.append(f"chances AS (SELECT {keys}, round(CASE WHEN tokens > 0 THEN {made} / tokens ELSE 0 END, 9) AS probability FROM {last})")
     steps.append(
         "rated AS (SELECT rows.*, probability, coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE, 0) < probability AS kept "
         f"FROM rows JOIN chances USING ({keys}))"
@@ -177,8 +191,8 @@ def mix_sql(documents: str) -> str:
 
 @query(f"WITH {mix_sql('documents')} SELECT doc_id, m_source AS source, m_lang AS lang, m_topic AS topic, tokens, probability, kept FROM rated")
 def op7_mixing(spark, d):
-    """Token weights of all documents raked to source, language and topic, and the documents sampled."""
-    return mixing.mix(table(spark, d, "documents"), mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS)
+    """Token weights of all documents raked to source, language and topic within a budget, and the documents sampled."""
+    return mixing.mix(table(spark, d, "documents"), mix_columns(), MIX_TARGETS, rounds=MIX_ROUNDS, budget=MIX_BUDGET)
 
 
 # The conversation that the contract adds.
