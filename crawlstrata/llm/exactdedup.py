@@ -12,14 +12,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlstrata.session import stage
+from crawlstrata.session import scratch, stage
 
 SEGMENT_WORDS = 4096  # 64-bit words in a piece of a plane that travels as one row
 BLOCK_WORDS = 8  # a hash sets bits in one block of 512
 PROBES = 6
+KEYS = 1 << 16  # by so many values of two bytes of its own, a digest belongs to a slice
 
 
 def normal_text(text: Column) -> Column:
@@ -126,9 +128,8 @@ def among(rows: DataFrame, digest: str, words: int, plane: np.ndarray) -> DataFr
     return rows.mapInArrow(probe, rows.schema)
 
 
-def maybe_repeated(rows: DataFrame, digest: str, words: int, plane: np.ndarray) -> DataFrame:
-    """`rows` with `_maybe`: whether the digest may occur twice."""
-    held = rows.sparkSession.sparkContext.broadcast(plane)
+def maybe_repeated(rows: DataFrame, digest: str, words: int, held: Broadcast[np.ndarray]) -> DataFrame:
+    """`rows` with `_maybe`: whether the digest may occur twice, told by the plane that is `held`."""
     at_digest = rows.columns.index(digest)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,6 +143,28 @@ def maybe_repeated(rows: DataFrame, digest: str, words: int, plane: np.ndarray)
     return rows.mapInArrow(probe, rows.withColumn("_maybe", F.lit(True)).schema)
 
 
+def marked_in_slices(digests: DataFrame, bits_per_row: int, max_filter_bytes: int) -> DataFrame:
+    """The rows of a written table `_id`, `_sha`, `_key` with `_maybe`: whether the digest may occur twice.
+
+    Each slice of the digests has planes of its own, so planes are equally full whatever the number of rows. A slice is a
+    range of `_key`, by which the table's files are sorted: its passes read only their part of each file. Its rows are
+    written and its plane is given up before the next slice begins.
+    """
+    spark, rows = digests.sparkSession, digests.count()
+    slices = min(KEYS, max(1, math.ceil(rows * bits_per_row / 8 / max_filter_bytes)))
+    words = filter_words(math.ceil(rows / slices), bits_per_row, max_filter_bytes)
+    edges = [KEYS * k // slices for k in range(slices + 1)]
+    paths = []
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        part = digests.filter((F.col("_key") >= low) & (F.col("_key") < high)).drop("_key")
+        held = spark.sparkContext.broadcast(repeated_plane(part.select("_sha"), words))
+        marked = maybe_repeated(part, "_sha", words, held)
+        paths.append(scratch(spark, "marked"))
+        marked.write.parquet(paths[-1])
+        held.destroy()
+    return spark.read.schema(marked.schema).parquet(*paths)
+
+
 def exact_copies(
     docs: DataFrame, id: str = "doc_id", text: str = "text", bits_per_row: int = 12, max_filter_bytes: int = 32 << 20
 ) -> DataFrame:
@@ -152,15 +175,15 @@ def exact_copies(
     stays. An empty table gives no rows; other columns are not read.
 
     Texts are read once; what follows handles their digests. A plane of the filter is broadcast: it has
-    `bits_per_row` bits per row and at most `max_filter_bytes`. In a table with more rows than that
-    serves (22 million by default) more digests are taken as possibly repeated and shuffled, and the
-    result stays exact. Groups of any size are summed within tasks before the shuffle, and the table of
+    `bits_per_row` bits per row and at most `max_filter_bytes`. A table with more rows than that
+    serves (22 million by default) is gone over in slices of its digests, so that only possible copies are
+    shuffled at any size. Groups of any size are summed within tasks before the shuffle, and the table of
     groups is written before it is joined, so a large group's rows can be split.
     """
-    digests = stage(docs.select(F.col(id).alias("_id"), F.unhex(F.sha2(normal_text(F.col(text)), 256)).alias("_sha")))
-    words = filter_words(digests.count(), bits_per_row, max_filter_bytes)
-    plane = repeated_plane(digests.select("_sha"), words)
-    marked = maybe_repeated(digests, "_sha", words, plane)
+    hashed = docs.select(F.col(id).alias("_id"), F.sha2(normal_text(F.col(text)), 256).alias("_hex"))
+    key = F.conv(F.substr("_hex", F.lit(-4)), 16, 10).cast("int").alias("_key")
+    digests = stage(hashed.select("_id", F.unhex("_hex").alias("_sha"), key).sortWithinPartitions("_key"))
+    marked = marked_in_slices(digests, bits_per_row, max_filter_bytes)
     result = lambda keep, size, kept: [
         F.col("_id").alias(id), keep.alias("keep_id"), size.alias("group_size"), kept.alias("kept"),
         F.lower(F.hex("_sha")).alias("text_sha256"),

@@ -107,6 +107,26 @@ def test_exact_copies_equal_brute_force(spark, rows, bits):
     assert Counter(tuple(r) for r in got.collect()) == brute_copies(rows)
 
 
+@pytest.mark.parametrize("bits", [1000, 6000])
+def test_exact_copies_in_slices_equal_brute_force(spark, bits, monkeypatch):
+    rows = [(i, f"text {i % 170}" if i % 3 else f"only {i}") for i in range(600)] + [(900 + i, "hot  text") for i in range(300)]
+    planes, plane = [], exactdedup.repeated_plane
+    monkeypatch.setattr(exactdedup, "repeated_plane", lambda part, words: planes.append((part.count(), words)) or plane(part, words))
+    got = exactdedup.exact_copies(docs_of(spark, rows), bits_per_row=bits, max_filter_bytes=32 << 10)
+    assert Counter(tuple(r) for r in got.collect()) == brute_copies(rows)
+    assert len(planes) == -(-900 * bits // (32 << 13)) and sum(n for n, _ in planes) == 900 and {w for _, w in planes} == {4096}
+
+
+def test_slices_leave_single_digests_alone(spark):
+    rows = [(i, f"text {i}") for i in range(30_000)] + [(40_000 + i, f"text {i}") for i in range(50)]
+    key = F.conv(F.substr("_hex", F.lit(-4)), 16, 10).cast("int").alias("_key")
+    made = spark.createDataFrame(rows, "_id long, t string").withColumn("_hex", F.sha2("t", 256)).select("_id", F.unhex("_hex").alias("_sha"), key)
+    marked = exactdedup.marked_in_slices(made, 12, 32 << 10)
+    repeated = marked.filter("_id < 50 or _id >= 40000")
+    assert marked.count() == 30_050 and repeated.filter("_maybe").count() == 100
+    assert marked.filter("_maybe").count() < 100 + 0.05 * 30_000
+
+
 def test_bloom_planes_find_every_repeated_digest():
     digests = [hashlib.sha256(str(i % 800).encode()).digest() for i in range(1000)]
     words = exactdedup.filter_words(1000, 12, 1 << 20)
