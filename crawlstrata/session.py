@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
+# Frees the shuffle files of a statement when it ends; used where its result has been written.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job relies on (UTC times, adaptive plans)."""
@@ -55,21 +58,37 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it back: a cut of the lineage that any executor
-    can read again, with only the columns that later steps name. `drop_staged` removes all of them.
+    can read again, with only the columns that later steps name. `drop_staged` removes all of them, and
+    `drop_folder` those of one `folder` (a path from `scratch`). What the write shuffled is freed when it ends.
     """
     spark = df.sparkSession
-    path = scratch(spark, "rows")
-    df.write.parquet(path)
+    path = f"{folder or _stage_root(spark)}/rows-{uuid.uuid4().hex}"
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a path from `scratch` and what was staged in it; call it when all that is made of it has been written."""
+    if not folder.startswith(f"{_stage_root(spark)}/"):
+        raise ValueError(f"{folder} is not a staged folder of this application")
+    _delete(spark, folder)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged; call it when its results have been written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _stage_root(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
