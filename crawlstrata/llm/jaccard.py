@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from crawlstrata.llm.common import ODD, mix, pieces, powers, sorted_lookup
 from crawlstrata.llm.exactdedup import among, filter_words, plane_of
-from crawlstrata.session import stage
+from crawlstrata.session import drop_folder, scratch, stage
 
 # ASCII white space, and A-Z in lower case.
 WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -88,7 +88,8 @@ def frequent_shingles(docs: DataFrame, size: int, most: int) -> np.ndarray:
         yield counted(held)
 
     counts = docs.mapInArrow(tally, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter("n >= 16")
-    counts = stage(counts.withColumn("level", F.floor(F.log2("n")).cast("int")))
+    folder = scratch(docs.sparkSession, "frequent")
+    counts = stage(counts.withColumn("level", F.floor(F.log2("n")).cast("int")), folder)
     by_level = {r.level: r.n for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
     least = total = 0
     for level in sorted(by_level, reverse=True):
@@ -97,19 +98,24 @@ def frequent_shingles(docs: DataFrame, size: int, most: int) -> np.ndarray:
             break
         least = level
     found = counts.filter(F.col("level") >= least).select("shingle", "level").limit(most).toPandas()
+    drop_folder(docs.sparkSession, folder)
     keys, level = found["shingle"].to_numpy().view(np.uint64), found["level"].to_numpy().astype(np.uint64)
     order = np.argsort(keys)
     return np.stack([keys[order], level[order]])
 
 
 def ordered(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[list[np.ndarray], int]:
-    """The prefix of a set under each order, as 32-bit numbers, and how many shingles are not frequent."""
+    """The prefix of a set under each order, and how many shingles are not frequent.
+
+    The first makes the candidates and is whole; the others filter pairs and are 32-bit numbers.
+    """
     at, there = sorted_lookup(frequent[0], s)
     level = np.where(there, frequent[1][at] if len(frequent[0]) else 0, 0).astype(np.uint64)
     n, out = prefix_size(len(s), percent), []
     for seed in ORDERS:
         key = (level << np.uint64(58)) | (mix(s ^ np.uint64(seed)) >> np.uint64(6))
-        out.append((s[np.argsort(key)[:n]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
+        first = s[np.argsort(key)[:n]]
+        out.append((first & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) if out else first.view(np.int64))
     return out, int((level == 0).sum())
 
 
@@ -118,7 +124,6 @@ def prefixes(docs: DataFrame, size: int, percent: int, most: int) -> DataFrame:
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs.select("_text"), size, most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int32())
         for batch, texts in pieces(batches, "_text"):
             sets = shingles(texts, size)
             made = [ordered(s, frequent.value, percent) for s in sets]
@@ -126,12 +131,12 @@ def prefixes(docs: DataFrame, size: int, percent: int, most: int) -> DataFrame:
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([digest_of(s) for s in sets], pa.binary()),
                 pa.array([rare for _, rare in made], pa.int32()),
-                *(pa.array([p[k] for p, _ in made], kind) for k in range(len(ORDERS))),
+                *(pa.array([p[k] for p, _ in made], pa.list_(pa.int32() if k else pa.int64())) for k in range(len(ORDERS))),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["_id", "n", "digest", "rare", *(f"p{k}" for k in range(len(ORDERS)))]
-    arrays = [F.array().cast("array<int>").alias(c) for c in names[4:]]
+    arrays = [F.array().cast("array<int>" if k else "array<bigint>").alias(c) for k, c in enumerate(names[4:])]
     schema = docs.select("_id", F.lit(0).cast("long").alias("n"), F.lit(b"").alias("digest"), F.lit(0).alias("rare"), *arrays).schema
     return docs.select("_id", "_text").mapInArrow(run, schema)
 
@@ -156,16 +161,16 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def filtered(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Digests `a`, `b` (`a` first) of the pairs of nodes whose prefixes share a shingle under the other orders too."""
+    """The pairs `a`, `b` of digests whose prefixes share a shingle under the other orders too."""
     others = [f"p{k}" for k in range(1, len(ORDERS))]
-    narrow = sets.select("node", "digest", "n", *others)
+    narrow = sets.select("digest", "n", *others)
     left, right = narrow.alias("l"), narrow.alias("r")
-    joined = pairs.distinct().join(left, F.col("a") == F.col("l.node")).join(right, F.col("b") == F.col("r.node"))
+    joined = pairs.distinct().join(left, F.col("a") == F.col("l.digest")).join(right, F.col("b") == F.col("r.digest"))
     overlap = least_overlap(F.col("l.n"), F.col("r.n"), percent)
     for p in others:
         first = [F.slice(F.col(f"{s}.{p}"), F.lit(1), (F.col(f"{s}.n") - overlap + 1).cast("int")) for s in "lr"]
         joined = joined.filter(F.arrays_overlap(*first))
-    return joined.select(*_pair("l.digest", "r.digest"))
+    return joined.select("a", "b")
 
 
 def digest_of(s: np.ndarray) -> bytes:
@@ -174,12 +179,12 @@ def digest_of(s: np.ndarray) -> bytes:
     return blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def texts_of(digests: DataFrame, sets: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+def texts_of(digests: DataFrame, sets: DataFrame, docs: DataFrame, size: int, folder: str) -> DataFrame:
     """`digest`, `_text`: one text for each of the sets; rows of the same id with another set are left out.
 
     A Bloom filter of the wanted ids, of at most MAX_FILTER_BYTES, keeps other documents from being shuffled.
     """
-    wanted = stage(digests.join(sets.select("digest", "rep"), "digest"))
+    wanted = stage(digests.join(sets.select("digest", "rep"), "digest"), folder)
     key = lambda c: F.unhex(F.md5(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary")))
     words = filter_words(wanted.count(), 12, MAX_FILTER_BYTES)
     docs = among(docs.withColumn("_key", key("_id")), "_key", words, plane_of(wanted.select(key("rep").alias("key")), words))
@@ -193,10 +198,12 @@ def texts_of(digests: DataFrame, sets: DataFrame, docs: DataFrame, size: int) ->
     return found.mapInArrow(run, found.schema).groupBy("digest").agg(F.first("_text").alias("_text"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs `a`, `b` that are linked, with the whole sets taken again from the texts of both."""
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
+    """The pairs `a`, `b` that are linked, with the whole sets taken again from the texts of both; staged in `folder`."""
+    spark = docs.sparkSession
+    held = scratch(spark, "texts")
     digests = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    texts = stage(texts_of(digests, sets, docs, size))
+    texts = stage(texts_of(digests, sets, docs, size, held), held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, left in pieces(batches, "left"):
@@ -212,29 +219,36 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, perc
         .join(texts.select(F.col("digest").alias("b"), F.col("_text").alias("right")), "b")
         .select("a", "b", "left", "right")
     )
-    return joined.mapInArrow(run, pairs.schema)
+    links = stage(joined.mapInArrow(run, pairs.schema), folder)
+    drop_folder(spark, held)
+    return links
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, folder: str | None = None) -> DataFrame:
     """`node` and `label`, the smallest node reachable over `links` (`a`, `b`), of every node but the labels.
 
     Rounds of two steps: every node's larger neighbours are tied to its smallest neighbour, then its smaller
     ones are. Stars are what stays the same; the number of rounds grows with the logarithm of the size of
-    components, and every row is a pair, so that no component gathers in a task.
+    components, and every row is a pair, so that no component gathers in a task. The result is staged in
+    `folder`; what a round staged goes when the next one's edges are written.
     """
-    edges, before = stage(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), None
+    spark, folder = links.sparkSession, folder or scratch(links.sparkSession, "components")
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges, before, rounds = stage(edges, f"{folder}/round-0"), None, 0
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        before = state
+        before, held = state, f"{folder}/round-{rounds}"
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
-        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
+        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), held)
         tied = both.filter(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        tied = stage(tied.filter("u <> v").distinct())
+        tied = stage(tied.filter("u <> v").distinct(), held)
         low = tied.groupBy("u").agg(F.min("v").alias("m"))
         near = tied.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stage(near.union(low).filter("u <> v").distinct())
+        rounds += 1
+        edges = stage(near.union(low).filter("u <> v").distinct(), f"{folder}/round-{rounds}")
+        drop_folder(spark, held)
 
 
 def link_documents(
@@ -255,55 +269,75 @@ def link_documents(
     other member whose positions allow a link, so that no link between components is lost. A group is never collected:
     leaders are minima, summed up before the shuffle, and joins of written tables are left to be split.
     """
+    return _linked(docs, id, text, size, percent, max_frequent, scratch(docs.sparkSession, "linked"))
+
+
+def _linked(docs: DataFrame, id: str, text: str, size: int, percent: int, max_frequent: int, folder: str) -> DataFrame:
+    """`link_documents`; what its result reads is staged in `folder`, and all else is dropped once it has served."""
+    spark = docs.sparkSession
+    held = {name: scratch(spark, name) for name in ("prefixes", "leaders", "shared", "tried", "placed", "rest", "first_labels", "sets", "labels")}
     read = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
-    made = stage(prefixes(read, size, percent, max_frequent))
+    made = stage(prefixes(read, size, percent, max_frequent), held["prefixes"])
     columns = ["n", "rare", *(f"p{k}" for k in range(len(ORDERS)))]
     sets = made.filter("n > 0").groupBy("digest").agg(F.min("_id").alias("rep"), *(F.first(c).alias(c) for c in columns))
-    sets = stage(sets)
-    # Candidates go by eight bytes of the digest; should two sets share them, there are more candidates, not fewer.
-    sets = sets.withColumn("node", F.xxhash64("digest"))
-    postings = sets.select("node", "n", "rare", F.posexplode("p0").alias("pos", "shingle"))
+    sets = stage(sets, held["sets"])
+    of_row = stage(made.select("_id", "n", "digest"), folder)
+    drop_folder(spark, held["prefixes"])
+    postings = sets.select(F.col("digest").alias("node"), "n", "rare", F.posexplode("p0").alias("pos", "shingle"))
     leader = F.min(F.struct("rare", "node", "n", "pos")).alias("leader")
-    leaders = stage(postings.groupBy("shingle").agg(leader, F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows"))
-    shared = stage(postings.drop("rare").join(leaders, "shingle").select("shingle", "node", "n", "pos", "leader"))
+    leaders = postings.groupBy("shingle").agg(leader, F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    leaders = stage(leaders, held["leaders"])
+    shared = postings.drop("rare").join(leaders, "shingle").select("shingle", "node", "n", "pos", "leader")
+    shared = stage(shared, held["shared"])
+    drop_folder(spark, held["leaders"])
 
     star = shared.select(F.struct("node", "n", "pos").alias("l"), F.col("leader").alias("r"))
     star = star.filter(F.col("l.node") != F.col("r.node")).filter(_may_link(percent)).select(*_pair("l.node", "r.node"))
-    tried = stage(filtered(star, sets, percent))
-    links = stage(verified(tried, sets, read, size, percent))
-    labels = components(links)
-    by_node = stage(labels.select(F.xxhash64("node").alias("node"), F.xxhash64("label").alias("label")))
+    tried = stage(filtered(star, sets, percent), held["tried"])
+    links = verified(tried, sets, read, size, percent, held["labels"])
+    labels = components(links, held["first_labels"])
 
     def labelled(rows: DataFrame, node: str, name: str, labels: DataFrame) -> DataFrame:
         named = labels.select(F.col("node").alias(f"_{name}"), F.col("label").alias(name))
         return rows.join(named, F.col(node) == F.col(f"_{name}"), "left").withColumn(name, F.coalesce(name, node)).drop(f"_{name}")
 
-    placed = labelled(shared.withColumn("head", F.col("leader.node")), "node", "part", by_node)
-    placed = stage(labelled(placed, "head", "head_part", by_node).select("shingle", "node", "n", "pos", "part", "head_part"))
+    placed = labelled(shared.withColumn("head", F.col("leader.node")), "node", "part", labels)
+    placed = labelled(placed, "head", "head_part", labels).select("shingle", "node", "n", "pos", "part", "head_part")
+    placed = stage(placed, held["placed"])
+    for name in ("shared", "first_labels"):
+        drop_folder(spark, held[name])
     apart = placed.filter(F.col("part") != F.col("head_part"))
     rest = (
         apart.alias("l").join(placed.alias("r"), "shingle").filter((F.col("l.part") != F.col("r.part")) & _may_link(percent))
         .select(*_pair("l.node", "r.node"))
     )
-    rest = filtered(rest, sets, percent).join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(stage(rest), sets, read, size, percent))
-    labels = components(links)
+    rest = stage(filtered(rest, sets, percent).join(tried, ["a", "b"], "left_anti"), held["rest"])
+    for name in ("placed", "tried"):
+        drop_folder(spark, held[name])
+    links = links.unionByName(verified(rest, sets, read, size, percent, held["labels"]))
+    drop_folder(spark, held["rest"])
+    labels = components(links, held["labels"])
     of_set = labelled(sets.select("digest", "rep"), "digest", "part", labels)
-    smallest = stage(of_set.groupBy("part").agg(F.min("rep").alias("component_id")))
-    of_set = stage(of_set.join(smallest, "part").select("digest", "component_id"))
-    grouped = made.filter("n > 0").select("_id", "n", "digest").join(of_set, "digest").select("_id", "n", "component_id")
-    alone = made.filter("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
+    smallest = stage(of_set.groupBy("part").agg(F.min("rep").alias("component_id")), held["labels"])
+    of_set = stage(of_set.join(smallest, "part").select("digest", "component_id"), folder)
+    for name in ("sets", "labels"):
+        drop_folder(spark, held[name])
+    grouped = of_row.filter("n > 0").join(of_set, "digest").select("_id", "n", "component_id")
+    alone = of_row.filter("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
     return grouped.unionByName(alone).select(F.col("_id").alias(id), F.col("n").alias("n_shingles"), "component_id")
 
 
-def representatives(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def representatives(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, max_frequent: int = 1 << 18) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their component: one document of each group.
 
     Repeated rows (same id and text) are one document. An id is taken to name one text; rows without words
-    are linked with nothing and stay.
+    are linked with nothing and stay. Other columns are kept, whatever their names.
     """
-    kept = link_documents(docs, id, text, **options).filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_kept")).distinct()
-    return (
-        docs.join(stage(kept), F.col(id).eqNullSafe(F.col("_kept")), "left_semi")
-        .withColumn("_text_hash", F.xxhash64(text)).dropDuplicates([id, "_text_hash"]).select(*docs.columns)
-    )
+    folder = scratch(docs.sparkSession, "linked")
+    linked = _linked(docs, id, text, size, percent, max_frequent, folder)
+    kept = stage(linked.filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_kept")).distinct())
+    drop_folder(docs.sparkSession, folder)
+    row = F.struct(F.col(id).alias("id"), F.xxhash64(text).alias("hash"))
+    wide = docs.select(F.struct(*docs.columns).alias("row"), row.alias("key"))
+    wide = wide.join(kept, F.col("key.id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["key"])
+    return wide.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
