@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from crawlstrata.llm import jaccard, langid, linededup, mixing, packing
 from crawlstrata.llm.catalog import MIX_ROUNDS, MIX_TARGETS, mix_columns
 from crawlstrata.llm.common import fold, pieces, table
-from crawlstrata.session import prepare, stage
+from crawlstrata.session import drop_folder, prepare, scratch, stage
 
 # A document whose likeliest language is less likely than this is rejected.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -86,8 +86,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`."""
+    """All stages over the documents of `sf_dir`; a stage's documents go when the next one's are written."""
     docs = table(spark, sf_dir, "documents")
-    for _, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir))
+    before = None
+    for name, function in STAGES:
+        folder = scratch(spark, name)
+        docs = stage(function(spark, docs, sf_dir), folder)
+        if before:
+            drop_folder(spark, before)
+        before = folder
     return docs
