@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlstrata.operators.numbering import running_totals
+from crawlstrata.operators.planes import KEY_BITS, MAX_PLANE_BYTES, may_hold
 from crawlstrata.operators.versions import IDENTITY
 from crawlstrata.session import stage
 
@@ -31,6 +32,11 @@ LOADED_RECORD_TYPE = "response"
 FILTERED = {"parquet.bloom.filter.enabled#url": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 GROUP_SIZE = "parquet.block.size"
 
+# What content is written with, staged and in a table: some two thirds of the bytes of the writer's own choice.
+COMPRESSED = {"compression": "zstd"}
+
+# Of captures with content, those that others replace stay behind where they are this share at least.
+REPLACED_SHARE = 0.1
 # An identity with more captures than this in one load is thinned out before it is shuffled.
 FREQUENT = 1000
 # Files beside the loads, and characters of a key that a bound keeps.
@@ -118,6 +124,23 @@ def last_of_frequent(captures: DataFrame) -> DataFrame:
     return kept.filter(F.col("_last").isNull() | (place_of(captures) == F.col("_last"))).select(*[captures[c] for c in captures.columns])
 
 
+def without_replaced(captures: DataFrame) -> DataFrame:
+    """The captures without nearly all of those that a later one replaces, so that their content is not shuffled.
+
+    The last ones are found on narrow columns, and a bit plane of their identities and places is held against the
+    captures where they lie; what it lets through in vain is dropped in the ranges. `captures` should be a written table.
+    """
+    counted = captures.groupBy(*IDENTITY).agg(F.count(F.lit(1)).alias("n"), F.max(place_of(captures)).alias("_last"))
+    last = stage(counted.select("n", F.xxhash64(*IDENTITY, "_last.source_file", "_last.source_offset").alias("_hash")))
+    kept, read = last.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if not read or read - kept < read * REPLACED_SHARE:
+        return last_of_frequent(captures)
+    hashed = captures.withColumn("_hash", F.xxhash64(*IDENTITY, "source_file", "source_offset"))
+    likely = hashed.filter(may_hold(last, ["_hash"], kept)).drop("_hash")
+    # A plane with too little room lets more through.
+    return likely if kept * KEY_BITS <= MAX_PLANE_BYTES * 8 else last_of_frequent(likely)
+
+
 def place_of(captures: DataFrame) -> Column:
     return F.struct(captures["source_file"], captures["source_offset"])
 
@@ -128,7 +151,11 @@ def one_per_identity(captures: DataFrame, partitions: int | None = None) -> Data
     Captures of one identity are in one range, where the same order that the table has puts them side by
     side; so captures are shuffled and sorted once. Read archives are written first: they are decoded once.
     """
-    ranged = sorted_by_key(last_of_frequent(captures), partitions)
+    return _last_in_ranges(last_of_frequent(captures), partitions)
+
+
+def _last_in_ranges(captures: DataFrame, partitions: int | None = None) -> DataFrame:
+    ranged = sorted_by_key(captures, partitions)
     order = Window.partitionBy("url_key", "capture_ts", "content_type").orderBy(F.desc("source_file"), F.desc("source_offset"))
     return ranged.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
@@ -152,9 +179,9 @@ def _write_load(
     seen = Observation()
     millis = F.unix_millis("capture_ts")
     ends = [F.min("url_key").alias("k0"), F.max("url_key").alias("k1"), F.min(millis).alias("t0"), F.max(millis).alias("t1")]
-    rows = one_per_identity(stage(captures), partitions).observe(seen, *ends)
+    rows = _last_in_ranges(without_replaced(stage(captures, **COMPRESSED)), partitions).observe(seen, *ends)
     sized = {} if group_bytes is None else {GROUP_SIZE: str(group_bytes)}
-    rows.write.options(**FILTERED, **sized).mode("overwrite" if again else "errorifexists").parquet(f"{path}/load={name}")
+    rows.write.options(**FILTERED, **COMPRESSED, **sized).mode("overwrite" if again else "errorifexists").parquet(f"{path}/load={name}")
     low, high = seen.get["k0"], seen.get["k1"]
     if low is not None:
         cut = high if len(high) <= BOUND_CHARS else high[:BOUND_CHARS] + "\U0010ffff"

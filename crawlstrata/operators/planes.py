@@ -57,10 +57,13 @@ def _plane(hashes: DataFrame, words: int) -> np.ndarray:
     return plane
 
 
-def may_hold(keys: DataFrame, columns: list[str], n: int) -> Column:
-    """A condition that holds for all rows whose `columns` are among the `n` keys, and for few others."""
+def may_hold(keys: DataFrame, columns: list[str], n: int, max_bytes: int = MAX_PLANE_BYTES) -> Column:
+    """A condition that holds for all rows whose `columns` are among the `n` keys, and for few others.
+
+    More keys than a plane of `max_bytes` has room for make it hold for more others.
+    """
     words = 1 << 10
-    while words * 64 < n * KEY_BITS:
+    while words * 64 < n * KEY_BITS and words * 16 <= max_bytes:
         words *= 2
     held = keys.sparkSession.sparkContext.broadcast(_plane(keys.select(F.xxhash64(*columns)), words).tobytes())
 

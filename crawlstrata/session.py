@@ -58,17 +58,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
+def stage(df: DataFrame, folder: str | None = None, **options: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it back: a cut of the lineage that any executor
     can read again, with only the columns that later steps name. `drop_staged` removes all of them, and
-    `drop_folder` those of one `folder` (a path from `scratch`). What the write shuffled is freed when it ends.
+    `drop_folder` those of one `folder` (a path from `scratch`). What the write shuffled is freed when it ends. `options`
+    are the Parquet writer's.
     """
     spark = df.sparkSession
     path = f"{folder or _stage_root(spark)}/rows-{uuid.uuid4().hex}"
     before = spark.conf.get(FREE_SHUFFLES, "false")
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)

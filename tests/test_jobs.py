@@ -7,6 +7,7 @@ import random
 import time
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from archive_files import arc_file, arc_record, http
 from pyspark.sql import functions as F
@@ -180,6 +181,30 @@ def test_load_modes_order_and_identity(spark, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) == 3
 
 
+def test_a_load_leaves_replaced_captures_where_they_are(spark, tmp_path):
+    rows = [(f"http://a.com/{i % 300}", 1, None if i % 2 else "t", b"%d" % i) for i in range(3000)]
+    captures = ingest.loadable(make(spark, rows))
+    want = {(r.url_key, r.content_type, r.capture_ts, r.content) for r in ingest.one_per_identity(captures).collect()}
+    assert len(want) == 300
+    left = ingest.without_replaced(captures)
+    assert 300 <= left.count() < 600
+    assert want <= {(r.url_key, r.content_type, r.capture_ts, r.content) for r in left.collect()}
+    ingest.bulk_load(make(spark, rows), str(tmp_path / "t"))
+    assert {(r.url_key, r.content_type, r.capture_ts, r.content) for r in ingest.read_table(spark, str(tmp_path / "t")).collect()} == want
+    file = next((tmp_path / "t").glob("load=*/*.parquet"))
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+    # Where little is replaced, all of it goes on.
+    few = captures.filter("source_offset < 320")
+    assert ingest.without_replaced(few).count() == 320
+
+
+def test_a_load_with_too_many_captures_for_its_plane_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "MAX_PLANE_BYTES", 64)
+    monkeypatch.setattr(ingest, "FREQUENT", 5)
+    captures = ingest.loadable(make(spark, [(f"http://a.com/{i % 300}", 1, "t", b"%d" % i) for i in range(3000)]))
+    assert sorted(r.source_offset for r in ingest.without_replaced(captures).collect()) == list(range(2700, 3000))
+
+
 def test_loads_made_at_once_keep_apart(spark, tmp_path, monkeypatch):
     table = str(tmp_path / "t")
     real = ingest._names
