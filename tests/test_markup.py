@@ -1,5 +1,6 @@
 """Single pages, with the standard library's HTML parser as a second opinion on links and text."""
 
+import random
 import time
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -7,6 +8,7 @@ from urllib.parse import urljoin
 import duckdb
 import pytest
 
+from crawlstrata.operators import markup
 from crawlstrata.operators.markup import absolute, links_of, replay_copy, text_of
 
 PAGE = "http://www.a.com/dir/page.html?q=1"
@@ -111,3 +113,21 @@ def test_junk_takes_time_by_its_length(junk):
 
 def test_page_that_ends_inside_quotes_keeps_its_links():
     assert links_of('<a href="/x">t</a><p d=">" e=">"', PAGE)[0] == ("http://www.a.com/x", "t")
+
+
+BITS = ["<a href='/x'>", '<a href="y>">', "</a>", "<", "<!--", "-->", "<!", "</", "</>", "<script>", "</Script >", "<style>", "</style", "<title>", "</title>",
+        "<textarea x='>'>", "</textarea/", "<p>", "<p t='", '"', ">", "='", "text", "\n", "\xa0", "\t  ", "&lt;", "<titlex>", "<base href=http://b.org/>", "<1", "<a"]
+
+
+def test_pages_in_one_pass_equal_pages_tag_by_tag(monkeypatch):
+    chosen = random.Random(3)
+    pages = ["".join(chosen.choices(BITS, k=chosen.randint(0, 14))) for _ in range(20_000)]
+    found = [(links_of(p, PAGE), text_of(p)) for p in pages]
+    monkeypatch.setattr(markup, "tokens", markup._tokens_one_by_one)
+    assert found == [(links_of(p, PAGE), text_of(p)) for p in pages]
+
+
+def test_a_whole_page_takes_one_pass(monkeypatch):
+    monkeypatch.setattr(markup, "_tokens_one_by_one", None)
+    page = '<!DOCTYPE html><title>T</title><script>a="</p>"</script><!-- n --><p t="a>b">1 < 2<br><a href="/x">t</a>'
+    assert (links_of(page, PAGE), text_of(page)) == ([("http://www.a.com/x", "t")], "T 1 < 2 t")
