@@ -618,11 +618,24 @@ def warc_files(spark, d):
     return archives.read_warc(spark, folder).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
 
 
+# Content that one written archive holds, about: it is written by one task.
+ARCHIVE_BYTES = 128 << 20
+
+
+def _in_large_files(pages: DataFrame) -> DataFrame:
+    """The records of the pages for one archive, or as many as hold ARCHIVE_BYTES each."""
+    size = pages.agg(F.coalesce(F.sum("content_length"), F.lit(0))).first()[0]
+    files = -(-size // ARCHIVE_BYTES)
+    # Dealt out one by one, as parts put together may be the full ones on one side and the empty ones on the other.
+    dealt = pages.repartition(files) if files > 1 else pages.coalesce(1)
+    return dealt.select(_warc_bytes(dealt).alias("record"))
+
+
 @query(f"""SELECT * EXCLUDE (source_file) FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL})""")
 def warc_in_splits(spark, d):
-    """All pages in one compressed WARC file, read by as many tasks as it has splits of 64 KB."""
-    folder, pages = scratch(spark, "warc"), page_captures(spark, d)
-    write_archives(pages.select(_warc_bytes(pages).alias("record")).coalesce(1), folder, "crawl", "warc.gz")
+    """All pages in one compressed WARC file (one for each 128 MB of them), read by as many tasks as it has splits of 64 KB."""
+    folder = scratch(spark, "warc")
+    write_archives(_in_large_files(page_captures(spark, d)), folder, "crawl", "warc.gz")
     return archives.read_warc(spark, folder, split_bytes=1 << 16).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from crawlstrata.functions.keys import url_key
 from crawlstrata.operators import ingest, patterns, planes, search, text, urlids, versions
 from crawlstrata.operators.numbering import running_totals
+from crawlstrata.plans import catalog
+from crawlstrata.session import checkpoint_dir
 
 
 def executed(df):
@@ -204,3 +206,34 @@ def test_saved_ids_by_id_and_replaced(spark, tmp_path):
     none = urlids.ids_in_use(spark.createDataFrame([], "url string"), saved, 3)
     assert none.count() == 0 and none.columns == ["url", "id"]
     spark.sql("DROP TABLE saved_by_id")
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """A few pages and documents, and many events."""
+    html = F.concat(F.lit("<title>t</title><a href='/x"), F.col("page_id").cast("string"), F.lit("'>x</a>"), F.repeat(F.lit(" word"), 300))
+    url = F.concat(F.lit("http://a.b.example.com/"), F.col("page_id").cast("string"))
+    pages = spark.range(0, 40, 1, 4).select(F.col("id").alias("page_id")).select("page_id", url.alias("url"), html.alias("html"))
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    spark.range(5).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text")).write.parquet(str(tmp_path / "documents.parquet"))
+    kind = F.element_at(F.array(*map(F.lit, ["view", "click", "signup", "purchase", "error"])), (F.col("id") % 5 + 1).cast("int"))
+    events = spark.range(0, 1000, 1, 1).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60).alias("ts"), kind.alias("event_type"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["warc_in_splits"])
+def test_a_large_archive_is_written_by_many_tasks(spark, tables, monkeypatch, name):
+    from pathlib import Path
+
+    folders = lambda: set(Path(checkpoint_dir(spark).removeprefix("file:")).glob("stage-*/warc-*"))
+    run, before = getattr(catalog, name), folders()
+    rows = sorted(map(str, run(spark, tables).collect()))
+    (one,) = folders() - before
+    assert len(rows) == 80 and len(list(one.glob("*.warc.gz"))) == 1
+    monkeypatch.setattr(catalog, "ARCHIVE_BYTES", 1 << 14, raising=False)
+    before = folders()
+    assert sorted(map(str, run(spark, tables).collect())) == rows
+    (many,) = folders() - before
+    sizes = [file.stat().st_size for file in many.glob("*.warc.gz")]
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
