@@ -639,18 +639,18 @@ def warc_in_splits(spark, d):
     return archives.read_warc(spark, folder, split_bytes=1 << 16).select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
 
 
-def _web_archive(spark, d, files: int | None = None):
+def _web_archive(spark, d, large: bool = False):
     """The pages as compressed WARC files, ready to be read by format."""
     folder, pages = scratch(spark, "warc"), page_captures(spark, d)
-    records = pages.select(_warc_bytes(pages).alias("record"))
-    write_archives(records.coalesce(files) if files else records, folder, "crawl", "warc.gz")
+    records = _in_large_files(pages) if large else pages.select(_warc_bytes(pages).alias("record"))
+    write_archives(records, folder, "crawl", "warc.gz")
     return datasource.register(spark).read.format(datasource.FORMAT).option("path", folder)
 
 
 @query(f"""SELECT * EXCLUDE (source_file) FROM ({WARC_SQL} UNION ALL {WARC_REQUEST_SQL})""")
 def webarchive_captures(spark, d):
-    """All pages in one compressed WARC file, read through the data source in splits of 64 KB."""
-    read = archives.to_captures(_web_archive(spark, d, 1).option("splitBytes", 1 << 16).load())
+    """All pages in one compressed WARC file (one for each 128 MB of them), read through the data source in splits of 64 KB."""
+    read = archives.to_captures(_web_archive(spark, d, large=True).option("splitBytes", 1 << 16).load())
     return read.select(*ARCHIVED[1:], C.content_hash("content").alias("hash"))
 
 

@@ -222,7 +222,7 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["warc_in_splits"])
+@pytest.mark.parametrize("name", ["warc_in_splits", "webarchive_captures"])
 def test_a_large_archive_is_written_by_many_tasks(spark, tables, monkeypatch, name):
     from pathlib import Path
 
