@@ -13,6 +13,10 @@ from crawlstrata.functions.keys import url_key
 from crawlstrata.session import prepare
 
 
+# Captures that a part of the HTML captures has, about: so much parsing that a task is neither short nor the last for long.
+PART_CAPTURES = 10_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,8 +58,13 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, pages = _placed(spark, sf_dir)
     texts = table(spark, sf_dir, "documents")
     texts = texts.select("doc_id", *_content("text"))
-    of_pages = events.filter(~F.col("is_document")).join(
-        pages.select("page_id", "url", "url_key", *_content("html")), "page_id"
+    # A page is captured many times: parts are counted by captures, not by the few bytes that both sides have before
+    # they meet. Merged, as sending the events to the pages would leave all captures in the tasks that read pages.
+    parts = -(-events.count() // PART_CAPTURES) or 1
+    of_pages = (
+        events.filter(~F.col("is_document"))
+        .repartition(parts, "page_id")
+        .join(pages.select("page_id", "url", "url_key", *_content("html")).repartition(parts, "page_id").hint("merge"), "page_id")
     )
     of_documents = (
         events.filter("is_document")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from crawlstrata.functions.keys import url_key
 from crawlstrata.operators import ingest, patterns, planes, search, text, urlids, versions
 from crawlstrata.operators.numbering import running_totals
-from crawlstrata.plans import catalog
+from crawlstrata.plans import catalog, views
 from crawlstrata.session import checkpoint_dir
 
 
@@ -222,6 +222,16 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_captures_of_few_pages_are_spread_over_tasks(spark, tables, monkeypatch):
+    monkeypatch.setattr(views, "PART_CAPTURES", 50, raising=False)
+    captures = views.captures(spark, tables).filter("content_type = 'text/html'")
+    parts = captures.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 600
+    # 40 pages in 20 parts: a few of these are empty by chance.
+    assert len(parts) > 10 and max(r["count"] for r in parts) < 150
+    assert catalog.page_graph(spark, tables).count() == 600
+
+
 @pytest.mark.parametrize("name", ["warc_in_splits", "webarchive_captures"])
 def test_a_large_archive_is_written_by_many_tasks(spark, tables, monkeypatch, name):
     from pathlib import Path
