@@ -114,18 +114,12 @@ def plane_of(digests: DataFrame, words: int) -> np.ndarray:
     return plane
 
 
-def among(rows: DataFrame, digest: str, words: int, plane: np.ndarray) -> DataFrame:
-    """The rows whose digest may be in the plane."""
-    held, at_digest = rows.sparkSession.sparkContext.broadcast(plane), rows.columns.index(digest)
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
-        for batch in batches:
-            if batch.num_rows:
-                at = places(batch.column(at_digest).to_pylist(), words)
-                yield batch.filter(pa.array(((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)))
-
-    return rows.mapInArrow(probe, rows.schema)
+def probed(batches: Iterator[pa.RecordBatch], digest: str, words: int, plane: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches whose digest may be in the plane."""
+    for batch in batches:
+        if batch.num_rows:
+            at = places(batch.column(batch.schema.get_field_index(digest)).to_pylist(), words)
+            yield batch.filter(pa.array(((plane[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)))
 
 
 def maybe_repeated(rows: DataFrame, digest: str, words: int, held: Broadcast[np.ndarray]) -> DataFrame:

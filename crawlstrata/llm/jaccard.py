@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlstrata.llm.common import ODD, mix, pieces, powers, sorted_lookup
-from crawlstrata.llm.exactdedup import among, filter_words, plane_of
+from crawlstrata.llm.exactdedup import filter_words, plane_of, probed
 from crawlstrata.session import drop_folder, scratch, stage
 
 # ASCII white space, and A-Z in lower case.
@@ -182,20 +182,23 @@ def digest_of(s: np.ndarray) -> bytes:
 def texts_of(digests: DataFrame, sets: DataFrame, docs: DataFrame, size: int, folder: str) -> DataFrame:
     """`digest`, `_text`: one text for each of the sets; rows of the same id with another set are left out.
 
-    A Bloom filter of the wanted ids, of at most MAX_FILTER_BYTES, keeps other documents from being shuffled.
+    A Bloom filter of the wanted ids, of at most MAX_FILTER_BYTES, keeps other documents from being shuffled. One function
+    probes it and takes the sets' digests, so that a task needs one Python worker however the join after it is done.
     """
     wanted = stage(digests.join(sets.select("digest", "rep"), "digest"), folder)
     key = lambda c: F.unhex(F.md5(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary")))
     words = filter_words(wanted.count(), 12, MAX_FILTER_BYTES)
-    docs = among(docs.withColumn("_key", key("_id")), "_key", words, plane_of(wanted.select(key("rep").alias("key")), words))
+    plane = docs.sparkSession.sparkContext.broadcast(plane_of(wanted.select(key("rep").alias("key")), words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "_text"):
-            same = [digest_of(s) == d for s, d in zip(shingles(texts, size), batch.column(0).to_pylist(), strict=True)]
-            yield batch.filter(pa.array(same, pa.bool_()))
-
-    found = docs.join(wanted, F.col("_id").eqNullSafe(F.col("rep"))).select("digest", "_text")
-    return found.mapInArrow(run, found.schema).groupBy("digest").agg(F.first("_text").alias("_text"))
+        for batch, texts in pieces(probed(batches, "_key", words, plane.value), "_text"):
+            made = pa.array([digest_of(s) for s in shingles(texts, size)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], made], ["_id", "_text", "_digest"])
+
+    read = docs.select("_id", "_text", key("_id").alias("_key"))
+    found = read.mapInArrow(run, read.withColumnRenamed("_key", "_digest").schema)
+    found = found.join(wanted, F.col("_id").eqNullSafe(F.col("rep")) & (F.col("_digest") == F.col("digest")))
+    return found.groupBy("digest").agg(F.first("_text").alias("_text"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int, folder: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,17 @@ def byte_bpe(path: str, ranks_path: str | None = None) -> Callable[[str], np.nda
     """The encoder of a byte-level BPE vocabulary in a JSON file.
 
     With the same vocabulary as ranks, texts are encoded by these, several times as fast, but for texts that the
-    quicker encoder refuses: its pattern cannot go back over a million blanks in a row.
+    quicker encoder refuses: its pattern cannot go back over a million blanks in a row. The file is read when it is needed.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    @cache
+    def tokenizer():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
 
     def whole(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(tokenizer().encode(text, add_special_tokens=False).ids, np.uint32)
 
     if ranks_path is None:
         return whole
@@ -102,6 +106,15 @@ def _pieces_of(tokens: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         yield start, min(size, len(tokens) - start)
 
 
+def _ids_of(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """The ids of each row as a view of the table's own; as lists of Python's numbers they take nine times the room."""
+    found = []
+    for chunk in lists.chunks:
+        ids, edges = chunk.values.to_numpy().view("<u4"), chunk.offsets.to_numpy()
+        found += [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return found
+
+
 def pack(
     docs: DataFrame,
     id: str = "doc_id",
@@ -165,8 +178,9 @@ def pack(
             total = int(np.sum(rows["length"].to_numpy()))
             windows: dict[int, list] = {}
             at = 0
-            for doc, start, ids, of in zip(*(rows[c].to_pylist() for c in ("_id", "start", "ids", "doc_tokens")), strict=True):
-                tokens, done = np.array(ids, "<u4"), 0
+            columns = (rows[c].to_pylist() for c in ("_id", "start", "doc_tokens"))
+            for tokens, doc, start, of in zip(_ids_of(rows["ids"]), *columns, strict=True):
+                done = 0
                 while done < len(tokens):
                     part = tokens[done : done + size - at % size]
                     windows.setdefault(at // size, []).append((at % size, (doc, start + done, part, of)))

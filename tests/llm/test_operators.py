@@ -3,14 +3,17 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from crawlstrata.llm import exactdedup, jaccard, langid, licenses, linededup, mixing, packing, quality, toxicity, urlfilter
+from crawlstrata.session import scratch
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACES = re.compile("[\x20\x09-\x0D]+")
@@ -192,6 +195,19 @@ def test_jaccard_join_of_a_large_group_without_a_centre(spark):
     assert kept.columns == docs_of(spark, rows).columns
 
 
+def test_texts_of_sets_need_one_python_worker_a_task(spark):
+    """A join that is broadcast leaves the functions before and after it in one task, with a Python worker each."""
+    rows = [(i, f"some words of text {i} and more") for i in range(40)] + [(None, "no id has this text"), (3, "another text of three"), (7, None)]
+    docs = spark.createDataFrame(rows, "_id long, _text string").repartition(3)
+    digest = lambda text: jaccard.digest_of(jaccard.shingles([text or ""], 3)[0])
+    sets = spark.createDataFrame([(digest(t), i) for i, t in rows if t], "digest binary, rep long")
+    wanted = [rows[k][1] for k in (1, 3, 20, 40, 41)]
+    digests = spark.createDataFrame([(digest(t),) for t in wanted], "digest binary")
+    texts = jaccard.texts_of(digests, sets, docs, 3, scratch(spark, "wanted"))
+    assert texts._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {(bytes(r.digest), r._text) for r in texts.collect()} == {(digest(t), t) for t in wanted} and texts.count() == 5
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(f"{i:03d}", f"{i + 1:03d}") for i in range(40)] + [("100", f"{i}") for i in range(101, 150)] + [("300", "299")]
     got = {r.node: r.label for r in jaccard.components(spark.createDataFrame(links, "a string, b string")).collect()}
@@ -251,6 +267,17 @@ def test_packing_is_an_exact_round_trip(spark, rows, size, windows):
         assert room < 0.05 * sum(map(len, want.values())) + size
 
 
+def test_ids_of_open_windows_are_not_copied():
+    ids = np.arange(1_000_000, dtype=np.int32)
+    lists = pa.chunked_array([pa.array(np.split(part, 500), pa.list_(pa.int32())) for part in np.split(ids, 2)] + [pa.array([[5], [7, 8], [9]], pa.list_(pa.int32())).slice(1)])
+    tracemalloc.start()
+    found = packing._ids_of(lists)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_000_000 and len(found) == 1002 and found[0].dtype == np.uint32
+    assert np.array_equal(np.concatenate(found[:1000]), ids) and [f.tolist() for f in found[1000:]] == [[7, 8], [9]]
+
+
 def test_open_windows_place_best_fit_and_emit_the_fullest():
     windows = packing.OpenWindows(10, 2)
     assert windows.place(6, "a") == [] and windows.place(7, "b") == []
