@@ -14,6 +14,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ SPECIAL = {"<|endoftext|>": 50256}
 # Sequence numbers of a partition start here, so that they are unique in the table.
 PER_PARTITION = 1 << 36
 MERGE_FAN = 8
+BATCH_WINDOWS = 64
 
 
 def byte_bpe(path: str, ranks_path: str | None = None) -> Callable[[str], np.ndarray]:
@@ -173,14 +175,15 @@ def pack(
     def merge(final: bool) -> Callable[[pa.Table], pa.Table]:
         def run(rows: pa.Table) -> pa.Table:
             """The open windows one after another, cut into full ones and a last."""
-            rows = rows.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+            order = pc.sort_indices(rows, [("sequence_id", "ascending"), ("offset", "ascending")]).to_pylist()
             names_of = np.unique(rows["sequence_id"].to_numpy())
             total = int(np.sum(rows["length"].to_numpy()))
             windows: dict[int, list] = {}
             at = 0
-            columns = (rows[c].to_pylist() for c in ("_id", "start", "doc_tokens"))
-            for tokens, doc, start, of in zip(_ids_of(rows["ids"]), *columns, strict=True):
-                done = 0
+            ids, *others = _ids_of(rows["ids"]), *(rows[c].to_pylist() for c in ("_id", "start", "doc_tokens"))
+            for row in order:
+                tokens, done = ids[row], 0
+                doc, start, of = (c[row] for c in others)
                 while done < len(tokens):
                     part = tokens[done : done + size - at % size]
                     windows.setdefault(at // size, []).append((at % size, (doc, start + done, part, of)))
@@ -188,8 +191,9 @@ def pack(
             full = total // size
             numbered = [(int(names_of[k]), items) for k, items in windows.items()]
             kind = rows.schema.field("_id").type
-            parts = [rows_of(numbered[:full], False, 0, kind), rows_of(numbered[full:], not final, 0, kind)]
-            return pa.Table.from_batches(parts)
+            # A batch travels whole, so it holds a few windows.
+            parts = [rows_of(numbered[k : min(k + BATCH_WINDOWS, full)], False, 0, kind) for k in range(0, full, BATCH_WINDOWS)]
+            return pa.Table.from_batches([*parts, rows_of(numbered[full:], not final, 0, kind)])
 
         return run
 
